@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def exact_sum(c: str, scale: int = 2) -> Column:
     """Sum of a fixed-decimal measure, exact (decimal) then back to double."""
-    return F.sum(F.col(c).cast(f"decimal(28,{scale})")).cast("double")
+    return F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 
 def exact_mean(c: str, scale: int = 2) -> Column:

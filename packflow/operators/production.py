@@ -61,7 +61,7 @@ def sku_plant_averages(master: DataFrame) -> DataFrame:
         mean("SalesOrderQty").alias("AvgDailyDemand"),
         exact_mean("ProductionQty").alias("AvgDailyProduction"),
         exact_mean("FactoryIssueQty").alias("AvgFactoryIssue"),
-        mean("UnitCost").alias("AvgUnitCost"),
+        exact_mean("UnitCost", 6).alias("AvgUnitCost"),
         first_by("ProductGroup").alias("ProductGroup"),
         first_by("SubGroup").alias("SubGroup"),
     )

@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from packflow.plans import q_production  # noqa: F401
+from packflow.plans import q_master, q_packs_finance, q_production  # noqa: F401
 from packflow.plans.registry import REGISTRY  # noqa: F401

@@ -57,7 +57,7 @@ SELECT "SkuId", "PlantId",
   {mean("SalesOrderQty")} AS "AvgDailyDemand",
   {emean("ProductionQty")} AS "AvgDailyProduction",
   {emean("FactoryIssueQty")} AS "AvgFactoryIssue",
-  {mean("UnitCost")} AS "AvgUnitCost",
+  {emean("UnitCost", 6)} AS "AvgUnitCost",
   {first_by("ProductGroup")} AS "ProductGroup",
   {first_by("SubGroup")} AS "SubGroup"
 FROM master GROUP BY 1, 2"""

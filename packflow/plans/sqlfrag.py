@@ -8,7 +8,7 @@ def q(c: str) -> str:
 
 
 def esum(c: str, scale: int = 2) -> str:
-    return f"CAST(SUM(CAST({q(c)} AS DECIMAL(28,{scale}))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({q(c)} AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
 
 def emean(c: str, scale: int = 2) -> str:

@@ -23,7 +23,7 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, app: str = "packflow",
               shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
     ``master`` is only set when given: on a cluster the launcher decides.
@@ -34,6 +34,8 @@ def get_spark(master: str | None = None, app: str = "packflow",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:  # only effective before the JVM starts (local runs)
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -160,3 +160,68 @@ def storage_edges(spark: SparkSession, d: str) -> DataFrame:
     return (top.select(F.concat(F.lit("SL"), F.least("src", "dst").cast("string")).alias("node1"),
                        F.concat(F.lit("SL"), F.greatest("src", "dst").cast("string")).alias("node2"))
             .distinct())
+
+
+def sku_day_signals(spark: SparkSession, d: str) -> DataFrame:
+    """The four signals per (Date, SkuId), from lines x part sizes; the
+    delivery count tells whether any finished line exists that day."""
+    li = read_table(spark, d, "lineitem", "l_partkey", "l_shipdate", "l_quantity", "l_tax",
+                    "l_discount", "l_linestatus")
+    q = F.col("l_quantity")
+    is_f = F.col("l_linestatus") == "F"
+    agg = (li.groupBy(F.to_date("l_shipdate").alias("Date"), "l_partkey")
+           .agg(F.sum(q).alias("q"), F.sum(q * (1 + F.col("l_tax"))).alias("q_tax"),
+                F.sum(F.when(is_f, q).otherwise(0.0)).alias("q_f"),
+                F.count_if(is_f).alias("n_f"),
+                F.sum(q * (1 - F.col("l_discount"))).alias("q_disc")))
+    p = read_table(spark, d, "part", "p_partkey", "p_size")
+    s = F.col("p_size")
+    return agg.join(p, agg.l_partkey == p.p_partkey).select(
+        "Date", sku_id("l_partkey").alias("SkuId"), "l_partkey",
+        (F.col("q") * s).alias("SalesOrderQty"),
+        F.round(F.col("q_tax") * s, 2).alias("ProductionQty"),
+        (F.col("q_f") * s).alias("DeliveryQty"), "n_f",
+        F.round(F.col("q_disc") * s, 2).alias("FactoryIssueQty"))
+
+
+def signals(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Signal frames (Date, SkuId, value). Delivery only has days with
+    finished lines, so joining it leaves gaps. The four branches share one
+    aggregate subtree, which Spark's exchange reuse computes once."""
+    s = sku_day_signals(spark, d)
+    return {
+        "SalesOrderQty": s.select("Date", "SkuId", "SalesOrderQty"),
+        "ProductionQty": s.select("Date", "SkuId", "ProductionQty"),
+        "DeliveryQty": s.where(F.col("n_f") > 0).select("Date", "SkuId", "DeliveryQty"),
+        "FactoryIssueQty": s.select("Date", "SkuId", "FactoryIssueQty"),
+    }
+
+
+def sku_groups(spark: SparkSession, d: str) -> DataFrame:
+    """SKU -> group (part type), sub-group (brand)."""
+    return read_table(spark, d, "part", "p_partkey", "p_type", "p_brand").select(
+        sku_id("p_partkey").alias("SkuId"), F.col("p_type").alias("ProductGroup"),
+        F.col("p_brand").alias("SubGroup"))
+
+
+SLOTS = list(range(10))
+
+
+def wide_panel(spark: SparkSession, d: str, value: str = "SalesOrderQty") -> DataFrame:
+    """A signal in the wide daily layout: one row per (Date, plant), one
+    column per SKU slot of the plant (``s0``..``s9``: part key mod 10). The
+    column count stays fixed however many SKUs exist."""
+    s = sku_day_signals(spark, d)
+    if value == "DeliveryQty":
+        s = s.where(F.col("n_f") > 0)
+    s = s.select("Date", plant_id("l_partkey").alias("PlantId"),
+                 F.pmod("l_partkey", F.lit(10)).alias("slot"), value)
+    w = s.groupBy("Date", "PlantId").pivot("slot", SLOTS).agg(F.first(value))
+    return w.select("Date", "PlantId", *[F.col(str(i)).alias(f"s{i}") for i in SLOTS])
+
+
+def slot_sku(plant: str = "PlantId", slot: str = "SkuId") -> F.Column:
+    """Back from (plant, slot column name) to the SKU id."""
+    base = F.substring(F.col(plant), 3, 100).cast("bigint")
+    return F.concat(F.lit("P"), (base + F.substring(F.col(slot), 2, 3).cast("bigint"))
+                    .cast("string"))

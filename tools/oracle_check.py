@@ -73,7 +73,7 @@ def main():
     names = [a for a in args if not os.path.isdir(a)]
     from packflow.plans.catalog import REGISTRY
     from packflow.session import get_spark
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8, driver_memory="16g")
     con = duck(sf_dir)
     fails = 0
     for name, q in REGISTRY.items():
