@@ -93,11 +93,23 @@ def _needed(sql: str, extra: dict[str, str]) -> list[str]:
 
 
 def compose(sql: str, ctes: dict[str, str] | None = None) -> str:
-    """Prepend the binding CTEs (and query-local ``ctes``) that ``sql`` uses."""
+    """Prepend the binding CTEs (and query-local ``ctes``) that ``sql`` uses.
+    A local CTE whose name ends in ``(cols)`` is emitted as written, and any
+    ``RECURSIVE`` marker in a body switches the clause to ``WITH RECURSIVE``."""
     extra = dict(ctes or {})
     lib = {**BASE_CTES, **extra}
     names = _needed(sql, extra)
     if not names:
         return sql.strip()
-    body = ",\n".join(f"{n} AS ({lib[n].strip()})" for n in names)
-    return f"WITH {body}\n{sql.strip()}"
+    rec = any(lib[n].lstrip().startswith("-- recursive") for n in names)
+    body = ",\n".join(f"{_HEADS.get(n, n)} AS ({lib[n].strip()})" for n in names)
+    return f"WITH {'RECURSIVE ' if rec else ''}{body}\n{sql.strip()}"
+
+
+_HEADS: dict[str, str] = {}
+
+
+def recursive_cte(name: str, cols: str, body: str) -> tuple[str, str]:
+    """Register the column list of a recursive CTE; returns (name, body)."""
+    _HEADS[name] = f"{name}({cols})"
+    return name, "-- recursive\n" + body

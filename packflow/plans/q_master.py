@@ -149,7 +149,7 @@ CAL_FLAG_SQL = """(SELECT "date", GREATEST("snap_CA", "snap_TX", "snap_WI") AS s
        FROM master m LEFT JOIN {CAL_FLAG_SQL} c ON m."Date" = c."date\"""")
 def q_project_unified(spark, d):
     """P09 project_unified: the fixed 15 columns of the loaded panel."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     return M.project_unified(M.load_unified(m, B.calendar(spark, d, m)))
 
 
@@ -165,7 +165,7 @@ def q_any_state_flag(spark, d):
        FROM master m LEFT JOIN {CAL_FLAG_SQL} c ON m."Date" = c."date\"""")
 def q_promo_flag(spark, d):
     """P11 promo_flag."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     c = M.any_state_flag(B.calendar(spark, d, m))
     j = M.join_calendar(m.select("Date", "SkuId", "StorageLocationId"), c, ["snap_flag"])
     return M.promo_flag(j)
@@ -202,7 +202,7 @@ event_type_1:s""",
           FROM master m LEFT JOIN calendar c ON m."Date" = c."date\"""")
 def q_join_calendar(spark, d):
     """J04 join_calendar."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     return M.join_calendar(m.select("Date", "SkuId", "StorageLocationId"), B.calendar(spark, d, m),
                            ["snap_CA", "event_name_1", "event_type_1"])
 
@@ -232,6 +232,6 @@ def q_build_master(spark, d):
        FROM master m LEFT JOIN {CAL_FLAG_SQL} c ON m."Date" = c."date\"""")
 def q_load_unified(spark, d):
     """E02 load_unified: master + calendar signals."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     u = M.load_unified(m, B.calendar(spark, d, m))
     return u.select(*M.UNIFIED, "event_name_1", "event_type_1", "month", "year")

@@ -119,7 +119,7 @@ PF = {
 
 def _chain(spark, d):
     """Spark side of the same chain: master, naive forecast, rule packs."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     fc = FE.naive_forecast(FE.daily_series(m))
     return m, fc
 
@@ -150,7 +150,7 @@ HIST_OUT = "SkuId:s, hist_mean:d, hist_std:d, hist_cv:d, hist_total:x, n_days:i"
 @query("velocity_history", HIST_OUT, "SELECT * FROM hist", PF)
 def q_velocity_history(spark, d):
     """A01 velocity_history."""
-    return PK.velocity_history(B.master(spark, d))
+    return PK.velocity_history(B.master_table(spark, d))
 
 
 @query("velocity_forecast", "SkuId:s, fcast_mean:d, fcast_total:d", "SELECT * FROM fc_agg", PF)
@@ -163,7 +163,7 @@ def q_velocity_forecast(spark, d):
        "SELECT * FROM attrs", PF)
 def q_sku_first_attributes(spark, d):
     """A03 sku_first_attributes."""
-    return FE.sku_first_attributes(B.master(spark, d))
+    return FE.sku_first_attributes(B.master_table(spark, d))
 
 
 PROFILE_OUT = HIST_OUT + """, fcast_mean:d, fcast_total:d, PlantId:s, StorageLocationId:s,
@@ -244,7 +244,7 @@ def q_inventory_reduction(spark, d):
           FROM plant_cap pc CROSS JOIN global_cap gc""", PF)
 def q_plant_mean_capacity(spark, d):
     """A13 plant_mean_capacity."""
-    per, glob = PK.plant_mean_capacity(B.master(spark, d))
+    per, glob = PK.plant_mean_capacity(B.master_table(spark, d))
     return per.crossJoin(glob).withColumnRenamed("_global_cap", "GlobalMeanCapacity")
 
 
@@ -302,7 +302,7 @@ def q_pack_summary(spark, d):
        "SELECT * FROM fbase", PF)
 def q_sku_finance_base(spark, d):
     """A08 sku_finance_base."""
-    return FI.sku_finance_base(B.master(spark, d))
+    return FI.sku_finance_base(B.master_table(spark, d))
 
 
 @query("avg_item_price", "SkuId:s, M5_AvgPrice:d", "SELECT * FROM item_price", PF)
@@ -318,7 +318,7 @@ CostFactor:x, EstInventoryReductionPct:x, JustificationScore:x""",
           20.0e0 AS "EstInventoryReductionPct", 50.0e0 AS "JustificationScore" FROM master GROUP BY 1""")
 def q_default_recommendations(spark, d):
     """A09 default_recommendations."""
-    return FI.default_recommendations(B.master(spark, d))
+    return FI.default_recommendations(B.master_table(spark, d))
 
 
 @query("join_price_lookup", "SkuId:s, AvgPrice:d, M5_AvgPrice:d",
@@ -334,7 +334,7 @@ def q_join_price_lookup(spark, d):
           FROM fbase b LEFT JOIN item_price ip ON b."SkuId" = ip."SkuId\"""", PF)
 def q_price_override(spark, d):
     """P24 price_override: external average price if present, else own."""
-    base = FI.sku_finance_base(B.master(spark, d)).withColumnRenamed("AvgPrice", "OwnPrice")
+    base = FI.sku_finance_base(B.master_table(spark, d)).withColumnRenamed("AvgPrice", "OwnPrice")
     j = base.join(FI.avg_item_price(B.sell_prices(spark, d)), "SkuId", "left")
     return j.withColumn("AvgPrice", F.coalesce("M5_AvgPrice", "OwnPrice"))
 

@@ -43,13 +43,13 @@ CurrentUtilisation:d, RiskFlag:b"""
 @query("plant_totals", PLANT_TOTALS_OUT, PLANT_TOTALS_SQL)
 def q_plant_totals(spark, d):
     """A04 plant_totals."""
-    return P.plant_totals(B.master(spark, d))
+    return P.plant_totals(B.master_table(spark, d))
 
 
 @query("plant_statistics", PLANT_STATS_OUT, PLANT_STATS_SQL_FULL)
 def q_plant_statistics(spark, d):
     """R01 plant_statistics."""
-    return P.plant_statistics(B.master(spark, d))
+    return P.plant_statistics(B.master_table(spark, d))
 
 
 SKU_PLANT_SQL = f"""
@@ -69,7 +69,7 @@ AvgFactoryIssue:d, AvgUnitCost:d, ProductGroup:s, SubGroup:s"""
 @query("sku_plant_averages", SKU_PLANT_OUT, SKU_PLANT_SQL)
 def q_sku_plant_averages(spark, d):
     """A05 sku_plant_averages."""
-    return P.sku_plant_averages(B.master(spark, d))
+    return P.sku_plant_averages(B.master_table(spark, d))
 
 
 def eoq_sql(dem: str, cost: str) -> str:
@@ -112,7 +112,7 @@ ProductionEfficiencyScore:d, EstLeadTimeDays:i, SchedulePriority:s"""
 
 
 def _schedule(spark, d, reco=None):
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     return P.production_schedule(m, P.plant_statistics(m), reco)
 
 
@@ -128,7 +128,7 @@ def q_production_schedule(spark, d):
        FROM ({SKU_PLANT_SQL}) t""")
 def q_batch_size_eoq(spark, d):
     """R02 batch_size_eoq."""
-    a = P.sku_plant_averages(B.master(spark, d))
+    a = P.sku_plant_averages(B.master_table(spark, d))
     return a.withColumn("OptimalBatchSize", P.batch_size_eoq("AvgDailyDemand", "AvgUnitCost"))
 
 
@@ -205,7 +205,7 @@ AvgEfficiencyScore:d, EstCapacity:d, CurrentUtilisation:d, FactoryIssueRate:d, R
 TargetUtilisation:d, UtilisationImprovement_Pct:d""", UTIL_SQL)
 def q_plant_utilisation(spark, d):
     """R08 plant_utilisation."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     ps = P.plant_statistics(m)
     return P.plant_utilisation(ps, P.production_schedule(m, ps))
 
@@ -221,7 +221,7 @@ avg_factory_issue_rate:x, skus_scheduled:i, avg_lead_time_days:x, avg_target_uti
   (SELECT {rhe('AVG("TargetUtilisation") * 100', 1)} AS avg_target_utilisation FROM ({UTIL_SQL}) z) u""")
 def q_production_summary(spark, d):
     """R09 production_summary."""
-    m = B.master(spark, d)
+    m = B.master_table(spark, d)
     ps = P.plant_statistics(m)
     sch = P.production_schedule(m, ps)
     return P.production_summary(ps, sch, P.plant_utilisation(ps, sch))

@@ -225,3 +225,26 @@ def slot_sku(plant: str = "PlantId", slot: str = "SkuId") -> F.Column:
     base = F.substring(F.col(plant), 3, 100).cast("bigint")
     return F.concat(F.lit("P"), (base + F.substring(F.col(slot), 2, 3).cast("bigint"))
                     .cast("string"))
+
+
+_MATERIALISED: dict[tuple, str] = {}
+
+
+def materialise(spark: SparkSession, key: str, d: str, build) -> DataFrame:
+    """Write a derived table once per session to the shared checkpoint folder
+    and read it back: every later plan starts from a Parquet scan instead of
+    re-analysing (and re-joining) the derivation. Survives executor loss,
+    unlike cached blocks."""
+    from packflow.session import shared_path
+    k = (spark.sparkContext.applicationId, key, d)
+    path = _MATERIALISED.get(k)
+    if path is None:
+        path = shared_path(spark, "tables", key)
+        build().write.mode("overwrite").parquet(path)
+        _MATERIALISED[k] = path
+    return spark.read.parquet(path)
+
+
+def master_table(spark: SparkSession, d: str) -> DataFrame:
+    """The master panel, materialised once per session (see ``materialise``)."""
+    return materialise(spark, "master", d, lambda: master(spark, d))
