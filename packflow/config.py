@@ -91,7 +91,7 @@ EPS = 1e-9
 class ForecastConfig:
     horizon_days: int = 30
     num_trees: int = 100
-    max_depth: int = 12
+    max_depth: int = 8
     seed: int = 42
     train_fraction: float = 0.8
     split_mode: str = "cutoff_date"    # "sku_date_order" | "per_sku_tail" | "cutoff_date"

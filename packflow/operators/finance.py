@@ -198,8 +198,10 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
     flagged or ``max_rounds`` revisions ran. Flags accumulate across rounds
     (a SKU repaired in round 1 stays downgraded). Each round's SKU-grain
     table is checkpointed to the shared folder, which bounds the lineage."""
-    from packflow.operators.packs import optimize_packs
-    packs = optimize_packs(master, forecast, classes, cluster_cfg=cluster_cfg)
+    from packflow.operators.packs import classed_profile, optimize_packs
+    # classes do not change between rounds (only the downgrade does): fit once
+    prof = classed_profile(master, forecast, classes, cluster_cfg).checkpoint(eager=True)
+    packs = optimize_packs(master, forecast, classes, profile=prof)
     table = financial_table(master, packs["recommendations"], prices).checkpoint(eager=True)
     flagged = None
     rounds = 0
@@ -209,7 +211,7 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
             break
         flagged = new if flagged is None else flagged.unionByName(new).distinct()
         flagged = flagged.checkpoint(eager=True)
-        packs = optimize_packs(master, forecast, classes, flagged=flagged, cluster_cfg=cluster_cfg)
+        packs = optimize_packs(master, forecast, classes, flagged=flagged, profile=prof)
         table = financial_table(master, packs["recommendations"], prices).checkpoint(eager=True)
         rounds += 1
     return {"packs": packs, "finance": table, "rounds": rounds, "flagged": flagged,

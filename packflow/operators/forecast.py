@@ -32,7 +32,7 @@ def train_forest(train: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> Pi
     """Random forest, all features per split, fixed seed."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=cfg.num_trees,
                                featureSubsetStrategy="all", maxDepth=cfg.max_depth, seed=cfg.seed,
-                               maxBins=64, subsamplingRate=1.0, bootstrap=True)
+                               maxBins=32, subsamplingRate=1.0, bootstrap=True)
     return Pipeline(stages=[assemble_vector(train), rf]).fit(train)
 
 

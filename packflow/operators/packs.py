@@ -168,16 +168,23 @@ def pack_summary(reco: DataFrame) -> DataFrame:
         F.count_if(~F.col("CapacityFeasible")).alias("capacity_infeasible_count"))
 
 
-def optimize_packs(master: DataFrame, forecast: DataFrame, classes: str = "rule",
-                   flagged: DataFrame | None = None, cluster_cfg=None) -> dict:
-    """Pack step: profile -> classes -> recommendations -> (downgrade) ->
-    capacity check. ``classes`` is ``"rule"`` (exact) or ``"kmeans"``."""
+def classed_profile(master: DataFrame, forecast: DataFrame, classes: str = "rule",
+                    cluster_cfg=None) -> DataFrame:
+    """Velocity profile with ``velocity_class`` (rule or KMeans)."""
     prof = velocity_profile(master, forecast)
     if classes == "kmeans":
         from packflow.operators.clustering import cluster_velocity
-        prof = cluster_velocity(prof, cluster_cfg)
-    else:
-        prof = rule_classes(prof)
+        return cluster_velocity(prof, cluster_cfg)
+    return rule_classes(prof)
+
+
+def optimize_packs(master: DataFrame, forecast: DataFrame, classes: str = "rule",
+                   flagged: DataFrame | None = None, cluster_cfg=None,
+                   profile: DataFrame | None = None) -> dict:
+    """Pack step: profile -> classes -> recommendations -> (downgrade) ->
+    capacity check. ``classes`` is ``"rule"`` (exact) or ``"kmeans"``; a
+    precomputed classed ``profile`` is reused as is (revision rounds)."""
+    prof = profile if profile is not None else classed_profile(master, forecast, classes, cluster_cfg)
     reco = pack_recommendations(prof)
     if flagged is not None:
         reco = downgrade_unprofitable(reco, flagged)
