@@ -40,11 +40,17 @@ def resolve_source(root: str | Sequence[str], pattern: str) -> str:
     g = ci_glob(pattern)
     if len(roots) == 1:
         return f"{roots[0].rstrip('/')}/{g}"
-    return "{" + ",".join(f"{r.rstrip('/')}/{g}" for r in roots) + "}"
+    return [f"{r.rstrip('/')}/{g}" for r in roots]
 
 
-def _read_csv(spark: SparkSession, path: str, glob: str | None = None,
+def _read_csv(spark: SparkSession, path, glob: str | None = None,
               schema: T.StructType | None = None) -> DataFrame | None:
+    if isinstance(path, (list, tuple)):  # alternative roots, first match wins
+        for p in path:
+            df = _read_csv(spark, p, glob, schema)
+            if df is not None:
+                return df
+        return None
     r = spark.read.option("header", True).option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -60,7 +66,7 @@ def _read_csv(spark: SparkSession, path: str, glob: str | None = None,
         raise
 
 
-def read_wide_panel(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame | None:
+def read_wide_panel(spark: SparkSession, path, glob: str | None = None) -> DataFrame | None:
     """Wide daily CSV, first column the date, then one column per SKU.
     All columns are read as text; the first is renamed ``Date``."""
     df = _read_csv(spark, path, glob)
