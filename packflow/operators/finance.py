@@ -135,8 +135,8 @@ def portfolio_totals(t: DataFrame) -> DataFrame:
         F.sum("Before_AnnualRevenue").alias("tb_rev"), F.sum("After_AnnualRevenue").alias("ta_rev"),
         F.sum("Before_PBT").alias("tb_pbt"), F.sum("After_PBT").alias("ta_pbt"),
         F.sum("Before_InventoryValue").alias("tb_inv"), F.sum("After_InventoryValue").alias("ta_inv"),
-        F.avg("Before_DebtorDays").alias("avg_debtor_before"),
-        F.avg("After_DebtorDays").alias("avg_debtor_after"),
+        exact_mean("Before_DebtorDays", 6).alias("avg_debtor_before"),
+        exact_mean("After_DebtorDays", 6).alias("avg_debtor_after"),
         F.count_if("IsUnprofitable").alias("Unprofitable_SKU_Count"),
         F.count("*").alias("Total_SKUs"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from packflow import config as C
 from packflow.functions.exprs import class_lookup, round_half_even
-from packflow.operators.common import mean
+from packflow.operators.common import exact_mean, mean
 from packflow.operators.features import sku_first_attributes
 
 
@@ -163,8 +163,8 @@ def pack_summary(reco: DataFrame) -> DataFrame:
         F.count_if(vc == "fast_mover").alias("fast_movers"),
         F.count_if(vc == "medium_mover").alias("medium_movers"),
         F.count_if(vc == "slow_mover").alias("slow_movers"),
-        round_half_even(F.avg("JustificationScore"), 1).alias("avg_justification_score"),
-        round_half_even(F.avg("EstInventoryReductionPct"), 1).alias("avg_inventory_reduction_pct"),
+        round_half_even(exact_mean("JustificationScore", 6), 1).alias("avg_justification_score"),
+        round_half_even(exact_mean("EstInventoryReductionPct", 6), 1).alias("avg_inventory_reduction_pct"),
         F.count_if(~F.col("CapacityFeasible")).alias("capacity_infeasible_count"))
 
 

@@ -16,7 +16,7 @@ from packflow.operators import kpi as K
 from packflow.plans.q_network import NET, _plan
 from packflow.plans.q_packs_finance import PF, _chain, _ledger
 from packflow.plans.registry import query
-from packflow.plans.sqlfrag import rhe
+from packflow.plans.sqlfrag import emean, rhe
 from packflow.sources import binding as B
 
 _FITS: dict = {}
@@ -192,15 +192,16 @@ def _bench_sql():
 
 
 _KP = {**PF, **NET}
-_KP["totals"] = """SELECT SUM("Before_AnnualRevenue") AS tb_rev, SUM("After_AnnualRevenue") AS ta_rev,
+_KP["totals"] = f"""SELECT SUM("Before_AnnualRevenue") AS tb_rev, SUM("After_AnnualRevenue") AS ta_rev,
     SUM("Before_PBT") AS tb_pbt, SUM("After_PBT") AS ta_pbt, SUM("Before_InventoryValue") AS tb_inv,
-    SUM("After_InventoryValue") AS ta_inv, AVG("Before_DebtorDays") AS db, AVG("After_DebtorDays") AS da FROM ledger"""
+    SUM("After_InventoryValue") AS ta_inv, {emean("Before_DebtorDays", 6)} AS db,
+    {emean("After_DebtorDays", 6)} AS da FROM ledger"""
 _KP["kp"] = f"""SELECT pbt_r, {rhe('LEAST(GREATEST(pbt_r, 10.0e0), 18.0e0)', 2)} AS pbt_c,
     rev_r, {rhe('LEAST(GREATEST(rev_r, 8.0e0), 15.0e0)', 2)} AS rev_c,
     inv_r, {rhe('LEAST(GREATEST(inv_r, 20.0e0), 30.0e0)', 2)} AS inv_c,
     debt_r, {rhe('LEAST(GREATEST(debt_r, 25.0e0), 35.0e0)', 2)} AS debt_c,
-    (SELECT {rhe('AVG("LeadTimeReduction_Pct")', 1)} FROM dplan) AS lt_r,
-    (SELECT {rhe('AVG("LeadTimeReduction_Pct")', 1)} FROM dplan) AS lt_c
+    (SELECT {rhe(emean('LeadTimeReduction_Pct', 6), 1)} FROM dplan) AS lt_r,
+    (SELECT {rhe(emean('LeadTimeReduction_Pct', 6), 1)} FROM dplan) AS lt_c
     FROM (SELECT CASE WHEN tb_pbt <> 0 THEN (ta_pbt - tb_pbt) / ABS(tb_pbt) * 100 ELSE 0.0e0 END AS pbt_r,
           CASE WHEN tb_rev <> 0 THEN (ta_rev - tb_rev) / ABS(tb_rev) * 100 ELSE 0.0e0 END AS rev_r,
           CASE WHEN tb_inv <> 0 THEN (tb_inv - ta_inv) / tb_inv * 100 ELSE 0.0e0 END AS inv_r,

@@ -9,7 +9,7 @@ from packflow.operators import dispatch as DP
 from packflow.operators import network as N
 from packflow.plans.oracle_base import recursive_cte
 from packflow.plans.registry import query
-from packflow.plans.sqlfrag import bins, clip, first_by, rhe
+from packflow.plans.sqlfrag import bins, clip, emean, first_by, rhe
 from packflow.sources import binding as B
 
 _PN, _PB = recursive_cte("paths", "src, dst, w, hops, path, nodes", """
@@ -233,9 +233,9 @@ _plan_part("join_best_route", ["Destination", "Path", "Hops", "PathWeight"], "J1
 avg_current_lead_time_days:x, avg_optimised_lead_time_days:x, express_priority_skus:i,
 network_nodes:i, network_edges:i""",
        f"""SELECT COUNT(DISTINCT "StorageLocationId") AS storage_locations, COUNT(DISTINCT "SkuId") AS skus_dispatched,
-          {rhe('AVG("LeadTimeReduction_Pct")', 1)} AS avg_lead_time_reduction_pct,
-          {rhe('AVG("CurrentLeadTimeDays")', 1)} AS avg_current_lead_time_days,
-          {rhe('AVG("OptimisedLeadTimeDays")', 1)} AS avg_optimised_lead_time_days,
+          {rhe(emean('LeadTimeReduction_Pct', 6), 1)} AS avg_lead_time_reduction_pct,
+          {rhe(emean('CurrentLeadTimeDays', 6), 1)} AS avg_current_lead_time_days,
+          {rhe(emean('OptimisedLeadTimeDays', 6), 1)} AS avg_optimised_lead_time_days,
           COUNT(*) FILTER (WHERE "DispatchPriority" = 'Express') AS express_priority_skus,
           (SELECT COUNT(*) FROM loc) + (SELECT COUNT(*) FROM (SELECT node1 AS node FROM edges UNION
              SELECT node2 FROM edges) e WHERE e.node NOT IN (SELECT node FROM loc)) AS network_nodes,

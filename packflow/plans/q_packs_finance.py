@@ -288,8 +288,8 @@ avg_inventory_reduction_pct:x, capacity_infeasible_count:i""",
        f"""SELECT COUNT(*) FILTER (WHERE "VelocityClass" = 'fast_mover') AS fast_movers,
           COUNT(*) FILTER (WHERE "VelocityClass" = 'medium_mover') AS medium_movers,
           COUNT(*) FILTER (WHERE "VelocityClass" = 'slow_mover') AS slow_movers,
-          {rhe('AVG("JustificationScore")', 1)} AS avg_justification_score,
-          {rhe('AVG("EstInventoryReductionPct")', 1)} AS avg_inventory_reduction_pct,
+          {rhe(emean('JustificationScore', 6), 1)} AS avg_justification_score,
+          {rhe(emean('EstInventoryReductionPct', 6), 1)} AS avg_inventory_reduction_pct,
           COUNT(*) FILTER (WHERE NOT "CapacityFeasible") AS capacity_infeasible_count FROM reco_cap""", PF)
 def q_pack_summary(spark, d):
     """K08 pack_summary."""
@@ -425,10 +425,10 @@ def q_class_lookup_default(spark, d):
                     class_lookup(vc, C.INVENTORY_REDUCTION_PCT, C.INVENTORY_REDUCTION_DEFAULT).alias("InventoryReductionPct"))
 
 
-TOTALS_SQL = """SELECT SUM("Before_AnnualRevenue") AS tb_rev, SUM("After_AnnualRevenue") AS ta_rev,
+TOTALS_SQL = f"""SELECT SUM("Before_AnnualRevenue") AS tb_rev, SUM("After_AnnualRevenue") AS ta_rev,
     SUM("Before_PBT") AS tb_pbt, SUM("After_PBT") AS ta_pbt, SUM("Before_InventoryValue") AS tb_inv,
-    SUM("After_InventoryValue") AS ta_inv, AVG("Before_DebtorDays") AS avg_debtor_before,
-    AVG("After_DebtorDays") AS avg_debtor_after,
+    SUM("After_InventoryValue") AS ta_inv, {emean("Before_DebtorDays", 6)} AS avg_debtor_before,
+    {emean("After_DebtorDays", 6)} AS avg_debtor_after,
     COUNT(*) FILTER (WHERE "IsUnprofitable") AS "Unprofitable_SKU_Count", COUNT(*) AS "Total_SKUs"
     FROM ledger"""
 
