@@ -103,3 +103,5 @@ class ClusterConfig:
     k: int = 3
     seed: int = 42
     restarts: int = 10
+    max_iter: int = 50
+    parallelism: int = 4

@@ -25,16 +25,22 @@ def scale_features(profile: DataFrame, cols=VELOCITY_FEATURES) -> DataFrame:
 
 def fit_kmeans(scaled: DataFrame, cfg: ClusterConfig = ClusterConfig(), cols=VELOCITY_FEATURES):
     """K-means|| with ``restarts`` seeds; the lowest cost wins."""
+    from concurrent.futures import ThreadPoolExecutor
+
     va = VectorAssembler(inputCols=[f"z_{c}" for c in cols], outputCol="_zv")
     data = va.transform(scaled).select("SkuId", "_zv").checkpoint(eager=True)
-    best = None
-    for i in range(cfg.restarts):
+
+    def fit(i):
         m = KMeans(k=cfg.k, seed=cfg.seed + i, featuresCol="_zv", predictionCol="cluster",
-                   initMode="k-means||", maxIter=100).fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    return best[1], va
+                   initMode="k-means||", maxIter=cfg.max_iter).fit(data)
+        return m.summary.trainingCost, i, m
+
+    # restarts are independent jobs: submit them concurrently (as
+    # CrossValidator's ``parallelism`` does) so small fits share the cluster
+    with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, cfg.restarts))) as ex:
+        fits = list(ex.map(fit, range(cfg.restarts)))
+    best = min(fits, key=lambda t: (t[0], t[1]))
+    return best[2], va
 
 
 def rank_clusters(model, spark) -> DataFrame:

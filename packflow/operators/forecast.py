@@ -32,7 +32,10 @@ def train_forest(train: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> Pi
     """Random forest, all features per split, fixed seed."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=cfg.num_trees,
                                featureSubsetStrategy="all", maxDepth=cfg.max_depth, seed=cfg.seed,
-                               maxBins=32, subsamplingRate=1.0, bootstrap=True)
+                               maxBins=32, subsamplingRate=1.0, bootstrap=True,
+                               # one data pass per tree level for all 100 trees' nodes, and
+                               # node ids cached instead of re-walking every tree per level
+                               maxMemoryInMB=2048, cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=[assemble_vector(train), rf]).fit(train)
 
 
