@@ -104,4 +104,4 @@ class ClusterConfig:
     seed: int = 42
     restarts: int = 10
     max_iter: int = 50
-    parallelism: int = 4
+    parallelism: int = 10

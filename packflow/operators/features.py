@@ -98,8 +98,26 @@ def tail_stats(daily: DataFrame, k: int = 7, value: str = "SalesOrderQty") -> Da
 
 
 def encode_categories(df: DataFrame, cols=("SkuId", "ProductGroup", "SubGroup")) -> dict:
-    """Sorted distinct -> 0..n-1 for each column (exact, distributed)."""
-    return {c: dense_codes(df, c) for c in cols}
+    """Sorted distinct -> 0..n-1 for each column (exact, distributed).
+
+    All columns are ranked in one pass: the distinct (column, value) pairs
+    get global positions in (column, value) order, and a value's code is its
+    position minus the first position of its column."""
+    cols = list(cols)
+    if len(cols) == 1:
+        return {cols[0]: dense_codes(df, cols[0])}
+    pairs = None
+    for c in cols:
+        t = df.select(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val")).where(
+            F.col("_val").isNotNull()).distinct()
+        pairs = t if pairs is None else pairs.unionByName(t)
+    ranked = global_index(pairs, ["_col", "_val"], "_i")
+    first = ranked.groupBy("_col").agg(F.min("_i").alias("_f"))
+    coded = ranked.join(F.broadcast(first), "_col").withColumn("_code", F.col("_i") - F.col("_f"))
+    coded = coded.select("_col", "_val", "_code").checkpoint(eager=True)
+    return {c: coded.where(F.col("_col") == c).select(F.col("_val").alias(c),
+                                                      F.col("_code").alias(f"{c}_enc"))
+            for c in cols}
 
 
 def encode_unseen(df: DataFrame, codes: dict) -> DataFrame:

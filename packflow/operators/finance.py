@@ -119,11 +119,17 @@ LEDGER_COLS = ["SkuId", "AvgDailyDemand", "TotalDays", "AvgUnitCost", "AvgPrice"
                "IsUnprofitable"]
 
 
-def financial_table(master: DataFrame, reco: DataFrame | None,
-                    prices: DataFrame | None) -> DataFrame:
-    """F01-F04 over A08 + J05 + J08 (A09 when no recommendations)."""
-    base = join_price_lookup(sku_finance_base(master),
+def finance_base(master: DataFrame, prices: DataFrame | None) -> DataFrame:
+    """A08 + J05: per-SKU actuals with the price override applied."""
+    return join_price_lookup(sku_finance_base(master),
                              avg_item_price(prices) if prices is not None else None)
+
+
+def financial_table(master: DataFrame, reco: DataFrame | None,
+                    prices: DataFrame | None, base: DataFrame | None = None) -> DataFrame:
+    """F01-F04 over A08 + J05 + J08 (A09 when no recommendations). A
+    precomputed ``base`` (``finance_base``) is reused as is."""
+    base = base if base is not None else finance_base(master, prices)
     reco = reco if reco is not None else default_recommendations(master)
     t = flag_unprofitable(pbt_uplift(after_ledger(before_ledger(join_reco_finance(base, reco)))))
     return t.select(*LEDGER_COLS)
@@ -201,8 +207,10 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
     from packflow.operators.packs import classed_profile, optimize_packs
     # classes do not change between rounds (only the downgrade does): fit once
     prof = classed_profile(master, forecast, classes, cluster_cfg).checkpoint(eager=True)
+    # the SKU actuals and prices do not change between rounds either
+    base = finance_base(master, prices).checkpoint(eager=True)
     packs = optimize_packs(master, forecast, classes, profile=prof)
-    table = financial_table(master, packs["recommendations"], prices).checkpoint(eager=True)
+    table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
     flagged = None
     rounds = 0
     for _ in range(max_rounds):
@@ -212,7 +220,7 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
         flagged = new if flagged is None else flagged.unionByName(new).distinct()
         flagged = flagged.checkpoint(eager=True)
         packs = optimize_packs(master, forecast, classes, flagged=flagged, profile=prof)
-        table = financial_table(master, packs["recommendations"], prices).checkpoint(eager=True)
+        table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
         rounds += 1
     return {"packs": packs, "finance": table, "rounds": rounds, "flagged": flagged,
             "summary": portfolio_summary(table)}

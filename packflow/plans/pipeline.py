@@ -49,7 +49,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
     mark("forecast", t0)
 
     t0 = time.time()
-    prices = B.sell_prices(spark, sf_dir)
+    prices = B.materialise(spark, "sell_prices", sf_dir, lambda: B.sell_prices(spark, sf_dir))
     rev = FI.revision_loop(m, forecast, prices, max_revision_rounds, classes, cluster_cfg)
     packs, finance = rev["packs"], rev["finance"]
     mark("packs_finance", t0)
