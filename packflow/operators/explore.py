@@ -153,7 +153,7 @@ def box_statistics(df: DataFrame, group: str, value: str) -> DataFrame:
                   F.col("`0.75`").alias("q3")))
     qp = qp.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = df.select(group, F.col(value).cast("double").alias("_v")).join(F.broadcast(qp), group)
+    j = df.select(group, F.col(value).cast("double").alias("_v")).join(qp, group)
     inside = (F.col("_v") >= F.col("lo_fence")) & (F.col("_v") <= F.col("hi_fence"))
     w = j.groupBy(group).agg(F.min(F.when(inside, F.col("_v"))).alias("lower_whisker"),
                              F.max(F.when(inside, F.col("_v"))).alias("upper_whisker"),

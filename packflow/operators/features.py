@@ -124,7 +124,7 @@ def encode_unseen(df: DataFrame, codes: dict) -> DataFrame:
     """Attach codes; a value not seen at fit time gets the first class
     (code 0)."""
     for c, t in codes.items():
-        df = df.join(F.broadcast(t) if c != "SkuId" else t, c, "left").withColumn(
+        df = df.join(t, c, "left").withColumn(
             f"{c}_enc", F.coalesce(F.col(f"{c}_enc"), F.lit(0)).cast("bigint"))
     return df
 
@@ -170,7 +170,7 @@ def ordered_split(rows: DataFrame, fraction: float = 0.8, mode: str = "sku_date_
         wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         boff = bsum.select("_bucket", F.coalesce(F.sum("_bs").over(wb), F.lit(0)).alias("_boff"))
         wi = Window.partitionBy("_bucket").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-        start = (ranked.join(F.broadcast(boff), "_bucket")
+        start = (ranked.join(boff, "_bucket")
                  .withColumn("_start", F.col("_boff") + F.coalesce(F.sum("_c").over(wi), F.lit(0)))
                  .select("SkuId", "_start"))
         pos = F.row_number().over(by_sku()) - 1

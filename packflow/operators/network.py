@@ -130,7 +130,7 @@ def ordered_location_pairs(locations: DataFrame) -> DataFrame:
     """All ordered pairs of distinct locations (dimension x dimension)."""
     l1 = locations.select(F.col("node").alias("Source"))
     l2 = locations.select(F.col("node").alias("Destination"))
-    return l1.crossJoin(F.broadcast(l2)).where(F.col("Source") != F.col("Destination"))
+    return l1.crossJoin(l2).where(F.col("Source") != F.col("Destination"))
 
 
 def routing_paths(pairs: DataFrame, paths: DataFrame) -> DataFrame:
