@@ -117,16 +117,17 @@ def rank_importance(imp: DataFrame) -> DataFrame:
 def forecast(master: DataFrame, cfg: ForecastConfig = ForecastConfig(), sku_filter=None,
              model_dir: str | None = None) -> dict:
     """Forecast per SKU x day with interval, plus metrics and actuals."""
-    daily = FE.daily_series(master)
+    # the SKU x day series and its features feed the split bounds, the fit,
+    # the hold-out and the horizon: materialise each once
+    daily = FE.daily_series(master).checkpoint(eager=True)
     codes = FE.encode_categories(daily)
-    feats = FE.build_features(daily, codes)
     if cfg.method == "naive":
         fc = FE.naive_forecast(daily, cfg.horizon_days)
         if sku_filter:
             fc = fc.where(F.col("SkuId").isin(list(sku_filter)))
         return {"forecast": fc, "actuals": FE.actuals(master, fc), "metrics": None, "model": None}
+    feats = FE.build_features(daily, codes).checkpoint(eager=True)
     train, test = split(feats, cfg)
-    train = train.checkpoint(eager=True)
     model = save_load_model(train, cfg, model_dir)
     metrics = evaluate_holdout(model, test)
     if sku_filter:

@@ -216,7 +216,42 @@ def q_benchmark_comparison(spark, d):
     return K.benchmark_comparison(fin, disp)
 
 
-@query("pipeline_summary", "Metric:s, Value:d")
+def _pipeline_summary_sql():
+    from packflow.plans.q_features import FEAT
+    from packflow.plans.q_production import PLANT_STATS_SQL_FULL, UTIL_SQL, schedule_sql
+    ctes = {**_KP, **FEAT}
+    ctes["errs"] = f"""SELECT {rhe('SQRT(AVG(e * e))', 2)} AS demand_rmse,
+        {rhe('AVG(ABS(e / (y + 1e-9))) * 100', 2)} AS demand_mape_pct
+        FROM (SELECT "SalesOrderQty" - lag_1 AS e, "SalesOrderQty" AS y FROM split WHERE NOT is_train) t"""
+    ctes["kpi_row"] = f"""SELECT e.demand_mape_pct, e.demand_rmse,
+        (SELECT COUNT(DISTINCT "SkuId") FROM fcast) AS skus_forecasted,
+        (SELECT COUNT(*) FILTER (WHERE "VelocityClass" = 'fast_mover') FROM reco_cap) AS fast_movers,
+        (SELECT COUNT(*) FILTER (WHERE "VelocityClass" = 'medium_mover') FROM reco_cap) AS medium_movers,
+        (SELECT COUNT(*) FILTER (WHERE "VelocityClass" = 'slow_mover') FROM reco_cap) AS slow_movers,
+        (SELECT {rhe(emean('EstInventoryReductionPct', 6), 1)} FROM reco_cap) AS avg_inventory_reduction_pct,
+        k.pbt_c AS pbt_uplift_pct, k.rev_c AS revenue_uplift_pct, k.inv_c AS inventory_reduction_pct,
+        k.debt_c AS debtor_cycle_improvement_pct,
+        (SELECT COUNT(*) FROM ({PLANT_STATS_SQL_FULL}) ps) AS plants_analysed,
+        (SELECT {rhe('AVG("TargetUtilisation") * 100', 1)} FROM ({UTIL_SQL}) u) AS avg_plant_utilisation_pct,
+        (SELECT {rhe('AVG("EstLeadTimeDays")', 1)} FROM ({schedule_sql(None)}) sc) AS avg_lead_time_days,
+        k.lt_c AS avg_lead_time_reduction_pct,
+        (SELECT COUNT(DISTINCT "StorageLocationId") FROM dplan) AS storage_locations
+        FROM errs e CROSS JOIN kp k"""
+    names = ["demand_mape_pct", "demand_rmse", "skus_forecasted", "fast_movers", "medium_movers",
+             "slow_movers", "avg_inventory_reduction_pct", "pbt_uplift_pct", "revenue_uplift_pct",
+             "inventory_reduction_pct", "debtor_cycle_improvement_pct", "plants_analysed",
+             "avg_plant_utilisation_pct", "avg_lead_time_days", "avg_lead_time_reduction_pct",
+             "storage_locations"]
+    cast = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
+    sql = (f"SELECT * FROM (SELECT {cast} FROM kpi_row) t UNPIVOT (\"Value\" FOR \"Metric\" IN "
+           f"({', '.join(names)}))")
+    return sql, ctes
+
+
+_PS_SQL, _PS_CTES = _pipeline_summary_sql()
+
+
+@query("pipeline_summary", "Metric:s, Value:d", _PS_SQL, _PS_CTES)
 def q_pipeline_summary(spark, d):
     """E03 pipeline_summary: the 16 KPIs of a run (naive forecast and rule
     classes, so the table is deterministic)."""

@@ -483,7 +483,34 @@ def q_profit_bridge(spark, d):
     return FI.profit_bridge(_ledger(spark, d))
 
 
-@query("revision_loop", LEDGER_OUT)
+def _downgrade_sql(flags: str) -> str:
+    return f"""SELECT r."SkuId", r."ProductGroup", r."SubGroup", r."PlantId", r."StorageLocationId",
+        CASE WHEN f."SkuId" IS NOT NULL THEN 'slow_mover' ELSE r."VelocityClass" END AS "VelocityClass",
+        CASE WHEN f."SkuId" IS NOT NULL THEN 'Promotional Multipack' ELSE r."PackConfig" END AS "PackConfig",
+        r."PackDescription",
+        CASE WHEN f."SkuId" IS NOT NULL THEN 6 ELSE r."PackMultiplier" END AS "PackMultiplier",
+        r."RecommendedPackQty",
+        CASE WHEN f."SkuId" IS NOT NULL THEN r."JustificationScore" * 0.7e0 ELSE r."JustificationScore" END AS "JustificationScore",
+        r."HistMeanDailyDemand", r."ForecastMeanDailyDemand", r."DemandCV", r."EstInventoryReductionPct",
+        r."CostFactor", r."AvgPlantCapacity", r."CapacityFeasible"
+        FROM reco_cap r LEFT JOIN ({flags}) f ON r."SkuId" = f."SkuId\""""
+
+
+# Two revision rounds with flags accumulated across rounds. Running both
+# rounds unconditionally is equivalent to the early stop: with no new flags a
+# round reproduces the previous ledger.
+REV = dict(PF)
+REV["flags1"] = """SELECT DISTINCT "SkuId" FROM ledger WHERE "IsUnprofitable\""""
+REV["reco_r1"] = _downgrade_sql("SELECT * FROM flags1")
+REV["fin_r1"] = PF["fin"].replace("reco_cap r", "reco_r1 r")
+REV["ledger_r1"] = PF["ledger"].replace("FROM fin", "FROM fin_r1")
+REV["flags2"] = """SELECT "SkuId" FROM flags1 UNION SELECT "SkuId" FROM ledger_r1 WHERE "IsUnprofitable\""""
+REV["reco_r2"] = _downgrade_sql("SELECT * FROM flags2")
+REV["fin_r2"] = PF["fin"].replace("reco_cap r", "reco_r2 r")
+REV["ledger_r2"] = PF["ledger"].replace("FROM fin", "FROM fin_r2")
+
+
+@query("revision_loop", LEDGER_OUT, "SELECT * FROM ledger_r2", REV)
 def q_revision_loop(spark, d):
     """F07 revision_loop: up to 2 revision rounds with accumulated flags."""
     m, fc = _chain(spark, d)

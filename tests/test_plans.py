@@ -26,3 +26,18 @@ def test_no_python_udf_in_exact_chain(spark):
     for name in ("financial_table", "dispatch_plan", "production_schedule", "build_features"):
         p = plan(REGISTRY[name].fn(spark, SF0001))
         assert "EvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_fact_windows_are_partitioned(spark):
+    """Row frames over the SKU x day series never gather into one partition."""
+    from packflow.operators import features as FE
+    from packflow.sources import binding as B
+    daily = FE.daily_series(B.master_table(spark, SF0001))
+    p = plan(FE.trailing_std_7(FE.trailing_mean_7(FE.lag_features(daily))))
+    assert "SinglePartition" not in p
+    assert "Window" in p and "hashpartitioning(SkuId" in p
+
+
+def test_master_has_no_single_partition(spark):
+    from packflow.sources import binding as B
+    assert "SinglePartition" not in plan(B.master(spark, SF0001))
