@@ -13,7 +13,7 @@ from packflow.plans.q_network import NET, _plan
 from packflow.plans.q_packs_finance import PF, _ledger, _packs
 from packflow.plans.q_production import schedule_sql
 from packflow.plans.registry import query
-from packflow.plans.sqlfrag import esum, mean, quantiles_sql, rhe
+from packflow.plans.sqlfrag import emean, esum, mean, quantiles_sql, rhe
 from packflow.sources import binding as B
 
 ALL = {**PF, **NET, **FEAT}
@@ -325,12 +325,15 @@ def q_dataset_overview(spark, d):
 
 
 @query("sku_lead_time_mean", "SkuId:s, CurrentLeadTimeDays:d, OptimisedLeadTimeDays:d",
-       """SELECT "SkuId", AVG("CurrentLeadTimeDays") AS "CurrentLeadTimeDays",
-          AVG("OptimisedLeadTimeDays") AS "OptimisedLeadTimeDays" FROM dplan GROUP BY 1""", ALL)
+       f"""SELECT "SkuId", {emean("CurrentLeadTimeDays", 6)} AS "CurrentLeadTimeDays",
+          {emean("OptimisedLeadTimeDays", 6)} AS "OptimisedLeadTimeDays" FROM dplan GROUP BY 1""", ALL)
 def q_sku_lead_time_mean(spark, d):
     """A36 sku_lead_time_mean."""
-    return _plan(spark, d)[0].groupBy("SkuId").agg(F.avg("CurrentLeadTimeDays").alias("CurrentLeadTimeDays"),
-                                                   F.avg("OptimisedLeadTimeDays").alias("OptimisedLeadTimeDays"))
+    from packflow.operators.common import exact_mean
+    # exact means: equal means must compare equal for the top-k tie-break
+    return _plan(spark, d)[0].groupBy("SkuId").agg(
+        exact_mean("CurrentLeadTimeDays", 6).alias("CurrentLeadTimeDays"),
+        exact_mean("OptimisedLeadTimeDays", 6).alias("OptimisedLeadTimeDays"))
 
 
 @query("price_ranges", "sg_min:d, sg_max:d, m5_min:d, m5_max:d, looked_up_items:i",
@@ -451,8 +454,8 @@ def q_top_dispatch(spark, d):
 
 
 @query("top_lead_time", "SkuId:s, CurrentLeadTimeDays:d, OptimisedLeadTimeDays:d",
-       """SELECT "SkuId", AVG("CurrentLeadTimeDays") AS "CurrentLeadTimeDays",
-          AVG("OptimisedLeadTimeDays") AS "OptimisedLeadTimeDays" FROM dplan GROUP BY 1
+       f"""SELECT "SkuId", {emean("CurrentLeadTimeDays", 6)} AS "CurrentLeadTimeDays",
+          {emean("OptimisedLeadTimeDays", 6)} AS "OptimisedLeadTimeDays" FROM dplan GROUP BY 1
           ORDER BY 2 DESC, 1 LIMIT 20""", ALL)
 def q_top_lead_time(spark, d):
     """T09 top_lead_time."""
