@@ -39,19 +39,49 @@ def _write_signals(spark, d, root):
         _write_csv(B.wide_panel(spark, d, value), f"{root}/{fname}")
 
 
-WIDE_OUT = "Date:s, PlantId:s, " + ", ".join(f"s{i}:s" for i in range(10))
+WIDE_OUT = "Date:t, PlantId:s, " + ", ".join(f"s{i}:x" for i in range(10))
+SLOTS = [f"s{i}" for i in range(10)]
 
 
-@query("read_wide_panel", WIDE_OUT)
+def _wide_sql(value: str, where: str = "") -> str:
+    cols = ", ".join(f"""COALESCE(SUM({value}) FILTER (WHERE (l_partkey % 10) = {i}), 0.0e0) AS s{i}"""
+                     for i in range(10))
+    return f"""SELECT CAST(l_shipdate AS DATE) AS "Date", 'PL' || (l_partkey - l_partkey % 10) AS "PlantId", {cols}
+        FROM (SELECT l_shipdate, l_partkey, l_quantity, l_tax, l_discount, l_linestatus, p_size
+              FROM lineitem JOIN part ON l_partkey = p_partkey {where}) t GROUP BY 1, 2"""
+
+
+def _parsed_wide(df):
+    return M.parse_quantities(M.parse_dates(df), SLOTS)
+
+
+@query("read_wide_panel", WIDE_OUT, _wide_sql("l_quantity * p_size"))
 def q_read_wide_panel(spark, d):
     """S01 read_wide_panel: the daily sales panel (one column per SKU slot)
-    written as CSV and read back as text."""
+    written as CSV, read back as text, then dates / quantities parsed."""
     root = _root(spark, "wide")
     _write_csv(B.wide_panel(spark, d), f"{root}/Sales Order.csv")
-    return FS.read_wide_panel(spark, FS.resolve_source(root, "sales order"))
-
-
-@query("read_signals", "Date:t, SkuId:s, SalesOrderQty:x, ProductionQty:x, DeliveryQty:x, FactoryIssueQty:x")
+    return _parsed_wide(FS.read_wide_panel(spark, FS.resolve_source(root, "sales order")))
+
+
+_LONG = """SELECT w."Date", 'P' || (CAST(SUBSTR(w."PlantId", 3) AS BIGINT) + s.slot) AS "SkuId", s.slot
+    FROM wide_sales w CROSS JOIN range(0, 10) s(slot)"""
+_SIG_PARTS = {
+    "sig_lines": """SELECT CAST(l_shipdate AS DATE) AS "Date", 'P' || l_partkey AS "SkuId",
+        SUM(l_quantity * p_size) AS so, ROUND(SUM(l_quantity * p_size * (1 + l_tax)), 2) AS pr,
+        SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity * p_size ELSE 0 END) AS dl,
+        ROUND(SUM(l_quantity * p_size * (1 - l_discount)), 2) AS fi
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
+    "wide_sales": """SELECT DISTINCT CAST(l_shipdate AS DATE) AS "Date", 'PL' || (l_partkey - l_partkey % 10) AS "PlantId"
+        FROM lineitem""",
+    "long_slots": _LONG,
+}
+
+
+@query("read_signals", "Date:t, SkuId:s, SalesOrderQty:x, ProductionQty:x, DeliveryQty:x, FactoryIssueQty:x",
+       """SELECT l."Date", l."SkuId", COALESCE(g.so, 0.0e0) AS "SalesOrderQty", COALESCE(g.pr, 0.0e0) AS "ProductionQty",
+          COALESCE(g.dl, 0.0e0) AS "DeliveryQty", COALESCE(g.fi, 0.0e0) AS "FactoryIssueQty"
+          FROM long_slots l LEFT JOIN sig_lines g ON l."Date" = g."Date" AND l."SkuId" = g."SkuId\"""", _SIG_PARTS)
 def q_read_signals(spark, d):
     """S02 read_signals: four wide CSVs -> long signals -> J01 join."""
     root = _root(spark, "signals")
@@ -61,13 +91,16 @@ def q_read_signals(spark, d):
     return M.join_signals(sig["SalesOrderQty"], {k: v for k, v in sig.items() if k != "SalesOrderQty"})
 
 
-@query("resolve_source", WIDE_OUT)
+@query("resolve_source", WIDE_OUT,
+       f"""SELECT "Date", "PlantId", {", ".join(f"ROUND(s{i}, 2) AS s{i}" for i in range(10))}
+       FROM ({_wide_sql("l_quantity * p_size * (1 + l_tax)")}) w""")
 def q_resolve_source(spark, d):
-    """S03 resolve_source: case-insensitive name match across two roots."""
+    """S03 resolve_source: case-insensitive name match across two roots (the
+    production panel is found under the second root)."""
     r1, r2 = _root(spark, "r1"), _root(spark, "r2")
     _write_csv(B.wide_panel(spark, d, "ProductionQty"), f"{r2}/PRODUCTION .CSV")
     _write_csv(B.wide_panel(spark, d, "SalesOrderQty").limit(0), f"{r1}/unrelated.csv")
-    return FS.read_wide_panel(spark, FS.resolve_source([r1, r2], "production"))
+    return _parsed_wide(FS.read_wide_panel(spark, FS.resolve_source([r1, r2], "production")))
 
 
 @query("read_nodes", "SkuId:s", """SELECT 'P' || p_partkey AS "SkuId" FROM part""")
@@ -127,7 +160,10 @@ def q_read_sell_prices(spark, d):
     return FS.read_sell_prices(spark, path)
 
 
-@query("read_sales_history", "item_id:s, year:s, d:s, sales:x")
+@query("read_sales_history", "item_id:s, year:s, d:s, sales:x",
+       """SELECT 'P' || l_partkey AS item_id, CAST(YEAR(CAST(l_shipdate AS DATE)) AS VARCHAR) AS "year",
+          'd_' || DAYOFYEAR(CAST(l_shipdate AS DATE)) AS d, SUM(l_quantity * p_size) AS sales
+          FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")
 def q_read_sales_history(spark, d):
     """S10 read_sales_history: item x year rows with one column per day of
     year (``d_1``..``d_366``) written wide, read back long."""
@@ -141,7 +177,8 @@ def q_read_sales_history(spark, d):
     return FS.read_sales_history(spark, root).where(F.col("sales") != 0)
 
 
-@query("empty_with_schema", "kind:s, label:s, node1:s, node2:s")
+@query("empty_with_schema", "kind:s, label:s, node1:s, node2:s",
+       "SELECT 'storage' AS kind, node1 AS label, node1, node2 FROM edges")
 def q_empty_with_schema(spark, d):
     """S11 empty_with_schema: the plant edge table is absent, so it reads as
     an empty frame with fixed columns; unioned with the storage edges."""
