@@ -278,16 +278,42 @@ def q_top_plants(spark, d):
                     .alias("Marker"))
 
 
-@query("schema_report", "column:s, dtype:s, nulls:i, min:s, max:s, status:s")
+MASTER_TYPES = [("Date", "date"), ("SkuId", "string"), ("ProductGroup", "string"), ("SubGroup", "string"),
+                ("PlantId", "string"), ("StorageLocationId", "string"), ("OnHandQty", "double"),
+                ("UnitCost", "double"), ("LeadTimeDays", "int"), ("SalesOrderQty", "double"),
+                ("ProductionQty", "double"), ("DeliveryQty", "double"), ("FactoryIssueQty", "double"),
+                ("Promotional_Flag", "int"), ("Price", "double")]
+
+
+def _fmt_sql(agg: str, c: str, t: str) -> str:
+    e = f'{agg}("{c}")'
+    if t in ("double", "int"):
+        return f"PRINTF('%.2f', CAST({e} AS DOUBLE))"
+    return f"SUBSTR(CAST({e} AS VARCHAR), 1, 10)"
+
+
+_SCHEMA_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS dtype, COUNT(*) FILTER (WHERE "{c}" IS NULL) AS nulls,
+        {_fmt_sql('MIN', c, t)} AS "min", {_fmt_sql('MAX', c, t)} AS "max", 'ok' AS status FROM master"""
+    for c, t in MASTER_TYPES)
+
+
+@query("schema_report", "column:s, dtype:s, nulls:i, min:s, max:s, status:s", _SCHEMA_SQL)
 def q_schema_report(spark, d):
     """A35 schema_report: per unified column type, null count, min, max
     (one aggregate over all columns), and missing / extra columns."""
     m = B.master_table(spark, d)
     cols = [c for c in M.UNIFIED if c in m.columns]
+
+    def _fmt(e, df, c):  # numbers as '%.2f', anything else as its first 10 characters
+        t = df.schema[c].dataType.simpleString()
+        if t in ("double", "int", "bigint", "float"):
+            return F.format_string("%.2f", e.cast("double"))
+        return F.substring(e.cast("string"), 1, 10)
     aggs = []
     for c in cols:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), F.min(c).cast("string").alias(f"lo_{c}"),
-                 F.max(c).cast("string").alias(f"hi_{c}")]
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), _fmt(F.min(c), m, c).alias(f"lo_{c}"),
+                 _fmt(F.max(c), m, c).alias(f"hi_{c}")]
     one = m.agg(*aggs)
     types = dict((f.name, f.dataType.simpleString()) for f in m.schema)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
