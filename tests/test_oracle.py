@@ -10,7 +10,8 @@ SAMPLE = ["plant_statistics", "production_schedule", "build_master", "join_signa
           "pack_recommendations", "financial_table", "portfolio_summary", "shortest_paths",
           "unreachable_pairs", "dispatch_plan", "build_features", "ordered_split", "horizon_frame",
           "demand_cv", "describe_panel", "correlation_matrix", "volatility_group_month",
-          "top_dispatch", "benchmark_comparison", "read_calendar", "read_results"]
+          "top_dispatch", "benchmark_comparison", "read_calendar", "read_results", "revision_loop",
+          "pipeline_summary", "schema_report", "read_signals", "top_lead_time"]
 
 
 @pytest.fixture(scope="module")
