@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packflow.llm import anomaly, bpe, language, mixing, packing, secrets, topk
+from packflow.llm import anomaly, bpe, jaccard, language, mixing, packing, repeats, secrets, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +35,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packed_ids": _documents(packing.op1),
+    "op3_super_kmers": _documents(repeats.op3),
     "op4_isolation_forest": op4,
     "op5_mtree_topk": op5,
     "op6_cross_parsing": _documents(language.op6),
     "op7_backtracking_bpe": _documents(bpe.op7),
     "op8_pareto_mix": _documents(mixing.op8),
+    "op9_signature_trees": _documents(jaccard.op9),
     "op10_secret_links": _documents(secrets.op10),
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {

@@ -19,13 +19,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packflow.llm.common import folds, prepare
 
 SEGMENT = 512
 SYMBOLS = 64  # symbol 0: anything but letters; 63: letters outside the samples
 OTHER = SYMBOLS - 1
-SCHEMA = "doc_id long, lang_pred string, score double, phrases string"
 
 
 def fit_sample(docs: DataFrame, sample_docs: int = 64, sample_chars: int = 30_000,
@@ -195,8 +195,9 @@ def predict_texts(texts: list[str | None], samples: dict[str, str]) -> list[tupl
     return out
 
 
-def identify(docs: DataFrame, samples: dict[str, str], slice_chars: int = 2_000_000) -> DataFrame:
-    """Language of every text: doc_id, lang_pred, score, phrases.
+def identify(docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = (),
+             slice_chars: int = 2_000_000) -> DataFrame:
+    """Language of every text: doc_id, the columns ``keep``, lang_pred, score, phrases.
 
     Null texts and texts without a letter get ``und`` and 0; rows are
     independent, so ties, repeated rows and extra columns change nothing; an
@@ -205,10 +206,14 @@ def identify(docs: DataFrame, samples: dict[str, str], slice_chars: int = 2_000_
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(samples)  # at most max_languages x sample_chars
+    extra = [c for c in keep if c != "doc_id"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *extra)
+    out = T.StructType([f for f in rows.schema if f.name != "_text"]).add("lang_pred", "string").add(
+        "score", "double").add("phrases", "string")
 
     def run(batches):
         for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
+            texts = b.column(1).to_pylist()
             at = 0
             while at < len(texts):
                 end, size = at, 0
@@ -217,12 +222,13 @@ def identify(docs: DataFrame, samples: dict[str, str], slice_chars: int = 2_000_
                     end += 1
                 got = predict_texts(texts[at:end], shared.value)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, end - at), pa.array([g[0] for g in got], pa.string()),
-                     pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.string())],
-                    names=["doc_id", "lang_pred", "score", "phrases"])
+                    [c.slice(at, end - at) for k, c in enumerate(b.columns) if k != 1]
+                    + [pa.array([g[0] for g in got], pa.string()),
+                       pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.string())],
+                    names=["doc_id", *extra, "lang_pred", "score", "phrases"])
                 at = end
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, out)
 
 
 def op6(docs: DataFrame) -> DataFrame:
