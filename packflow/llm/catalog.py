@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packflow.llm import anomaly, bpe, jaccard, language, mixing, packing, repeats, secrets, topk
+from packflow.llm import anomaly, bpe, jaccard, language, lm, mixing, packing, repeats, secrets, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packed_ids": _documents(packing.op1),
+    "op2_context_mixing": _documents(lm.op2),
     "op3_super_kmers": _documents(repeats.op3),
     "op4_isolation_forest": op4,
     "op5_mtree_topk": op5,
