@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from packflow.session import ensure_checkpoint_dir, shared_path
 
+ARROW_ROWS = "1000"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SHIPPED: set[str] = set()
@@ -20,6 +21,8 @@ def prepare(spark: SparkSession) -> None:
     """Shared folder known, and this package importable by Python workers
     whatever folder they start in (Spark's own file distribution)."""
     ensure_checkpoint_dir(spark)
+    # texts are long rows: smaller Arrow batches keep workers small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -28,8 +28,8 @@ from packflow.llm.common import buckets_for, prepare, text_chars, texts, written
 from packflow.llm.words import Words, mix, slices, span_hash, windows
 
 K, M = 35, 4
-BLOCK_BYTES = 8 << 20
-BUCKET_CHARS = 16_000_000
+BLOCK_BYTES = 4 << 20
+BUCKET_CHARS = 12_000_000
 HOT = 512  # places of a minimiser from which its windows travel one by one
 _U = np.uint64
 
@@ -167,9 +167,10 @@ def _minimisers(blocks: DataFrame, buckets: int, k: int, m: int) -> DataFrame:
                 mini, n = np.unique(Block(r["counts"], r["payload"], k, m).run_mini, return_counts=True)
                 b = (mix(mini) % _U(buckets)).astype(np.int64)
                 order = np.argsort(b, kind="stable")
-                mini, n, cut = mini[order], n[order], np.searchsorted(b[order], np.arange(buckets + 1))
-                rows = [(r["block"], 1, x, n[cut[x]: cut[x + 1]].astype(np.uint32).tobytes(),
-                         mini[cut[x]: cut[x + 1]].tobytes()) for x in range(buckets) if cut[x] < cut[x + 1]]
+                mini, n, b = mini[order], n[order].astype(np.uint32), b[order]
+                own, cut = np.unique(b, return_index=True)
+                rows = [(r["block"], 1, int(x), n[a:e].tobytes(), mini[a:e].tobytes())
+                        for x, a, e in zip(own, cut, np.append(cut[1:], len(b)))]
                 yield pa.RecordBatch.from_arrays(_rows(rows), names=NAMES)
 
     return blocks.mapInArrow(run, ROW)

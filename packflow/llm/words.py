@@ -81,11 +81,19 @@ class Words:
         self.ends = np.flatnonzero(w & ~right[1:]) + 1
         self.docs = np.searchsorted(self.starts, offsets)  # word offsets per text
 
-    def hashes(self, lower: bool) -> np.ndarray:
-        d = LOWER[self.data] if lower else self.data
-        c, q = prefix(BYTE_VALUE[d], _MUL_BYTE)
-        h = (c[self.ends] - c[self.starts]) * q[self.starts]
-        return mix(h + (self.ends - self.starts).astype(_U))
+    def hashes(self, lower: bool, step: int = 1 << 18) -> np.ndarray:
+        """Hash of each word, over about ``step`` bytes at once."""
+        out = np.empty(len(self.starts), _U)
+        at = 0
+        while at < len(out):
+            lo = self.starts[at]
+            end = max(at + 1, int(np.searchsorted(self.starts, lo + step)))
+            d = self.data[lo: self.ends[end - 1]]
+            c, q = prefix(BYTE_VALUE[LOWER[d] if lower else d], _MUL_BYTE)
+            s, e = self.starts[at:end] - lo, self.ends[at:end] - lo
+            out[at:end] = mix((c[e] - c[s]) * q[s] + (e - s).astype(_U))
+            at = end
+        return out
 
     @property
     def counts(self) -> np.ndarray:
