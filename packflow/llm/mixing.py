@@ -16,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packflow.llm.common import WORD, prepare
+from packflow.llm.common import WORD, prepare, written
 
 SLICES = 4096
 CYCLE = 3
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: str = "text"):
@@ -83,8 +84,11 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = 3) -> DataFrame:
     own = docs.columns
     ranked = docs.withColumns({"_size": word_count(), "_u": uniform("doc_id", seed), "_id": F.col("doc_id").cast("long")})
     slim = ranked.select("_id", F.col("source").alias("_source"), "_size", "_u")
-    sizes = slim.groupBy("_source").agg(F.sum("_size").alias("source_size")).withColumnRenamed("_source", "source")
-    per = inclusion(targets(sizes, most)).withColumnRenamed("source", "_source")
+    sizes = written(slim.groupBy("_source").agg(F.sum("_size").alias("source_size")), "sources").withColumnRenamed(
+        "_source", "source")
+    # one row per source: broadcast up to a checked number, beyond it AQE splits the hot source's join
+    small = F.broadcast if sizes.count() <= BROADCAST_SOURCES else (lambda df: df)
+    per = small(written(inclusion(targets(sizes, most)).withColumnRenamed("source", "_source"), "targets"))
     rank = slim.join(per, slim["_source"].eqNullSafe(per["_source"])).drop(per["_source"]).withColumn(
         "_rank", pareto_rank(F.col("_u"), F.col("chance")))
     rank = rank.where(F.col("_rank").isNotNull()).withColumn("_slice", F.floor(F.col("_rank") * SLICES))
@@ -94,6 +98,7 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = 3) -> DataFrame:
             .where(F.col("_end") > F.col("rest"))
             .groupBy("_source").agg(F.min(F.struct("_slice", (F.col("_end") - F.col("_words")).alias("before")))
                                     .alias("at")))
+    ends = small(ends)
     edge = rank.join(ends, rank["_source"].eqNullSafe(ends["_source"])).drop(ends["_source"]).where(
         F.col("_slice") == F.col("at._slice"))
     in_edge = Window.partitionBy("_source").orderBy("_rank", "_id", "_size").rowsBetween(
@@ -104,6 +109,7 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = 3) -> DataFrame:
                 F.max(F.when(F.col("_in"), F.struct("_rank", "_id"))).alias("_last"),
                 F.min(F.col("at._slice")).alias("_edge")))
     plan = per.join(cuts, per["_source"].eqNullSafe(cuts["_source"]), "left").drop(cuts["_source"])
+    plan = small(plan)
     out = ranked.join(plan, ranked["source"].eqNullSafe(plan["_source"])).withColumn(
         "_rank", pareto_rank(F.col("_u"), F.col("chance")))
     at = F.floor(F.col("_rank") * SLICES)
