@@ -12,10 +12,12 @@ executors are retried, any file system will do.
 
 from __future__ import annotations
 
+import array
 import functools
 import os
 import re
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from packflow.llm.common import prepare, texts
 from packflow.session import shared_path
 
 BLOCK_IDS = 1 << 17
-MEMORY = 400_000  # chunks a worker remembers
+MEMORY = 700_000  # chunks of a generation that a worker remembers
 
 BLOCKS = ("shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, "
           "counts array<long>, payload binary")
@@ -72,16 +74,26 @@ def unpack(payload: bytes, bits: int, lo: int, hi: int) -> np.ndarray:
     return out.ravel()[lo - 8 * start: hi - 8 * start]
 
 
-#: a space beside other white space: pieces then cross the cuts at spaces
-MIXED_GAPS = re.compile(r"\s | \s").search
+MIXED = re.compile(r"\s | \s").search
+RARE_GAP = re.compile(r"[^\S \n]").search
+
+
+def mixed_gaps(text: str) -> bool:
+    """Whether a space stands beside other white space: pieces then cross the
+    cuts at spaces."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return True
+    return RARE_GAP(text) is not None and MIXED(text) is not None
 
 
 class ChunkEncoder:
     """The tokenizers library's ids of a text, from remembered chunks.
 
     The byte-level pattern starts a new piece at every single space, so a text
-    without mixed white space is encoded chunk by chunk; chunks repeat. Any
-    other text goes to the library whole."""
+    without mixed white space is encoded chunk by chunk (a space and what
+    follows it); chunks repeat. New chunks go to the library many at a time as
+    one text, whose ids are cut where a token starts with a space. Any other
+    text goes to the library whole. Two generations of chunks are remembered."""
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -90,29 +102,53 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(str(public_tokenizers.path(name)))
         self.library.no_truncation()
         self.library.no_padding()
-        self.memory: dict[str, bytes] = {}
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        special = self.library.get_added_tokens_decoder()
+        self.starts_with_space = np.array([i not in special and (self.library.id_to_token(i) or "").startswith("\u0120")
+                                           for i in range(size)])
+        # None stands for the place of a text's first chunk, which has no space
+        self.memory: dict[str | None, bytes] = {None: b""}
+        self.older: dict[str | None, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as little-endian 32-bit integers, by the library."""
+        return [array.array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: list[str], group: int = 1000) -> None:
+        whole = [c for c in chunks if c and not c[-1].isspace()]
+        alone = [c for c in chunks if not c or c[-1].isspace()]
+        for a in range(0, len(whole), group):
+            part = whole[a: a + group]
+            raw = self.ids([" " + " ".join(part)])[0]
+            cut = np.flatnonzero(self.starts_with_space[np.frombuffer(raw, np.uint32)])
+            if len(cut) == len(part):
+                edges = [*(4 * cut).tolist(), len(raw)]
+                self.memory.update((c, raw[x:y]) for c, x, y in zip(part, edges, edges[1:]))
+            else:
+                alone += part
+        self.memory.update(zip(alone, self.ids([" " + c for c in alone])))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit integers, for each text."""
-        plain = [not MIXED_GAPS(t) for t in texts]
-        # a chunk is a space and what follows it, the first one has no space
-        split = [t.split(" ") if p else None for t, p in zip(texts, plain)]
-        missing = set()
-        for s in split:
-            if s is not None:
-                missing.update(s[1:])
-        missing -= self.memory.keys()
-        if len(self.memory) + len(missing) > MEMORY:
-            self.memory.clear()
-            missing = set().union(*(s[1:] for s in split if s is not None)) if split else set()
-        todo = list(missing)
-        for c, e in zip(todo, self.library.encode_batch_fast([" " + c for c in todo], add_special_tokens=False)):
-            self.memory[c] = np.array(e.ids, "<u4").tobytes()
-        alone = [s[0] if s is not None else t for s, t in zip(split, texts)]
-        heads = [np.array(e.ids, "<u4").tobytes()
-                 for e in self.library.encode_batch_fast(alone, add_special_tokens=False)]
+        if len(self.memory) > MEMORY:
+            self.older, self.memory = self.memory, {None: b""}
+        split: list[list] = []
+        alone, missing = [], set()
+        for t in texts:
+            if mixed_gaps(t):
+                alone.append(t)
+                split.append([])
+            else:
+                s: list = t.split(" ")
+                alone.append(s[0])
+                s[0] = None
+                missing.update(filterfalse(self.memory.__contains__, s))
+                split.append(s)
+        again = missing & self.older.keys()
+        self.memory.update((c, self.older[c]) for c in again)
+        self.learn(list(missing - again))
         get = self.memory.__getitem__
-        return [h + b"".join(map(get, s[1:])) if s is not None else h for h, s in zip(heads, split)]
+        return [h + b"".join(map(get, s)) for h, s in zip(self.ids(alone), split)]
 
 
 @functools.lru_cache(maxsize=2)
