@@ -38,12 +38,13 @@ def prepare(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: cuts the
-    lineage and survives lost executors."""
+    lineage and survives lost executors. Packed bytes are better written with
+    compression ``none``: large pages would need large codec buffers."""
     spark = df.sparkSession
     path = shared_path(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

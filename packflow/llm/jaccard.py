@@ -29,8 +29,8 @@ from packflow.llm.graph import Forest
 from packflow.llm.graph import components as graph_components
 from packflow.llm.words import Words, mix, slices, span_hash, windows
 
-BLOCK_TOKENS = 1_500_000
-BUCKET_CHARS = 24_000_000
+BLOCK_TOKENS = 700_000
+BUCKET_CHARS = 10_000_000
 CHUNK = 256
 FAN = 8
 BITS = 4096
@@ -104,14 +104,13 @@ def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             table = np.array([len(x) for x in table[:2]], np.int64).tobytes() + b"".join(table)
             g, doc, b = g[~is_hot], doc[~is_hot], b[~is_hot]
             order = np.lexsort((doc, b))
-            g, doc, cut = g[order], doc[order], np.searchsorted(b[order], np.arange(buckets + 1))
+            g, doc, b = g[order], doc[order], b[order]
+            cut = np.searchsorted(b, np.arange(buckets + 1))
             hot_cut = np.searchsorted(hot >> _U(48), np.arange(buckets + 1).astype(_U))
             home = (part + block) % buckets
-            for k in range(buckets):
+            for k in np.union1d(np.append(np.unique(b), home), np.unique(hot >> _U(48)).astype(np.int64)).tolist():
                 gs, ds = g[cut[k]: cut[k + 1]], doc[cut[k]: cut[k + 1]]
                 hs = slice(hot_cut[k], hot_cut[k + 1])
-                if not len(gs) and hot_cut[k] == hot_cut[k + 1] and k != home:
-                    continue
                 yield (k, (part << 24) + block, len(counts), table if k == home else None,
                        owners(ds, len(counts)),
                        (gs & _U(0xFFFFFFFF)).astype(np.uint32).tobytes(),
@@ -426,7 +425,7 @@ def _across(members: DataFrame, links: DataFrame, percent: int) -> DataFrame:
         m = m.withColumn("label", F.coalesce("label", "doc_id"))
         return written(m.groupBy("root", "chunk").agg(
             F.collect_list(F.struct("doc_id", "n", "tokens", "label")).alias("rows"),  # about CHUNK rows
-            F.min("label").alias("low"), F.max("label").alias("high")), "chunks")
+            F.min("label").alias("low"), F.max("label").alias("high")), "chunks", "none")
 
     chunks = labelled(links)
     star = chunks.where("chunk > 0").select("root", F.lit(0).alias("i"), F.col("chunk").alias("j"))
@@ -455,7 +454,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     buckets = min(1 << 16, buckets_for(text_chars(every), BUCKET_CHARS))
     replies = _answers(_requests(named, size, buckets), buckets)
     routed = _routed(replies, buckets, buckets, percent)
-    path = written(routed, "routed")
+    path = written(routed, "routed", "none")
     equal = _pairs(path.where("kind = 3"))
     coarse = _meetings(path.where("kind = 1"), buckets).unionByName(_pairs(path.where("kind = 2")))
     groups = graph_components(coarse)
@@ -463,7 +462,7 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
                .join(groups, F.col("doc_id") == F.col("node")).drop("node"))
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
-    members = written(members.join(sizes, "root").withColumn("chunk", chunk.cast("int")), "members")
+    members = written(members.join(sizes, "root").withColumn("chunk", chunk.cast("int")), "members", "none")
     links = written(_inside(members, buckets, percent).unionByName(equal), "links")
     large = members.where(F.col("size") > CHUNK)
     if large.limit(1).count():

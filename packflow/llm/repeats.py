@@ -318,10 +318,10 @@ def remove_repeats(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
     prepare(docs.sparkSession)
     every = texts(docs)
     chars = text_chars(every)
-    blocks = written(_blocks(every), "blocks")
+    blocks = written(_blocks(every), "blocks", "none")
     buckets = buckets_for(chars, BUCKET_CHARS)
     parts = buckets_for(chars, 2 * BUCKET_CHARS)
-    counted = written(_shared(_minimisers(blocks, parts, k, m), parts), "minimisers")
+    counted = written(_shared(_minimisers(blocks, parts, k, m), parts), "minimisers", "none")
     known = blocks.unionByName(counted)
     answers = _answers(_strings(known, parts, buckets, k, m), buckets, k)
     return _finish(known.unionByName(answers), parts, buckets, k, m)
