@@ -17,7 +17,6 @@ import functools
 import os
 import re
 import zlib
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -132,23 +131,29 @@ class ChunkEncoder:
         """Ids as little-endian 32-bit integers, for each text."""
         if len(self.memory) > MEMORY:
             self.older, self.memory = self.memory, {None: b""}
-        split: list[list] = []
-        alone, missing = [], set()
+        alone, found, open_places, missing = [], [], [], set()
+        get = self.memory.get
         for t in texts:
             if mixed_gaps(t):
                 alone.append(t)
-                split.append([])
-            else:
-                s: list = t.split(" ")
-                alone.append(s[0])
-                s[0] = None
-                missing.update(filterfalse(self.memory.__contains__, s))
-                split.append(s)
+                found.append([])
+                continue
+            s: list = t.split(" ")
+            alone.append(s[0])
+            s[0] = None
+            ids = list(map(get, s))
+            found.append(ids)
+            if None in ids:
+                places = [(i, s[i]) for i, x in enumerate(ids) if x is None]
+                open_places.append((ids, places))
+                missing.update([c for _, c in places])
         again = missing & self.older.keys()
         self.memory.update((c, self.older[c]) for c in again)
         self.learn(list(missing - again))
-        get = self.memory.__getitem__
-        return [h + b"".join(map(get, s)) for h, s in zip(self.ids(alone), split)]
+        for ids, places in open_places:
+            for i, c in places:
+                ids[i] = self.memory[c]
+        return [h + b"".join(ids) for h, ids in zip(self.ids(alone), found)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -184,8 +189,8 @@ def encode_blocks(docs: DataFrame, name: str, end_id: int, bits: int, block_ids:
                 names=["shard", "block", "first", "n_ids", "bits", "doc_ids", "counts", "payload"])
 
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
                 for i, e in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1).to_pylist())):
                     ids.append(i)
                     parts.append(e + end)
