@@ -31,7 +31,8 @@ from packflow.llm.words import Words, mix, slices, span_hash, windows
 
 BLOCK_TOKENS = 700_000
 BUCKET_CHARS = 10_000_000
-CHUNK = 256
+KEY_CHARS = 200_000_000  # prefix entries are few: fewer buckets find fewer edges twice
+CHUNK = 2048
 FAN = 8
 BITS = 4096
 HOT = 16  # documents of a block that hold a shingle before the block sends it only once
@@ -186,9 +187,18 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A forest with the components of the edges a - b, as rows (root, member)."""
+    f = Forest()
+    apart = a != b
+    for x, y in set(zip(a[apart].tolist(), b[apart].tolist())):
+        f.join(x, y)
+    return np.array([(f.find(x), x) for x in f.parent if f.find(x) != x], np.int64).reshape(-1, 2)
+
+
 def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> DataFrame:
     """kind 0: every document (candidates with their shared shingles);
-    kind 1: packed prefix entries; kind 2: coarse edges; kind 3: links of equal
+    kind 1: packed prefix entries; kind 2: coarse edges (a forest); kind 3: links of equal
     sets, found inside blocks."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -236,7 +246,7 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
         d, t = d[order], t[order]
         lead = np.concatenate([[True], t[1:] != t[:-1]]) if len(t) else np.zeros(0, bool)
         least = d[lead][np.cumsum(lead) - 1] if len(t) else d
-        pairs = np.unique(np.column_stack([least, d])[least != d], axis=0) if len(t) else np.zeros((0, 2), np.int64)
+        pairs = spanning(least, d)
         t, d = t[lead], d[lead]
         b = (mix(t) % _U(buckets)).astype(np.int64)
         out = [(0, int(ids[k]), int(n[k]), tokens[k], None, None, None) for k in range(len(ids))]
@@ -272,8 +282,7 @@ def _meetings(rows: DataFrame, buckets: int) -> DataFrame:
         order = np.lexsort((d, t))
         t, d = t[order], d[order]
         lead = np.concatenate([[True], t[1:] != t[:-1]])
-        least = d[lead][np.cumsum(lead) - 1]
-        pairs = np.unique(np.column_stack([least, d])[least != d], axis=0)
+        pairs = spanning(d[lead][np.cumsum(lead) - 1], d)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return rows.select("bucket", "keys", "nodes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
@@ -451,12 +460,14 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     prepare(spark)
     every = texts(docs)
     named = every.where(F.col("doc_id").isNotNull())
-    buckets = min(1 << 16, buckets_for(text_chars(every), BUCKET_CHARS))
+    chars = text_chars(every)
+    buckets = min(1 << 16, buckets_for(chars, BUCKET_CHARS))
+    keys = min(1 << 16, buckets_for(chars, KEY_CHARS, 4))
     replies = _answers(_requests(named, size, buckets), buckets)
-    routed = _routed(replies, buckets, buckets, percent)
+    routed = _routed(replies, buckets, keys, percent)
     path = written(routed, "routed", "none")
     equal = _pairs(path.where("kind = 3"))
-    coarse = _meetings(path.where("kind = 1"), buckets).unionByName(_pairs(path.where("kind = 2")))
+    coarse = _meetings(path.where("kind = 1"), keys).unionByName(_pairs(path.where("kind = 2")))
     groups = graph_components(coarse)
     members = (path.where("kind = 0 and tokens is not null").select("doc_id", "n", "tokens")
                .join(groups, F.col("doc_id") == F.col("node")).drop("node"))
