@@ -141,7 +141,7 @@ def phrase_counts(sym: np.ndarray, offsets: np.ndarray, automata: list[np.ndarra
             if len(miss):
                 again = root[k][c[miss]]
                 # an unknown symbol is a phrase of its own: if another follows, it starts a phrase
-                count[k][miss] += (state[k][miss] != 1) + ((again == 0) & (length[miss] > t + 1))
+                count[k][miss] += (state[k][miss] != 1).astype(np.int64) + ((again == 0) & (length[miss] > t + 1))
                 to[miss] = np.maximum(again, 1)
             state[k][:n] = to
     for k in range(len(automata)):
