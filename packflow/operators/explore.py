@@ -74,7 +74,7 @@ def demand_cv(master: DataFrame) -> DataFrame:
                                     F.stddev_samp("SalesOrderQty").alias("std"))
     c = c.withColumn("cv", F.col("std") / (F.col("mean") + 1e-9))
     med = exact_quantiles(c, "cv", [0.5]).select(F.col("q").alias("median_cv"))
-    return c.crossJoin(F.broadcast(med))
+    return c.join(F.broadcast(med), F.lit(True), "left")  # one row; none when every CV is null
 
 
 def with_any_flag(master: DataFrame, cal: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def promo_impact(flagged: DataFrame) -> DataFrame:
                                         F.stddev_samp("SalesOrderQty").alias("std"))
     med = exact_quantiles(flagged, "SalesOrderQty", [0.5], "any_snap").select(
         "any_snap", F.col("q").alias("median"))
-    return s.join(med, "any_snap").withColumn("label", label_codes(F.col("any_snap")))
+    return s.join(med, "any_snap", "left").withColumn("label", label_codes(F.col("any_snap")))
 
 
 def label_codes(code: F.Column) -> F.Column:
@@ -199,24 +199,16 @@ def histogram(df: DataFrame, value: str, bins: int, name: str,
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:
-    """Pearson r for every pair, from one aggregate of sums (constant
-    column -> null)."""
+    """Pearson r for every pair, from central moments, which keep their
+    digits for columns with a large mean (constant column -> null)."""
     x = {c: F.col(c).cast("double") for c in cols}
-    aggs = [F.count(F.lit(1)).cast("double").alias("n")]
-    for c in cols:
-        aggs += [F.sum(x[c]).alias(f"s_{c}"), F.sum(x[c] * x[c]).alias(f"q_{c}")]
+    aggs = [F.stddev_pop(x[c]).alias(f"d_{c}") for c in cols]
     pairs = list(combinations(cols, 2))
-    for a, b in pairs:
-        aggs.append(F.sum(x[a] * x[b]).alias(f"p_{a}__{b}"))
+    aggs += [F.covar_pop(x[a], x[b]).alias(f"p_{a}__{b}") for a, b in pairs]
     one = df.agg(*aggs)
-    n = F.col("n")
     rows = []
     for a, b in pairs:
-        num = n * F.col(f"p_{a}__{b}") - F.col(f"s_{a}") * F.col(f"s_{b}")
-        da = n * F.col(f"q_{a}") - F.col(f"s_{a}") * F.col(f"s_{a}")
-        db = n * F.col(f"q_{b}") - F.col(f"s_{b}") * F.col(f"s_{b}")
-        den = F.sqrt(da * db)
-        r = F.when((da > 0) & (db > 0), num / den)
+        r = F.try_divide(F.col(f"p_{a}__{b}"), F.col(f"d_{a}") * F.col(f"d_{b}"))
         rows.append(F.struct(F.lit(b).alias("row"), F.lit(a).alias("col"), r.alias("r")))
     return one.select(F.explode(F.array(*rows)).alias("_c")).select("_c.*")
 

@@ -196,12 +196,14 @@ def forecast_errors(pred: DataFrame, actual: str = "SalesOrderQty",
                     F.count("*").alias("n_rows"))
 
 
-def horizon_frame(daily: DataFrame, h: int = 30, codes: dict | None = None) -> DataFrame:
+def horizon_frame(daily: DataFrame, h: int = 30, codes: dict | None = None,
+                  end: DataFrame | None = None) -> DataFrame:
     """SKU x next h days with the lag features frozen at the series end
     (lag_7 = last value, lag_14 = 14th from last, trailing = last 7 rows)."""
     last = last_row_per_sku(daily.select("SkuId", "Date", "SalesOrderQty", "ProductGroup",
                                          "SubGroup", "PlantId"))
-    end = daily.agg(F.max("Date").alias("_end"))
+    # the horizon starts after the last day of all SKUs, also for a filtered series
+    end = end if end is not None else daily.agg(F.max("Date").alias("_end"))
     base = (last.join(nth_from_last(daily), "SkuId").join(tail_stats(daily), "SkuId")
             .crossJoin(F.broadcast(end)))
     fr = base.select(

@@ -76,10 +76,11 @@ def split(features: DataFrame, cfg: ForecastConfig) -> tuple[DataFrame, DataFram
 
 
 def fingerprint(df: DataFrame, cfg: ForecastConfig) -> str:
-    """Model key from schema, config and a data digest (row count and target
-    sum, one aggregate), so a changed panel never reuses a stale model."""
-    row = df.agg(F.count("*").alias("n"), F.sum(TARGET).alias("s")).first()
-    h = hashlib.sha256(f"{df.schema.json()}|{cfg}|{row['n']}|{row['s']}".encode()).hexdigest()
+    """Model key from schema, config and an order-free digest of all rows (one
+    aggregate of row hashes), so a changed panel never reuses a stale model."""
+    row = df.select(F.xxhash64(*df.columns).alias("h")).agg(
+        F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    h = hashlib.sha256(f"{df.schema.json()}|{cfg}|{row['n']}|{row['x']}|{row['s']}".encode()).hexdigest()
     return h[:16]
 
 
@@ -127,9 +128,10 @@ def forecast(master: DataFrame, cfg: ForecastConfig = ForecastConfig(), sku_filt
     train, test = split(feats, cfg)
     model = save_load_model(train, cfg, model_dir)
     metrics = evaluate_holdout(model, test)
+    end = daily.agg(F.max("Date").alias("_end"))
     if sku_filter:
         daily = daily.where(F.col("SkuId").isin(list(sku_filter)))
-    frame = FE.horizon_frame(daily, cfg.horizon_days, codes)
+    frame = FE.horizon_frame(daily, cfg.horizon_days, codes, end)
     fc = forecast_interval(model, frame).select(
         "SkuId", "Date", "ForecastQty", "CI_Lower", "CI_Upper", "ProductGroup", "SubGroup", "PlantId")
     return {"forecast": fc, "actuals": FE.actuals(master, fc), "metrics": metrics, "model": model,

@@ -51,11 +51,11 @@ def network_edges(master: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected weighted edges, weight 1 / (v + 1) with v the mean of
     the endpoint volumes (1.0 when v <= 0); self loops and blanks dropped;
     one row per unordered pair (a < b), the smallest weight kept."""
-    per_loc, _ = mean_delivery_by_key(master)
+    volumes = DataFrame.unionByName(*mean_delivery_by_key(master))
     e = edges.where(F.col("node1").isNotNull() & F.col("node2").isNotNull()
                     & (F.col("node1") != "") & (F.col("node2") != "")
                     & (F.col("node1") != F.col("node2")))
-    j = join_edge_endpoints(e.select("node1", "node2"), per_loc)
+    j = join_edge_endpoints(e.select("node1", "node2"), volumes)
     v = (F.col("v1") + F.col("v2")) / 2
     w = F.when(v > 0, 1 / (v + 1)).otherwise(F.lit(1.0))
     return (j.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"),

@@ -56,19 +56,17 @@ FROM (SELECT DISTINCT "Date" AS d FROM fact) t"""
 BASE_CTES["sell_prices"] = """
 SELECT l_suppkey AS store_id, 'P' || l_partkey AS item_id,
        l_extendedprice / (l_quantity * p_size) AS sell_price
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 2 = 0"""
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 BASE_CTES["sku_locations"] = """
 SELECT DISTINCT "SkuId","PlantId","StorageLocationId" FROM fact"""
 
 BASE_CTES["edges"] = """
 SELECT DISTINCT 'SL' || LEAST(src_nation, dst_nation) AS node1, 'SL' || GREATEST(src_nation, dst_nation) AS node2
-FROM (SELECT src_nation, dst_nation,
-             ROW_NUMBER() OVER (PARTITION BY src_nation ORDER BY SUM(units) DESC, dst_nation) AS rn
-      FROM fact WHERE src_nation <> dst_nation AND src_nation < 23 AND dst_nation < 23
-      GROUP BY 1, 2) t WHERE rn <= 2"""
+FROM (SELECT DISTINCT src_nation, dst_nation FROM fact WHERE src_nation <> dst_nation) f
+JOIN nation a ON a.n_nationkey = src_nation JOIN nation b ON b.n_nationkey = dst_nation
+WHERE a.n_regionkey = b.n_regionkey"""
 
-# SKU x day series (sum over locations), the input of every row frame.
 BASE_CTES["daily"] = """
 SELECT "SkuId", "Date", SUM("SalesOrderQty") AS qty, MIN("ProductGroup") AS pg,
        MIN("SubGroup") AS sg

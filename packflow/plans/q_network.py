@@ -17,7 +17,7 @@ _PN, _PB = recursive_cte("paths", "src, dst, w, hops, path, nodes", """
     UNION ALL
     SELECT p.src, d.y, p.w + d.w, p.hops + 1, p.path || ' -> ' || d.y, list_append(p.nodes, d.y)
     FROM paths p JOIN dir d ON p.dst = d.x
-    WHERE NOT list_contains(p.nodes, d.y) AND p.hops < 7""")
+    WHERE NOT list_contains(p.nodes, d.y)""")
 
 NET = {
     "loc": """SELECT DISTINCT "StorageLocationId" AS node FROM master WHERE "StorageLocationId" IS NOT NULL""",

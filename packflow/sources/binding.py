@@ -26,11 +26,6 @@ from pyspark.sql import functions as F
 
 from packflow.sources.tables import read_table
 
-# Nations 23 and 24 receive no edges, so some location pairs stay unreachable.
-EDGE_NATION_LIMIT = 23
-EDGES_PER_SOURCE = 2
-
-
 def sku_id(partkey) -> F.Column:
     return F.concat(F.lit("P"), F.col(partkey).cast("string"))
 
@@ -125,10 +120,9 @@ def calendar(spark: SparkSession, d: str, m: DataFrame | None = None) -> DataFra
 
 
 def sell_prices(spark: SparkSession, d: str) -> DataFrame:
-    """Item x store prices; only even part keys are priced (both branches of
-    the price override occur)."""
+    """Item x store prices of every sold line."""
     li = read_table(spark, d, "lineitem", "l_suppkey", "l_partkey", "l_extendedprice",
-                    "l_quantity").where(F.pmod("l_partkey", F.lit(2)) == 0)
+                    "l_quantity")
     p = read_table(spark, d, "part", "p_partkey", "p_size")
     j = li.join(p, li.l_partkey == p.p_partkey)
     return j.select(F.col("l_suppkey").alias("store_id"), sku_id("l_partkey").alias("item_id"),
@@ -142,23 +136,16 @@ def sku_locations(spark: SparkSession, d: str, m: DataFrame | None = None) -> Da
 
 
 def storage_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Undirected location edges: each origin nation's two largest destination
-    nations by units (nations >= 23 excluded). Output: node1 < node2."""
+    """Undirected location edges: nations of one region with traffic between
+    them (regions stay apart, so some pairs are unreachable). Output: node1 < node2."""
     lf = line_facts(spark, d, with_supplier=True)
-    lim = EDGE_NATION_LIMIT
-    flows = (lf.where((F.col("s_nationkey") != F.col("c_nationkey"))
-                      & (F.col("s_nationkey") < lim) & (F.col("c_nationkey") < lim))
-             .groupBy("l_partkey", "s_nationkey", "c_nationkey")
-             .agg(F.sum("l_quantity").alias("q")))
-    p = read_table(spark, d, "part", "p_partkey", "p_size")
-    pair = (flows.join(p, flows.l_partkey == p.p_partkey)
-            .groupBy(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst"))
-            .agg(F.sum(F.col("q") * F.col("p_size")).alias("units")))
-    # at most 23 x 22 rows: a dimension-sized window
-    w = Window.partitionBy("src").orderBy(F.desc("units"), F.asc("dst"))
-    top = pair.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= EDGES_PER_SOURCE)
-    return (top.select(F.concat(F.lit("SL"), F.least("src", "dst").cast("string")).alias("node1"),
-                       F.concat(F.lit("SL"), F.greatest("src", "dst").cast("string")).alias("node2"))
+    n = read_table(spark, d, "nation", "n_nationkey", "n_regionkey")
+    src = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("r1"))
+    dst = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r2"))
+    pairs = (lf.where(F.col("s_nationkey") != F.col("c_nationkey")).select("s_nationkey", "c_nationkey").distinct()
+             .join(src, "s_nationkey").join(dst, "c_nationkey").where(F.col("r1") == F.col("r2")))
+    return (pairs.select(F.concat(F.lit("SL"), F.least("s_nationkey", "c_nationkey").cast("string")).alias("node1"),
+                         F.concat(F.lit("SL"), F.greatest("s_nationkey", "c_nationkey").cast("string")).alias("node2"))
             .distinct())
 
 
