@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from packflow.session import ensure_checkpoint_dir, shared_path
 
-ARROW_ROWS = "1000"
+ARROW_ROWS = "500"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SHIPPED: set[str] = set()

@@ -29,7 +29,7 @@ from packflow.llm.graph import Forest
 from packflow.llm.graph import components as graph_components
 from packflow.llm.words import Words, mix, slices, span_hash, windows
 
-BLOCK_TOKENS = 700_000
+BLOCK_TOKENS = 400_000
 BUCKET_CHARS = 10_000_000
 KEY_CHARS = 200_000_000  # prefix entries are few: fewer buckets find fewer edges twice
 CHUNK = 2048
@@ -127,7 +127,7 @@ def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
 
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, data, off in slices(b.column(1)):
+            for lo, hi, data, off in slices(b.column(1), 1 << 19):
                 g, at = shingle_sets(data, off, size)
                 ids.append(keys[lo:hi])
                 sets.append(g)
@@ -469,11 +469,12 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     equal = _pairs(path.where("kind = 3"))
     coarse = _meetings(path.where("kind = 1"), keys).unionByName(_pairs(path.where("kind = 2")))
     groups = graph_components(coarse)
-    members = (path.where("kind = 0 and tokens is not null").select("doc_id", "n", "tokens")
-               .join(groups, F.col("doc_id") == F.col("node")).drop("node"))
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
-    members = written(members.join(sizes, "root").withColumn("chunk", chunk.cast("int")), "members", "none")
+    chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
+    placed = groups.join(sizes, "root").withColumn("chunk", chunk.cast("int"))
+    # the sets themselves are shuffled once here, and once to their chunks
+    members = written(path.where("kind = 0 and tokens is not null").select("doc_id", "n", "tokens")
+                      .join(placed, F.col("doc_id") == F.col("node")).drop("node"), "members", "none")
     links = written(_inside(members, buckets, percent).unionByName(equal), "links")
     large = members.where(F.col("size") > CHUNK)
     if large.limit(1).count():

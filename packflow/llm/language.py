@@ -196,7 +196,7 @@ def predict_texts(texts: list[str | None], samples: dict[str, str]) -> list[tupl
 
 
 def identify(docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = (),
-             slice_chars: int = 2_000_000) -> DataFrame:
+             slice_chars: int = 700_000) -> DataFrame:
     """Language of every text: doc_id, the columns ``keep``, lang_pred, score, phrases.
 
     Null texts and texts without a letter get ``und`` and 0; rows are
