@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from packflow.llm.common import prepare, texts
+from packflow.llm.common import prepare, texts, worker_state
 
 #: stands for the word end mark: one symbol that no byte maps to
 END = "\u0200"
@@ -251,11 +251,6 @@ class Digests(Encoder):
                 hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
 
 
-@functools.lru_cache(maxsize=2)
-def digests(path: str) -> Digests:
-    return Digests(path)
-
-
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -288,7 +283,7 @@ def op7(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches):
-        d = digests(tokenizer_file(name))
+        d = worker_state(("digests", name), lambda: Digests(tokenizer_file(name)))
         for b in batches:
             got = [d.of(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -38,6 +38,22 @@ def prepare(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_STATE: dict = {}
+
+
+def worker_state(key, make):
+    """Tables that a Python worker keeps between tasks, of one operator at a
+    time: workers outlive a stage, and the next one needs their memory."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def release_worker_state() -> None:
+    _STATE.clear()
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: cuts the
     lineage and survives lost executors. Packed bytes are better written with

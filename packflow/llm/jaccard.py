@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packflow.llm.common import buckets_for, prepare, text_chars, texts, written
+from packflow.llm.common import buckets_for, prepare, release_worker_state, text_chars, texts, written
 from packflow.llm.graph import Forest
 from packflow.llm.graph import components as graph_components
 from packflow.llm.words import Words, mix, slices, span_hash, windows
@@ -83,6 +83,7 @@ def owned(packed: bytes) -> np.ndarray:
 def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     """Blocks of documents as packed shingles for each bucket."""
     def run(batches):
+        release_worker_state()
         part, block = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         sets: list[np.ndarray] = []

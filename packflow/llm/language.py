@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packflow.llm.common import folds, prepare
+from packflow.llm.common import folds, prepare, worker_state
 
 SEGMENT = 512
 SYMBOLS = 64  # symbol 0: anything but letters; 63: letters outside the samples
@@ -149,22 +149,20 @@ def phrase_counts(sym: np.ndarray, offsets: np.ndarray, automata: list[np.ndarra
     return out
 
 
-_MODELS: dict[int, tuple] = {}
-
-
 def _model(samples: dict[str, str]) -> tuple:
     """Tables of a worker process, built once for each set of samples."""
     key = hash(tuple(samples.items()))
-    if key not in _MODELS:
-        _MODELS.clear()
+
+    def build() -> tuple:
         table = symbol_table(samples)
         automata, cost = [], []
         for text in samples.values():
             sym, _ = symbols_of([text], table)
             automata.append(suffix_automaton(sym))
             cost.append(np.log2(max(2, len(sym))))
-        _MODELS[key] = (table, automata, np.array(cost))
-    return _MODELS[key]
+        return table, automata, np.array(cost)
+
+    return worker_state(("language", key), build)
 
 
 LETTER = regex.compile(r"\p{L}")
