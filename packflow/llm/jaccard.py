@@ -39,7 +39,8 @@ HOT = 16  # documents of a block that hold a shingle before the block sends it o
 _U = np.uint64
 
 REQUEST = "bucket int, block long, size int, docs binary, counts binary, low binary, high binary, hot binary, hot_counts binary"
-REPLY = "block long, docs binary, counts binary, tokens binary, class binary, hot binary, hot_class binary"
+REPLY = ("block long, bucket int, docs binary, counts binary, tokens binary, class binary, hot binary, "
+         "hot_class binary")
 ROUTED = "kind int, doc_id long, n long, tokens binary, bucket int, keys binary, nodes binary"
 
 
@@ -68,16 +69,46 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def owners(doc: np.ndarray, documents: int) -> bytes:
-    """Ascending document numbers, as counts of every document or one by one,
-    whichever is shorter."""
+    """Ascending document numbers, as counts of every document or as steps from
+    one to the next, whichever is shorter; single bytes where they fit."""
     if len(doc) < documents:
-        return b"i" + doc.astype(np.uint32).tobytes()
-    return b"c" + np.bincount(doc, minlength=documents).astype(np.uint32).tobytes()
+        kind, x = b"i", np.diff(doc, prepend=0)
+    else:
+        kind, x = b"c", np.bincount(doc, minlength=documents)
+    if x.max(initial=0) < 256:
+        return kind + x.astype(np.uint8).tobytes()
+    return kind.upper() + x.astype(np.uint32).tobytes()
 
 
 def owned(packed: bytes) -> np.ndarray:
-    x = np.frombuffer(packed, np.uint32, offset=1).astype(np.int64)
-    return x if packed[:1] == b"i" else np.repeat(np.arange(len(x)), x)
+    kind = packed[:1]
+    x = np.frombuffer(packed, np.uint8 if kind.islower() else np.uint32, offset=1).astype(np.int64)
+    return np.cumsum(x) if kind in b"iI" else np.repeat(np.arange(len(x)), x)
+
+
+def low48(x: np.ndarray) -> bytes:
+    """The low 48 bits of each value, six bytes each."""
+    return np.ascontiguousarray(x.astype("<u8").view("<u2").reshape(-1, 4)[:, :3]).tobytes()
+
+
+def from48(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 4), "<u2")
+    out[:, :3] = np.frombuffer(packed, "<u2").reshape(-1, 3)
+    return out.view("<u8").ravel().astype(_U)
+
+
+def packed_set(tokens: np.ndarray) -> bytes:
+    """Ascending tokens: 48 bits of each, then the steps of their top 16 bits."""
+    steps = np.diff(tokens >> _U(48), prepend=_U(0))
+    kind, width = (b"s", np.uint8) if steps.max(initial=0) < 256 else (b"S", "<u2")
+    return kind + low48(tokens) + steps.astype(width).tobytes()
+
+
+def unpacked_set(packed: bytes) -> np.ndarray:
+    width = np.dtype(np.uint8 if packed[:1] == b"s" else "<u2")
+    n = (len(packed) - 1) // (6 + width.itemsize)
+    top = np.cumsum(np.frombuffer(packed, width, offset=1 + 6 * n), dtype=_U)
+    return from48(packed[1: 1 + 6 * n]) | top << _U(48)
 
 
 def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -102,8 +133,9 @@ def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             is_hot = np.repeat(many >= HOT, many)
             # which documents hold the hot shingles stays with the block
             table = [doc_ids.tobytes() + counts.astype(np.int64).tobytes(),
-                     doc[is_hot].astype(np.uint32).tobytes(), g[is_hot].tobytes()]
-            table = np.array([len(x) for x in table[:2]], np.int64).tobytes() + b"".join(table)
+                     doc[is_hot].astype(np.uint16 if len(counts) <= 1 << 16 else np.uint32).tobytes(),
+                     hot_counts.tobytes(), hot.tobytes()]
+            table = np.array([len(x) for x in table[:3]], np.int64).tobytes() + b"".join(table)
             g, doc, b = g[~is_hot], doc[~is_hot], b[~is_hot]
             order = np.lexsort((doc, b))
             g, doc, b = g[order], doc[order], b[order]
@@ -152,7 +184,6 @@ def _answers(requests: DataFrame, buckets: int) -> DataFrame:
     """For every block, the shared shingles of a bucket and their rarity."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        bucket = _U(rows[0]["bucket"])
         counts = [owned(r["counts"]) for r in rows]
         keys = [np.frombuffer(r["low"], np.uint32).astype(_U) | np.frombuffer(r["high"], np.uint16).astype(_U) << _U(32)
                 for r in rows]
@@ -173,12 +204,11 @@ def _answers(requests: DataFrame, buckets: int) -> DataFrame:
             d = df[at: at + len(k)]
             at += len(k)
             keep = d >= 2
-            out.append((r["block"], r["docs"], owners(c[keep], r["size"]),
-                        (k[keep] | bucket << _U(48)).tobytes(), df_class(d[keep]).tobytes(),
-                        (h | bucket << _U(48)).tobytes(), df_class(hot_df).tobytes()))
-        kinds = [pa.int64()] + [pa.binary()] * 6
-        return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(7)],
-                                    names=["block", "docs", "counts", "tokens", "class", "hot", "hot_class"])
+            out.append((r["block"], r["bucket"], r["docs"], owners(c[keep], r["size"]), low48(k[keep]),
+                        df_class(d[keep]).tobytes(), low48(h), df_class(hot_df).tobytes()))
+        kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
+        return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(8)],
+                                    names=["block", "bucket", "docs", "counts", "tokens", "class", "hot", "hot_class"])
 
     return requests.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, REPLY)
 
@@ -204,16 +234,19 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         home = next(r for r in rows if r["docs"] is not None)
-        cut = np.frombuffer(home["docs"][:16], np.int64).cumsum() + 16
-        raw = np.frombuffer(home["docs"][16: cut[0]], np.int64)
-        hot_doc = np.frombuffer(home["docs"][cut[0]: cut[1]], np.uint32).astype(np.int64)
-        hot_tok = np.frombuffer(home["docs"][cut[1]:], _U)
+        cut = np.frombuffer(home["docs"][:24], np.int64).cumsum() + 24
+        raw = np.frombuffer(home["docs"][24: cut[0]], np.int64)
         ids, n = raw[: len(raw) // 2], raw[len(raw) // 2:]
+        hot_doc = np.frombuffer(home["docs"][cut[0]: cut[1]],
+                                np.uint16 if len(ids) <= 1 << 16 else np.uint32).astype(np.int64)
+        hot_tok = np.repeat(np.frombuffer(home["docs"][cut[2]:], _U),
+                            np.frombuffer(home["docs"][cut[1]: cut[2]], np.uint32))
+        whole = lambda r, column: from48(r[column]) | _U(r["bucket"]) << _U(48)
         doc = np.concatenate([owned(r["counts"]) for r in rows])
-        tok = np.concatenate([np.frombuffer(r["tokens"], _U) for r in rows])
+        tok = np.concatenate([whole(r, "tokens") for r in rows])
         rare = np.concatenate([np.frombuffer(r["class"], np.uint8) for r in rows])
         if len(hot_tok):
-            h = np.concatenate([np.frombuffer(r["hot"], _U) for r in rows])
+            h = np.concatenate([whole(r, "hot") for r in rows])
             c = np.concatenate([np.frombuffer(r["hot_class"], np.uint8) for r in rows])
             order = np.argsort(h)
             doc, tok = np.concatenate([doc, hot_doc]), np.concatenate([tok, hot_tok])
@@ -230,7 +263,7 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
         first: dict[tuple, int] = {}
         links, alive = [], np.zeros(len(ids), bool)
         for d in np.flatnonzero(candidate):
-            t = by_set[at[d]: at[d + 1]].tobytes()
+            t = packed_set(by_set[at[d]: at[d + 1]])
             if shared[d] == n[d]:
                 other = first.setdefault((int(n[d]), t), int(d))
                 if other != d:
@@ -394,7 +427,7 @@ def _inside(members: DataFrame, tasks: int, percent: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         groups: dict[tuple, list[tuple]] = {}
         for r in table.to_pylist():
-            groups.setdefault((r["root"], r["chunk"]), []).append((r["doc_id"], r["n"], np.frombuffer(r["tokens"], _U)))
+            groups.setdefault((r["root"], r["chunk"]), []).append((r["doc_id"], r["n"], unpacked_set(r["tokens"])))
         out = []
         for rows in groups.values():
             if len(rows) > 1:
@@ -413,7 +446,7 @@ def _between(pairs: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:
                 forest = Forest()
                 sides = []
                 for s in ("left", "right"):
-                    rows = [(m["doc_id"], m["n"], np.frombuffer(m["tokens"], _U)) for m in r[s]]
+                    rows = [(m["doc_id"], m["n"], unpacked_set(m["tokens"])) for m in r[s]]
                     for m in r[s]:
                         forest.join(m["doc_id"], m["label"])
                     sides.append(sorted(rows, key=lambda x: x[0]))

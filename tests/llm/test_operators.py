@@ -370,3 +370,14 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefabcdef0123 b"), (2, "clean"), (3, None)], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert got == {1: "a [REDACTED] b", 2: "clean", 3: None}
+
+
+def test_packed_sets_and_owners_round_trip():
+    rng = np.random.RandomState(3)
+    for n in (0, 1, 7, 400):
+        t = np.unique(rng.randint(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        assert (jaccard.unpacked_set(jaccard.packed_set(t)) == t).all()
+    near = np.arange(5, dtype=np.uint64) | np.uint64(3 << 48)
+    assert (jaccard.unpacked_set(jaccard.packed_set(near)) == near).all()
+    for doc, documents in (([], 3), ([2], 3), ([0, 0, 2, 2, 2], 3), ([0, 700], 900), ([1] * 300, 2)):
+        assert jaccard.owned(jaccard.owners(np.array(doc, np.int64), documents)).tolist() == doc
