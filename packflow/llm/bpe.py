@@ -29,7 +29,9 @@ from packflow.llm.common import prepare, texts, worker_state
 
 #: stands for the word end mark: one symbol that no byte maps to
 END = "\u0200"
-MEMORY = 700_000  # words a worker remembers (about 250 bytes each)
+MEMORY = 400_000  # words a worker remembers (about 220 bytes each)
+PAIRS = 1 << 16  # token pairs whose compatibility a worker remembers
+GAP = "\n"  # between ids and decoded text of a remembered word; no token holds it
 
 FAR = regex.compile("[^\\x00-\u052f]")
 CONTROL = regex.compile("[\\x1c-\\x1f]")
@@ -79,7 +81,7 @@ class Vocabulary:
         for t in base:
             self.rank[t] = 0
             self.parts[t] = (t, t)
-        self.compatible = functools.lru_cache(maxsize=1 << 18)(self._compatible)
+        self.compatible = functools.lru_cache(maxsize=PAIRS)(self._compatible)
         self.automaton = ahocorasick.Automaton()
         for t in self.ids:
             if len(t) <= 2 or self.reachable(t):
@@ -217,17 +219,18 @@ class Encoder:
 
 
 class Memory(dict):
-    """word -> (ids as text, decoded text), forgotten when full."""
+    """word -> ids as text, GAP, decoded text (one string: half the memory of
+    two); forgotten when full."""
 
     def __init__(self, owner: Encoder):
         super().__init__()
         self.owner = owner
 
-    def __missing__(self, word: str) -> tuple[str, str]:
+    def __missing__(self, word: str) -> str:
         if len(self) >= MEMORY:
             self.clear()
         ids = self.owner.word(word)
-        got = self[word] = (" ".join(map(str, ids)), self.owner.vocabulary.decode(ids))
+        got = self[word] = " ".join(map(str, ids)) + GAP + self.owner.vocabulary.decode(ids)
         return got
 
 
@@ -239,14 +242,14 @@ class Digests(Encoder):
         self.memory = Memory(self)
 
     def of(self, text: str) -> tuple[int, str, str]:
-        got: list[tuple[str, str]] = []
+        got: list[str] = []
         for words, special in self.parts(text):
             if words is None:
-                got.append((str(special), self.vocabulary.decode([special])))
+                got.append(str(special) + GAP + self.vocabulary.decode([special]))
             else:
                 got += map(self.memory.__getitem__, words)
-        joined = " ".join([g[0] for g in got])
-        decoded = " ".join([g[1] for g in got])
+        both = GAP.join(got).split(GAP)
+        joined, decoded = " ".join(both[0::2]), " ".join(both[1::2])
         return (joined.count(" ") + 1 if joined else 0, hashlib.sha256(joined.encode()).hexdigest(),
                 hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
 

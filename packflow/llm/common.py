@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,13 +48,20 @@ def worker_state(key, make):
     """Tables that a Python worker keeps between tasks, of one operator at a
     time: workers outlive a stage, and the next one needs their memory."""
     if key not in _STATE:
-        _STATE.clear()
+        release_worker_state()
         _STATE[key] = make()
     return _STATE[key]
 
 
 def release_worker_state() -> None:
+    """Give up the kept tables, and with them the freed pages that allocators
+    would hold on to (where the C library can return them)."""
     _STATE.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
