@@ -50,13 +50,18 @@ def worker_state(key, make):
     if key not in _STATE:
         release_worker_state()
         _STATE[key] = make()
+        _return_pages()
     return _STATE[key]
 
 
 def release_worker_state() -> None:
-    """Give up the kept tables, and with them the freed pages that allocators
-    would hold on to (where the C library can return them)."""
+    """Give up the kept tables and the memory they took."""
     _STATE.clear()
+    _return_pages()
+
+
+def _return_pages() -> None:
+    """Return freed pages that allocators would hold on to, where the C library can."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

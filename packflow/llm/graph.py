@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packflow.llm.common import written
+from packflow.llm.common import release_worker_state, written
 
 EDGES = "a long, b long"
 
@@ -39,6 +39,7 @@ class Forest:
 def _contracted(edges: DataFrame, most: int = 200_000) -> DataFrame:
     """The same components with fewer edges: a forest for every ``most`` nodes a task sees."""
     def run(batches):
+        release_worker_state()
         f = Forest()
         for batch in batches:
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -47,6 +48,8 @@ def _contracted(edges: DataFrame, most: int = 200_000) -> DataFrame:
                 yield f.edges()
                 f = Forest()
         yield f.edges()
+        del f
+        release_worker_state()
 
     return edges.select("a", "b").mapInArrow(run, EDGES)
 

@@ -502,7 +502,8 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     path = written(routed, "routed", "none")
     equal = _pairs(path.where("kind = 3"))
     coarse = _meetings(path.where("kind = 1"), keys).unionByName(_pairs(path.where("kind = 2")))
-    groups = graph_components(coarse)
+    # written first: a task then needs one Python worker, not one for each of two steps
+    groups = graph_components(written(coarse, "coarse"))
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
     placed = groups.join(sizes, "root").withColumn("chunk", chunk.cast("int"))
