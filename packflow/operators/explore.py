@@ -68,11 +68,16 @@ def plant_issue_rate(master: DataFrame) -> DataFrame:
     return p.withColumn("IssueRate", F.col("TotalFactoryIssue") / (F.col("TotalProduction") + 1e-9) * 100)
 
 
-def demand_cv(master: DataFrame) -> DataFrame:
-    """Per SKU mean, std, CV, with the median CV of all SKUs."""
+def sku_cv(master: DataFrame) -> DataFrame:
+    """Per SKU mean, std and CV of the daily demand."""
     c = master.groupBy("SkuId").agg(mean("SalesOrderQty").alias("mean"),
                                     F.stddev_samp("SalesOrderQty").alias("std"))
-    c = c.withColumn("cv", F.col("std") / (F.col("mean") + 1e-9))
+    return c.withColumn("cv", F.col("std") / (F.col("mean") + 1e-9))
+
+
+def demand_cv(master: DataFrame) -> DataFrame:
+    """Per SKU mean, std, CV, with the median CV of all SKUs."""
+    c = sku_cv(master)
     med = exact_quantiles(c, "cv", [0.5]).select(F.col("q").alias("median_cv"))
     return c.join(F.broadcast(med), F.lit(True), "left")  # one row; none when every CV is null
 
@@ -141,7 +146,7 @@ def price_describe_by_category(prices: DataFrame) -> DataFrame:
     qp = q.groupBy("Category").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
     qp = qp.select("Category", F.col("`0.25`").alias("p25"), F.col("`0.5`").alias("p50"),
                    F.col("`0.75`").alias("p75"))
-    return s.join(qp, "Category")
+    return s.join(qp, "Category", "left")  # a category without a price keeps its row
 
 
 def box_statistics(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -153,12 +158,13 @@ def box_statistics(df: DataFrame, group: str, value: str) -> DataFrame:
                   F.col("`0.75`").alias("q3")))
     qp = qp.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = df.select(group, F.col(value).cast("double").alias("_v")).join(qp, group)
+    j = df.select(group, F.col(value).cast("double").alias("_v")).join(qp, group, "left")
     inside = (F.col("_v") >= F.col("lo_fence")) & (F.col("_v") <= F.col("hi_fence"))
     w = j.groupBy(group).agg(F.min(F.when(inside, F.col("_v"))).alias("lower_whisker"),
                              F.max(F.when(inside, F.col("_v"))).alias("upper_whisker"),
                              F.count_if(~inside).alias("n_outliers"))
-    return qp.join(w, group).drop("lo_fence", "hi_fence")
+    return w.join(qp, group, "left").select(group, "q1", "median", "q3", "lower_whisker", "upper_whisker",
+                                            "n_outliers")
 
 
 def describe_panel(master: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -174,7 +180,7 @@ def describe_panel(master: DataFrame, cols: Sequence[str]) -> DataFrame:
     qp = (q.groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
           .select("column", F.col("`0.25`").alias("p25"), F.col("`0.5`").alias("p50"),
                   F.col("`0.75`").alias("p75")))
-    return s.join(qp, "column")
+    return s.join(qp, "column", "left")  # an all-null column keeps its row
 
 
 def histogram(df: DataFrame, value: str, bins: int, name: str,

@@ -204,12 +204,13 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
     flagged or ``max_rounds`` revisions ran. Flags accumulate across rounds
     (a SKU repaired in round 1 stays downgraded). Each round's SKU-grain
     table is checkpointed to the shared folder, which bounds the lineage."""
-    from packflow.operators.packs import classed_profile, optimize_packs
+    from packflow.operators.packs import classed_profile, optimize_packs, pack_summary, plant_output
     # classes do not change between rounds (only the downgrade does): fit once
     prof = classed_profile(master, forecast, classes, cluster_cfg).checkpoint(eager=True)
-    # the SKU actuals and prices do not change between rounds either
+    # the SKU actuals, prices and plant outputs do not change between rounds either
     base = finance_base(master, prices).checkpoint(eager=True)
-    packs = optimize_packs(master, forecast, classes, profile=prof)
+    output = plant_output(master).checkpoint(eager=True)
+    packs = optimize_packs(master, forecast, classes, profile=prof, output=output)
     table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
     flagged = None
     rounds = 0
@@ -219,8 +220,11 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
             break
         flagged = new if flagged is None else flagged.unionByName(new).distinct()
         flagged = flagged.checkpoint(eager=True)
-        packs = optimize_packs(master, forecast, classes, flagged=flagged, profile=prof)
+        packs = optimize_packs(master, forecast, classes, flagged=flagged, profile=prof, output=output)
         table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
         rounds += 1
+    # the last recommendations feed the schedule, the summary and the KPIs
+    reco = packs["recommendations"].checkpoint(eager=True)
+    packs = {**packs, "recommendations": reco, "summary": pack_summary(reco)}
     return {"packs": packs, "finance": table, "rounds": rounds, "flagged": flagged,
             "summary": portfolio_summary(table)}

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -92,7 +94,9 @@ def save_load_model(train: DataFrame, cfg: ForecastConfig, model_dir: str | None
     path = f"{model_dir.rstrip('/')}/forest-{fingerprint(train, cfg)}"
     try:
         return PipelineModel.load(path)
-    except Exception:
+    except (AnalysisException, Py4JJavaError) as e:
+        if not any(x in str(e) for x in ("PATH_NOT_FOUND", "does not exist")):
+            raise  # a model is there but cannot be read
         model = train_forest(train, cfg)
         model.write().overwrite().save(path)
         return model

@@ -67,9 +67,8 @@ def add_defaults(df: DataFrame, lead_time_days: int | None = None) -> DataFrame:
 
 
 def sku_number(sku: str = "SkuId") -> F.Column:
-    """Stable number of a SKU id: its digits (0 when it has none)."""
-    return F.coalesce(F.expr(f"try_cast(regexp_extract({_q(sku)}, '([0-9]+)', 1) as bigint)"),
-                      F.lit(0))
+    """Stable number of a SKU id: 28 bits of the MD5 of the whole id."""
+    return F.conv(F.substring(F.md5(F.col(_q(sku)).cast("binary")), 1, 7), 16, 10).cast("bigint")
 
 
 def add_reference_cost_price(df: DataFrame, sku: str = "SkuId") -> DataFrame:
@@ -157,7 +156,9 @@ def build_master(sales: DataFrame, production: DataFrame | None, delivery: DataF
                  issue: DataFrame | None, bridge: DataFrame | None,
                  groups: DataFrame | None) -> DataFrame:
     """Signals -> joined panel -> locations (fan-out) -> groups ->
-    defaults -> 15 columns."""
+    defaults -> 15 columns. The sales signal is required."""
+    if sales is None:
+        raise ValueError("build_master needs the sales signal")
     base = join_signals(sales, {"ProductionQty": production, "DeliveryQty": delivery,
                                 "FactoryIssueQty": issue})
     if bridge is not None:
@@ -178,7 +179,7 @@ def load_unified(master: DataFrame, cal: DataFrame | None) -> DataFrame:
     if cal is None:
         return master
     c = any_state_flag(cal)
-    keep = ["snap_flag"] + [x for x in ("event_name_1", "event_type_1", "month", "year")
+    keep = ["snap_flag"] + [x for x in ("event_name_1", "event_type_1", "month", "year", "weekday", "wday")
                             if x in c.columns]
     j = join_calendar(master.drop("Promotional_Flag"), c, keep)
     return promo_flag(j).drop("snap_flag")

@@ -10,11 +10,12 @@ shared folder so the lineage stays one round deep.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packflow.functions.exprs import round_half_even
 from packflow.operators.common import mean
+from packflow.operators.ranking import global_index
 
 
 def mean_delivery_by_key(master: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,10 +65,8 @@ def network_edges(master: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def ring_fallback(locations: DataFrame) -> DataFrame:
-    """Connect the locations in a ring (sorted order), weight 1. The
-    location table is a dimension, so the ordered window is bounded."""
-    r = locations.select("node").distinct().withColumn(
-        "rn", F.row_number().over(Window.orderBy("node")) - 1)
+    """Connect the locations in a ring (sorted order), weight 1."""
+    r = global_index(locations.select("node").distinct(), ["node"], "rn")
     n = r.agg(F.count("*").alias("n"))
     nxt = r.crossJoin(F.broadcast(n)).withColumn("nrn", F.pmod(F.col("rn") + 1, F.col("n")))
     pairs = nxt.alias("x").join(r.alias("y"), F.col("x.nrn") == F.col("y.rn")).select(
@@ -81,7 +80,7 @@ def graph(master: DataFrame, edges: DataFrame | None) -> tuple[DataFrame, DataFr
     e = edges if edges is not None else master.sparkSession.createDataFrame(
         [], "node1 string, node2 string")
     nodes = network_nodes(master, e)
-    w = network_edges(master, e)
+    w = network_edges(master, e).checkpoint(eager=True)  # tested, then read by routes and size
     if w.isEmpty():
         w = ring_fallback(nodes.where(F.col("node_type") == "storage_location"))
     return nodes, w

@@ -121,17 +121,28 @@ def pack_recommendations(profile: DataFrame) -> DataFrame:
 
 def plant_mean_capacity(master: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Mean production per plant, and the one-row global mean."""
-    per = master.groupBy("PlantId").agg(
-        (F.sum(F.col("ProductionQty").cast("decimal(28,2)")).cast("double")
-         / F.count("ProductionQty")).alias("AvgPlantCapacity"))
-    glob = master.agg((F.sum(F.col("ProductionQty").cast("decimal(28,2)")).cast("double")
-                       / F.count("ProductionQty")).alias("_global_cap"))
+    return capacity_means(plant_output(master))
+
+
+def plant_output(master: DataFrame) -> DataFrame:
+    """Exact sum and count of the production per plant: one pass over the
+    panel, the same in every revision round."""
+    return master.groupBy("PlantId").agg(
+        F.sum(F.col("ProductionQty").cast("decimal(28,2)")).alias("_sum"),
+        F.count("ProductionQty").alias("_count"))
+
+
+def capacity_means(output: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Mean per plant and the one-row global mean from ``plant_output``."""
+    per = output.select("PlantId", (F.col("_sum").cast("double") / F.col("_count")).alias("AvgPlantCapacity"))
+    glob = output.agg((F.sum("_sum").cast("double") / F.sum("_count")).alias("_global_cap"))
     return per, glob
 
 
-def capacity_check(reco: DataFrame, master: DataFrame) -> DataFrame:
-    """Plant mean capacity (gaps -> global mean), feasible flag."""
-    per, glob = plant_mean_capacity(master)
+def capacity_check(reco: DataFrame, master: DataFrame, output: DataFrame | None = None) -> DataFrame:
+    """Plant mean capacity (gaps -> global mean), feasible flag;
+    ``output`` may hold a stored ``plant_output``."""
+    per, glob = capacity_means(output if output is not None else plant_output(master))
     r = (reco.join(per, "PlantId", "left").crossJoin(F.broadcast(glob))
          .withColumn("AvgPlantCapacity", F.coalesce("AvgPlantCapacity", "_global_cap"))
          .drop("_global_cap"))
@@ -180,13 +191,14 @@ def classed_profile(master: DataFrame, forecast: DataFrame, classes: str = "rule
 
 def optimize_packs(master: DataFrame, forecast: DataFrame, classes: str = "rule",
                    flagged: DataFrame | None = None, cluster_cfg=None,
-                   profile: DataFrame | None = None) -> dict:
+                   profile: DataFrame | None = None, output: DataFrame | None = None) -> dict:
     """Pack step: profile -> classes -> recommendations -> (downgrade) ->
     capacity check. ``classes`` is ``"rule"`` (exact) or ``"kmeans"``; a
-    precomputed classed ``profile`` is reused as is (revision rounds)."""
+    precomputed classed ``profile`` and ``plant_output`` are reused as they are
+    (revision rounds)."""
     prof = profile if profile is not None else classed_profile(master, forecast, classes, cluster_cfg)
     reco = pack_recommendations(prof)
     if flagged is not None:
         reco = downgrade_unprofitable(reco, flagged)
-    reco = capacity_check(reco, master)
+    reco = capacity_check(reco, master, output)
     return {"profile": prof, "recommendations": reco, "summary": pack_summary(reco)}

@@ -18,18 +18,28 @@ from packflow.operators.common import exact_mean, exact_sum, first_by, mean
 
 
 def plant_totals(master: DataFrame) -> DataFrame:
-    """Nine per-plant measures."""
-    return master.groupBy("PlantId").agg(
-        exact_sum("ProductionQty").alias("TotalProductionQty"),
-        exact_mean("ProductionQty").alias("AvgDailyProduction"),
-        F.max("ProductionQty").alias("MaxDailyProduction"),
-        exact_sum("FactoryIssueQty").alias("TotalFactoryIssueQty"),
-        exact_mean("FactoryIssueQty").alias("AvgFactoryIssueQty"),
-        F.sum("SalesOrderQty").alias("TotalSalesOrderQty"),
-        mean("SalesOrderQty").alias("AvgDailySales"),
-        F.countDistinct("SkuId").alias("SKU_Count"),
-        F.countDistinct("Date").alias("DataDays"),
+    """Nine per-plant measures. Sums meet per (plant, SKU) and days per
+    (plant, day) first, so no fact row is copied for a distinct count."""
+    dec = "decimal(38,2)"
+    sku = master.groupBy("PlantId", "SkuId").agg(
+        F.sum(F.col("ProductionQty").cast(dec)).alias("p"), F.count("ProductionQty").alias("pn"),
+        F.max("ProductionQty").alias("pm"),
+        F.sum(F.col("FactoryIssueQty").cast(dec)).alias("i"), F.count("FactoryIssueQty").alias("in"),
+        F.sum("SalesOrderQty").alias("s"), F.count("SalesOrderQty").alias("sn"))
+    prod, issue = F.sum("p").cast("double"), F.sum("i").cast("double")
+    t = sku.groupBy("PlantId").agg(
+        prod.alias("TotalProductionQty"),
+        (prod / F.sum("pn")).alias("AvgDailyProduction"),
+        F.max("pm").alias("MaxDailyProduction"),
+        issue.alias("TotalFactoryIssueQty"),
+        (issue / F.sum("in")).alias("AvgFactoryIssueQty"),
+        F.sum("s").alias("TotalSalesOrderQty"),
+        (F.sum("s") / F.sum("sn")).alias("AvgDailySales"),
+        F.count("SkuId").alias("SKU_Count"),
     )
+    days = master.select(F.col("PlantId").alias("_plant"), "Date").distinct().groupBy("_plant").agg(
+        F.count("Date").alias("DataDays"))
+    return t.join(days, F.col("PlantId").eqNullSafe(F.col("_plant"))).drop("_plant")
 
 
 def plant_statistics(master: DataFrame) -> DataFrame:

@@ -44,22 +44,37 @@ def dense_codes(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (NumPy's default) per group,
-    without collecting a group into one buffer: rows are ranked by a
-    range-partitioned sort (``global_index``), so a group holding a third of
-    all rows is spread over many tasks. Output: (group, p, q)."""
+    without collecting a group into one buffer. Equal values are counted first
+    (partial aggregation), so neither a hot group nor a hot value reaches the
+    sort; the distinct (group, value) rows are range-sorted and their counts
+    summed up over partition offsets. Output: (group, p, q); a group without a
+    value has no row."""
     g = [group] if group else []
-    base = df.select(*[F.col(c) for c in g], F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull())
-    idx = global_index(base, [*g, "_v"], "_i")
-    stats = idx.groupBy(*g).agg(F.min("_i").alias("_start"), F.count("*").alias("_n"))
-    spark = df.sparkSession
-    pt = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    tg = (stats.crossJoin(F.broadcast(pt))
-          .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-          .withColumn("_lo", F.col("_start") + F.floor("_h"))
-          .withColumn("_hi", F.col("_start") + F.ceil("_h"))
-          .withColumn("_f", F.col("_h") - F.floor("_h")))
-    lo = idx.select(F.col("_i").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = idx.select(F.col("_i").alias("_hi"), F.col("_v").alias("_vhi"))
-    r = tg.join(lo, "_lo").join(hi, "_hi")
-    return r.select(*g, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f")).alias("q"))
+    n = (df.select(*[F.col(c) for c in g], F.col(value).cast("double").alias("_v"))
+         .where(F.col("_v").isNotNull()).groupBy(*g, "_v").agg(F.count("*").alias("_c")))
+    s = n.orderBy(*g, "_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = s.groupBy("_pid").agg(F.sum("_c").alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(*g, "_v").rowsBetween(Window.unboundedPreceding, 0)
+    idx = (s.withColumn("_end", F.sum("_c").over(inside)).join(F.broadcast(offsets), "_pid")
+           .withColumn("_end", F.col("_end") + F.col("_off")))
+    stats = idx.groupBy(*g).agg(F.min(F.col("_end") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"))
+    if g:
+        stats = stats.withColumnRenamed(group, "_g")
+        rows = idx.join(stats, F.col(group).eqNullSafe(F.col("_g")))
+    else:
+        rows = idx.crossJoin(F.broadcast(stats))  # one row
+    last = F.col("_end") - F.col("_start")  # ranks [last - _c, last) of the group hold this value
+    hits = []
+    for p in probs:
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        at = [(F.floor(h) < last) & (F.floor(h) >= last - F.col("_c")),
+              (F.ceil(h) < last) & (F.ceil(h) >= last - F.col("_c"))]
+        hits.append(F.when(at[0] | at[1], F.struct(
+            F.lit(float(p)).alias("p"), (h - F.floor(h)).alias("f"),
+            F.when(at[0], F.col("_v")).alias("lo"), F.when(at[1], F.col("_v")).alias("hi"))))
+    found = (rows.select(*g, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("_h"))
+             .groupBy(*g, F.col("_h.p").alias("p"))
+             .agg(F.max("_h.lo").alias("_lo"), F.max("_h.hi").alias("_hi"), F.max("_h.f").alias("_f")))
+    return found.select(*g, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias("q"))

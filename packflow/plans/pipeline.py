@@ -19,25 +19,36 @@ from packflow.operators import network as N
 from packflow.operators import production as P
 from packflow.operators.explore import filter_panel
 from packflow.sources import binding as B
+from packflow.sources.sinks import write_results
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
+def run_pipeline(spark: SparkSession, sf_dir: str | None = None, filters: dict | None = None,
                  forecast_cfg: ForecastConfig = ForecastConfig(),
                  classes: str = "kmeans", cluster_cfg: ClusterConfig | None = None,
-                 max_revision_rounds: int = 2, master=None, timings: dict | None = None) -> dict:
+                 max_revision_rounds: int = 2, master=None, prices=None, edges=None,
+                 out_dir: str | None = None, timings: dict | None = None) -> dict:
     """Run every step; ``filters`` may carry ``sku_filter``,
-    ``horizon_days``, ``group`` and ``plant``."""
+    ``horizon_days``, ``group`` and ``plant``. A given ``master`` (see
+    ``files.load_panel``) brings its own ``prices`` and storage ``edges``, or
+    none; otherwise all three come from the tables under ``sf_dir``. With
+    ``out_dir`` the eleven result tables are written there."""
     import time
     filters = filters or {}
     t = timings if timings is not None else {}
 
     def mark(name, t0, df=None):
         if df is not None:
-            df.count()  # action: the step's timing includes its work
+            df.write.format("noop").mode("overwrite").save()  # every column of the step is computed
         t[name] = round(time.time() - t0, 3)
 
     t0 = time.time()
-    m = master if master is not None else B.master_table(spark, sf_dir)
+    if master is None:
+        master = B.master_table(spark, sf_dir)
+        if prices is None:
+            prices = B.materialise(spark, "sell_prices", sf_dir, lambda: B.sell_prices(spark, sf_dir))
+        if edges is None:
+            edges = B.materialise(spark, "edges", sf_dir, lambda: B.storage_edges(spark, sf_dir))
+    m = master
     m = filter_panel(m, filters.get("group"), filters.get("plant"))
     mark("load", t0)
 
@@ -49,7 +60,6 @@ def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
     mark("forecast", t0)
 
     t0 = time.time()
-    prices = B.materialise(spark, "sell_prices", sf_dir, lambda: B.sell_prices(spark, sf_dir))
     rev = FI.revision_loop(m, forecast, prices, max_revision_rounds, classes, cluster_cfg)
     packs, finance = rev["packs"], rev["finance"]
     mark("packs_finance", t0)
@@ -62,7 +72,6 @@ def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
     mark("production", t0, util)
 
     t0 = time.time()
-    edges = B.materialise(spark, "edges", sf_dir, lambda: B.storage_edges(spark, sf_dir))
     nodes, w = N.graph(m, edges)
     locs = nodes.where(F.col("node_type") == "storage_location").select("node")
     routes = N.routing_paths(N.ordered_location_pairs(locs), N.shortest_paths(w)).checkpoint(eager=True)
@@ -77,7 +86,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
     bench = K.benchmark_comparison(rev["summary"], disp_summary)
     mark("kpis", t0, kpis)
 
-    return {
+    res = {
         "master": m, "forecast": forecast, "actuals": fc["actuals"], "metrics": fc["metrics"],
         "recommendations": packs["recommendations"], "velocity_profile": packs["profile"],
         "financial_table": finance, "financial_summary": rev["summary"], "revision_rounds": rev["rounds"],
@@ -86,6 +95,11 @@ def run_pipeline(spark: SparkSession, sf_dir: str, filters: dict | None = None,
         "dispatch_summary": disp_summary, "pipeline_summary": kpis, "benchmark_comparison": bench,
         "timings": t,
     }
+    if out_dir is not None:
+        t0 = time.time()
+        res["exported"] = write_results(spark, out_dir, {n: res[k] for n, k in RESULT_TABLES.items()})
+        mark("export", t0)
+    return res
 
 
 RESULT_TABLES = {

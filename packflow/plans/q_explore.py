@@ -245,7 +245,7 @@ def q_histogram(spark, d):
     """A29 histogram: CV (15 bins), SKU mean price (20), sell price clipped
     to [0, 100] (30), with densities."""
     m = _m(spark, d)
-    cv = X.demand_cv(m)
+    cv = X.sku_cv(m)
     sp = m.groupBy("SkuId").agg((F.sum("Price") / F.count("Price")).alias("p"))
     return (X.histogram(cv, "cv", 15, "cv").unionByName(X.histogram(sp, "p", 20, "sku_price"))
             .unionByName(X.histogram(B.sell_prices(spark, d), "sell_price", 30, "sell_price", 0.0, 100.0)))
@@ -414,7 +414,7 @@ def q_top_forecast(spark, d):
        'SELECT "SkuId", cv FROM cv ORDER BY cv DESC NULLS LAST, "SkuId" LIMIT 15', ALL)
 def q_top_volatile(spark, d):
     """T05 top_volatile."""
-    c = X.demand_cv(_m(spark, d)).select("SkuId", "cv")
+    c = X.sku_cv(_m(spark, d)).select("SkuId", "cv")
     return X.top_k(c, 15, [F.desc_nulls_last("cv"), F.asc("SkuId")])
 
 

@@ -95,7 +95,7 @@ ITEM_PRICE_CTE = {"item_price": """SELECT item_id AS "SkuId", SUM(sell_price) /
 
 
 def _gen_cost_sql(sku: str) -> str:
-    n = f"COALESCE(TRY_CAST(REGEXP_EXTRACT({sku}, '([0-9]+)', 1) AS BIGINT), 0)"
+    n = f"CAST('0x' || SUBSTR(MD5({sku}), 1, 7) AS BIGINT)"
     return f"(5.0 + (({n} * 7919) % 4500) / 100.0)", f"(1.2 + (({n} * 104729) % 130) / 100.0)"
 
 

@@ -61,6 +61,8 @@ def q_read_wide_panel(spark, d):
     written as CSV, read back as text, then dates / quantities parsed."""
     root = _root(spark, "wide")
     _write_csv(B.wide_panel(spark, d), f"{root}/Sales Order.csv")
+    _write_csv(B.wide_panel(spark, d).select("Date", "PlantId", *reversed(SLOTS)),
+               f"{root}/sales order weight.csv")  # a similar name: the first one is read
     return _parsed_wide(FS.read_wide_panel(spark, FS.resolve_source(root, "sales order")))
 
 
@@ -143,38 +145,49 @@ def q_read_edges(spark, d):
 
 
 @query("read_calendar", """date:t, snap_CA:i, snap_TX:i, snap_WI:i, event_name_1:s, event_type_1:s,
-month:i, year:i""", "SELECT * FROM calendar")
+month:i, year:i, weekday:s, wday:i""",
+       """SELECT *, DAYNAME("date") AS weekday, (EXTRACT(dow FROM "date") + 1) % 7 + 1 AS wday FROM calendar""")
 def q_read_calendar(spark, d):
-    """S08 read_calendar."""
+    """S08 read_calendar: the full layout with more columns, in another order
+    and with padded names (``wday`` 1 is Saturday)."""
     path = _root(spark, "calendar")
-    _write_csv(B.calendar(spark, d, B.master_table(spark, d)), path)
+    c = B.calendar(spark, d, B.master_table(spark, d))
+    _write_csv(c.select("date", F.date_format("date", "yyyyMM").cast("int").alias("wm_yr_wk"),
+                        F.date_format("date", "EEEE").alias(" weekday"),
+                        (F.pmod(F.dayofweek("date"), F.lit(7)) + 1).alias("wday "), "month", "year",
+                        F.dayofyear("date").alias("d"), "event_name_1", "event_type_1",
+                        "snap_CA", "snap_TX", "snap_WI"), path)
     return FS.read_calendar(spark, path)
 
 
 @query("read_sell_prices", "store_id:s, item_id:s, sell_price:d",
        "SELECT CAST(store_id AS VARCHAR) AS store_id, item_id, sell_price FROM sell_prices")
 def q_read_sell_prices(spark, d):
-    """S09 read_sell_prices."""
+    """S09 read_sell_prices: the layout with a week column, read by name."""
     path = _root(spark, "prices")
-    _write_csv(B.sell_prices(spark, d), path)
+    _write_csv(B.sell_prices(spark, d).select("store_id", "item_id", F.lit(11325).alias("wm_yr_wk"),
+                                              F.col("sell_price").alias(" sell_price")), path)
     return FS.read_sell_prices(spark, path)
 
 
 @query("read_sales_history", "item_id:s, year:s, d:s, sales:x",
-       """SELECT 'P' || l_partkey AS item_id, CAST(YEAR(CAST(l_shipdate AS DATE)) AS VARCHAR) AS "year",
-          'd_' || DAYOFYEAR(CAST(l_shipdate AS DATE)) AS d, SUM(l_quantity * p_size) AS sales
-          FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")
+       """WITH s AS (SELECT 'PL' || (l_partkey - l_partkey % 10) AS item_id, YEAR(CAST(l_shipdate AS DATE)) AS y,
+            DAYOFYEAR(CAST(l_shipdate AS DATE)) AS doy, SUM(l_quantity * p_size) AS sales
+            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
+          SELECT k.item_id, CAST(k.y AS VARCHAR) AS "year", 'd_' || n.i AS d, COALESCE(s.sales, 0.0e0) AS sales
+          FROM (SELECT DISTINCT item_id, y FROM s) k CROSS JOIN range(1, 367) n(i)
+          LEFT JOIN s ON s.item_id = k.item_id AND s.y = k.y AND s.doy = n.i""")
 def q_read_sales_history(spark, d):
-    """S10 read_sales_history: item x year rows with one column per day of
-    year (``d_1``..``d_366``) written wide, read back long."""
+    """S10 read_sales_history: plant x year rows with one column per day of
+    year (``d_1``..``d_366``) written wide, read back long (no sale -> 0)."""
     root = _root(spark, "history")
-    s = B.sku_day_signals(spark, d).select("SkuId", "Date", "SalesOrderQty")
+    s = B.sku_day_signals(spark, d).select(B.plant_id("l_partkey").alias("item_id"), "Date", "SalesOrderQty")
     w = (s.withColumn("doy", F.dayofyear("Date"))
-         .groupBy(F.col("SkuId").alias("item_id"), F.year("Date").alias("year"))
-         .pivot("doy", list(range(1, 367))).agg(F.first("SalesOrderQty")))
+         .groupBy("item_id", F.year("Date").alias("year"))
+         .pivot("doy", list(range(1, 367))).agg(F.sum("SalesOrderQty")))
     w = w.select("item_id", "year", *[F.col(str(i)).alias(f"d_{i}") for i in range(1, 367)])
     _write_csv(w, f"{root}/sales_train_validation.csv")
-    return FS.read_sales_history(spark, root).where(F.col("sales") != 0)
+    return FS.read_sales_history(spark, root)
 
 
 @query("empty_with_schema", "kind:s, label:s, node1:s, node2:s",

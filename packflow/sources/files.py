@@ -1,20 +1,25 @@
 """File sources of the panel (S01-S11): wide daily CSVs, node / edge lists,
 calendar, prices, wide sales history.
 
-Schemas are explicit (no inference pass over the data). Paths may be local
-or any Hadoop filesystem URI; name matching is a case-insensitive glob that
-the file listing resolves, not a driver-side directory walk.
+Files are read as text under their header and cast by column name (no
+inference pass, no dependence on column order). Paths may be local or any
+Hadoop filesystem URI; name matching is a case-insensitive glob that the file
+listing resolves; of several matches the first in name order is read.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
+from urllib.parse import unquote, urlparse
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packflow.operators.master import parse_dates, parse_quantities, rename_columns, unpivot_panel
+from packflow.operators.master import build_master, load_unified, parse_dates, parse_quantities, rename_columns, unpivot_panel
 
 SIGNAL_FILES = {
     "SalesOrderQty": "sales order",
@@ -32,51 +37,77 @@ def ci_glob(pattern: str) -> str:
     return "*" + "".join(out) + "*"
 
 
-def resolve_source(root: str | Sequence[str], pattern: str) -> str:
-    """A path glob matching the file (or written table folder) whose
-    name contains ``pattern``, case-insensitively, under any of the roots.
-    Hadoop path globbing resolves it at read time on any filesystem."""
+def resolve_source(root: str | Sequence[str], pattern: str) -> list[str]:
+    """One path glob per root, each matching the files (or written table
+    folders) whose name contains ``pattern``, case-insensitively. The readers
+    take the first match of the first root that has one (see ``first_match``)."""
     roots = [root] if isinstance(root, str) else list(root)
-    g = ci_glob(pattern)
-    if len(roots) == 1:
-        return f"{roots[0].rstrip('/')}/{g}"
-    return [f"{r.rstrip('/')}/{g}" for r in roots]
-
-
-def _read_csv(spark: SparkSession, path, glob: str | None = None,
-              schema: T.StructType | None = None) -> DataFrame | None:
-    if isinstance(path, (list, tuple)):  # alternative roots, first match wins
-        for p in path:
-            df = _read_csv(spark, p, glob, schema)
-            if df is not None:
-                return df
+    return [f"{r.rstrip('/')}/{ci_glob(pattern)}" for r in roots]
+
+
+def first_match(spark: SparkSession, glob: str) -> str | None:
+    """The first file or table folder, in name order, that ``glob`` matches.
+    Similar names next to it are not mixed into it."""
+    try:
+        files = (spark.read.option("recursiveFileLookup", True).text(glob)).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    where = urlparse(glob)
+    depth = len((where.path if where.scheme else os.path.abspath(glob)).split("/"))
+    entries = {"/".join(unquote(urlparse(f).path).split("/")[:depth]) for f in files}
+    if not entries:
         return None
-    r = spark.read.option("header", True).option("recursiveFileLookup", True)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", False)
+    scheme, host = urlparse(files[0])[:2]
+    first = min(entries, key=lambda e: (e.lower(), e))
+    return f"{scheme}://{host}" + "".join("\\" + c if c in "[]{}*?" else c for c in first)
+
+
+def _read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
+    """A CSV file or folder with a header, every column text, names trimmed.
+    A list of globs reads the first match of the first root that has one;
+    ``None`` when there is no such file."""
+    if isinstance(path, (list, tuple)):
+        found = (first_match(spark, g) for g in path)
+        path = next((f for f in found if f is not None), None)
+        if path is None:
+            return None
     try:
-        return r.csv(path)
-    except Exception as e:  # missing path / no matching file
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        df = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return rename_columns(df)
 
 
-def read_wide_panel(spark: SparkSession, path, glob: str | None = None) -> DataFrame | None:
+def _read_named(spark: SparkSession, path, schema: T.StructType,
+                required: Sequence[str]) -> DataFrame | None:
+    """The columns of ``schema`` taken by name, whatever their order and
+    whatever else the file holds; an absent optional column is null, values
+    that do not parse are null, an absent required one is an error."""
+    df = _read_csv(spark, path)
+    if df is None:
+        return None
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} among {', '.join(df.columns)}")
+    return df.select(*[
+        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+
+
+def read_wide_panel(spark: SparkSession, path) -> DataFrame | None:
     """Wide daily CSV, first column the date, then one column per SKU.
     All columns are read as text; the first is renamed ``Date``."""
-    df = _read_csv(spark, path, glob)
+    df = _read_csv(spark, path)
     if df is None:
         return None
-    df = rename_columns(df)
     return df.withColumnRenamed(df.columns[0], "Date")
 
 
-def read_signal(spark: SparkSession, root: str, value_name: str,
+def read_signal(spark: SparkSession, root: str | Sequence[str], value_name: str,
                 id_cols: Sequence[str] = ("Date",)) -> DataFrame | None:
     """One signal in long form: wide CSV -> unpivot -> parsed date and qty."""
     wide = read_wide_panel(spark, resolve_source(root, SIGNAL_FILES[value_name]))
@@ -86,7 +117,7 @@ def read_signal(spark: SparkSession, root: str, value_name: str,
     return parse_quantities(parse_dates(long), [value_name])
 
 
-def read_signals(spark: SparkSession, root: str,
+def read_signals(spark: SparkSession, root: str | Sequence[str],
                  id_cols: Sequence[str] = ("Date",)) -> dict[str, DataFrame | None]:
     """The four signals; an absent file gives ``None``."""
     return {k: read_signal(spark, root, k, id_cols) for k in SIGNAL_FILES}
@@ -97,7 +128,7 @@ NODE_SCHEMA = T.StructType([T.StructField("Node", T.StringType())])
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     """SKU list, Node -> SkuId."""
-    df = _read_csv(spark, path, schema=NODE_SCHEMA)
+    df = _read_named(spark, path, NODE_SCHEMA, ["Node"])
     if df is None:
         return empty_with_schema(spark, ["SkuId"])
     return df.withColumnRenamed("Node", "SkuId")
@@ -123,6 +154,8 @@ def read_sku_groups(spark: SparkSession, path: str) -> DataFrame:
 
 EDGE_KIND_COLUMN = {"storage": "Storage Location", "plant": "Plant",
                     "group": "GroupCode", "subgroup": "SubGroupCode"}
+EDGE_KIND_FILE = {"storage": "storage location", "plant": "plant",
+                  "group": "product group", "subgroup": "product sub-group"}
 
 
 def read_edges(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -132,24 +165,24 @@ def read_edges(spark: SparkSession, path: str, kind: str) -> DataFrame:
     df = _read_csv(spark, path)
     if df is None:
         df = empty_with_schema(spark, [label, "node1", "node2"])
-    df = rename_columns(df)
     lab = F.col(f"`{label}`") if label in df.columns else F.lit(None).cast("string")
     return df.select(F.lit(kind).alias("kind"), lab.cast("string").alias("label"),
                      F.col("node1").cast("string"), F.col("node2").cast("string"))
 
 
 CALENDAR_SCHEMA = T.StructType([
-    T.StructField("date", T.StringType()), T.StructField("snap_CA", T.IntegerType()),
+    T.StructField("date", T.StringType()), T.StructField("weekday", T.StringType()),
+    T.StructField("wday", T.IntegerType()), T.StructField("snap_CA", T.IntegerType()),
     T.StructField("snap_TX", T.IntegerType()), T.StructField("snap_WI", T.IntegerType()),
     T.StructField("event_name_1", T.StringType()), T.StructField("event_type_1", T.StringType()),
     T.StructField("month", T.IntegerType()), T.StructField("year", T.IntegerType()),
 ])
 
 
-def read_calendar(spark: SparkSession, path: str,
+def read_calendar(spark: SparkSession, path,
                   schema: T.StructType = CALENDAR_SCHEMA) -> DataFrame | None:
-    """Calendar with parsed date."""
-    df = _read_csv(spark, path, schema=schema)
+    """Calendar with parsed date, columns taken by name."""
+    df = _read_named(spark, path, schema, ["date"])
     return None if df is None else parse_dates(df, "date")
 
 
@@ -159,11 +192,11 @@ PRICE_SCHEMA = T.StructType([
 ])
 
 
-def read_sell_prices(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame | None:
-    """Item x store (x week) prices."""
+def read_sell_prices(spark: SparkSession, path, fmt: str = "csv") -> DataFrame | None:
+    """Item x store (x week) prices, columns taken by name."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return _read_csv(spark, path, schema=PRICE_SCHEMA)
+    return _read_named(spark, path, PRICE_SCHEMA, ["item_id", "sell_price"])
 
 
 def read_sales_history(spark: SparkSession, path: str, evaluation: bool = False) -> DataFrame | None:
@@ -184,3 +217,28 @@ def empty_with_schema(spark: SparkSession, cols: Sequence[str],
     types = types or {}
     schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in cols])
     return spark.createDataFrame([], schema)
+
+
+def load_panel(spark: SparkSession, root: str) -> dict:
+    """E01 + E02 over the files under ``root`` (in its usual sub-folders or in
+    ``root`` itself): the master panel with its calendar columns, plus nodes,
+    prices, calendar and edges by kind. The sales file is required; every other
+    file may be absent."""
+    top = root.rstrip("/")
+
+    def at(name: str, folder: str) -> list[str]:
+        return resolve_source([f"{top}/{folder}", top], name)
+
+    sig = read_signals(spark, [f"{top}/Temporal Data/Unit", top])
+    if sig["SalesOrderQty"] is None:
+        raise FileNotFoundError(f"no '{SIGNAL_FILES['SalesOrderQty']}' file under {root}")
+    cal = read_calendar(spark, at("calendar", "m5"))
+    master = build_master(sig["SalesOrderQty"], sig["ProductionQty"], sig["DeliveryQty"],
+                          sig["FactoryIssueQty"],
+                          read_sku_locations(spark, at("node types (plant", "Nodes")),
+                          read_sku_groups(spark, at("node types (product", "Nodes")))
+    return {"master": load_unified(master, cal), "calendar": cal,
+            "nodes": read_nodes(spark, at("nodes.csv", "Nodes")),
+            "prices": read_sell_prices(spark, at("sell_prices", "m5")),
+            "edges": {k: read_edges(spark, at(f"edges ({name})", "Edges"), k)
+                      for k, name in EDGE_KIND_FILE.items()}}

@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 def write_results(spark: SparkSession, out_dir: str, tables: dict[str, DataFrame | None],
                   fmt: str = "parquet") -> DataFrame:
     """Write each named non-empty table to ``out_dir/name``; return
-    (table, rows, path) for those written. Empty tables are skipped."""
+    (table, rows, path) for the non-empty ones."""
     rows = []
     for name, df in tables.items():
-        if df is None or df.isEmpty():
+        if df is None:
             continue
         obs = Observation(f"count_{name}")
         path = f"{out_dir.rstrip('/')}/{name}"
@@ -26,7 +26,9 @@ def write_results(spark: SparkSession, out_dir: str, tables: dict[str, DataFrame
             w.option("header", True).csv(path)
         else:
             w.parquet(path)
-        rows.append((name, int(obs.get["rows"]), path))
+        n = int(obs.get["rows"])
+        if n:
+            rows.append((name, n, path))
     schema = T.StructType([T.StructField("table", T.StringType()),
                            T.StructField("rows", T.LongType()),
                            T.StructField("path", T.StringType())])
@@ -34,11 +36,15 @@ def write_results(spark: SparkSession, out_dir: str, tables: dict[str, DataFrame
 
 
 def read_results(spark: SparkSession, out_dir: str, names: list[str],
-                 fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Read result tables back for reporting."""
+                 fmt: str = "parquet",
+                 schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """Read result tables back for reporting; CSV columns are text unless
+    ``schemas`` gives the table's types."""
     out = {}
     for n in names:
         p = f"{out_dir.rstrip('/')}/{n}"
-        out[n] = (spark.read.option("header", True).option("inferSchema", True).csv(p)
-                  if fmt == "csv" else spark.read.parquet(p))
+        if fmt == "csv":
+            out[n] = spark.read.option("header", True).csv(p, schema=(schemas or {}).get(n))
+        else:
+            out[n] = spark.read.parquet(p)
     return out
