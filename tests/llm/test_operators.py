@@ -117,6 +117,17 @@ def test_mixing_beats_base_on_held_out(spark):
     assert sum(r["score"] for r in h) > 0.8 * sum(r["base_score"] for r in h)
 
 
+def test_every_predictor_is_there():
+    previous, function = np.repeat(np.arange(3), 3), np.tile(np.arange(3), 3)
+    contexts, _ = lm.word_contexts(previous, function)
+    assert [len(set(c.tolist())) for c in contexts] == [1, 3, 3, 9] and lm.WORD_TABLES == 4
+    _, contexts, _, _ = lm.spelling([b"abcde", b"xbcde"])
+    assert len(contexts) == lm.BYTE_TABLES == 6
+    # the stops see: nothing, e, de, cde, bcde, the word
+    assert [bool(c[5] == c[11]) for c in contexts] == [True] * 5 + [False]
+    assert lm.FUNCTION == 64 and lm.SHARPNESS == (0.75, 1.0, 1.3)
+
+
 # 3 ---------------------------------------------------------------------------
 
 def removed(data: list[tuple], k: int) -> dict:
