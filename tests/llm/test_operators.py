@@ -128,6 +128,26 @@ def test_every_predictor_is_there():
     assert lm.FUNCTION == 64 and lm.SHARPNESS == (0.75, 1.0, 1.3)
 
 
+def test_tables_count_every_row(spark):
+    data = [(i, f"red w{i % 7} blue w{i % 5} green odd{i}") for i in range(200)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    model, _ = lm.fit(docs, 16)
+    sample = [np.frombuffer(t.encode(), np.uint8) for _, t in data]
+    tokens = model.lexicon.tokens(np.concatenate(sample), np.cumsum([0, *map(len, sample)]))
+    tables = [np.zeros(2 << 16, np.uint32) for _ in range(lm.WORD_TABLES)]
+    counts = lm.WordCounts(model.lexicon, 16, tables)
+    counts.add(tokens)
+    counts.flush()
+    for mine, t in zip(model.words.logits, tables):
+        assert (mine == lm.table_logits(t[0::2].astype(np.float32), t[1::2].astype(np.float32))).all()
+    # and every word type is in the byte tables
+    sym, contexts, _, _ = lm.spelling(sorted({w for _, t in data for w in words(t)}))
+    tables = [np.zeros(2 << 16, np.uint32) for _ in range(lm.BYTE_TABLES)]
+    lm._count_into(tables, model.letters.code, 16, sym, contexts)
+    for mine, t in zip(model.letters.logits, tables):
+        assert (mine == lm.table_logits(t[0::2].astype(np.float32), t[1::2].astype(np.float32))).all()
+
+
 # 3 ---------------------------------------------------------------------------
 
 def removed(data: list[tuple], k: int) -> dict:
