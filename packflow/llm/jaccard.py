@@ -11,13 +11,15 @@
 2. Signature trees. A group's documents become the leaves of a tree whose nodes
    hold OR-combined token bitmaps and size ranges. Dual traversal drops a pair
    of nodes when the sizes or the largest possible overlap rule out a link;
-   remaining document pairs are counted exactly unless they are linked already.
-   Large groups are cut into chunks with a tree each: chunks meet the first
-   chunk, then only those pairs of chunks that are not one component yet.
+   every remaining pair is counted exactly. Equal sets are one class, which its
+   first document stands for and which counts with its number of rows. Large
+   groups are cut into chunks with a tree each, and every two chunks meet.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,7 +43,8 @@ _U = np.uint64
 REQUEST = "bucket int, block long, size int, docs binary, counts binary, low binary, high binary, hot binary, hot_counts binary"
 REPLY = ("block long, bucket int, docs binary, counts binary, tokens binary, class binary, hot binary, "
          "hot_class binary")
-ROUTED = "kind int, doc_id long, n long, tokens binary, bucket int, keys binary, nodes binary"
+ROUTED = "kind int, doc_id long, n long, tokens binary, bucket int, keys binary, nodes binary, block long, cls long"
+LINKS = "kind int, a long, b long"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +114,11 @@ def unpacked_set(packed: bytes) -> np.ndarray:
     return from48(packed[1: 1 + 6 * n]) | top << _U(48)
 
 
+def class_id(packed: bytes) -> int:
+    """64 bits that stand for a class of equal sets."""
+    return int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), "little", signed=True)
+
+
 def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     """Blocks of documents as packed shingles for each bucket."""
     def run(batches):
@@ -228,8 +236,8 @@ def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> DataFrame:
-    """kind 0: every document (candidates with their shared shingles);
-    kind 1: packed prefix entries; kind 2: coarse edges (a forest); kind 3: links of equal
+    """kind 0: every document (candidates with their class; the first of a class
+    in a block has bucket 0 and its shared shingles); kind 1: packed prefix entries; kind 2: coarse edges (a forest); kind 3: links of equal
     sets, found inside blocks."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -262,8 +270,11 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
         tokens: list[bytes | None] = [None] * len(ids)
         first: dict[tuple, int] = {}
         links, alive = [], np.zeros(len(ids), bool)
+        block, classes = home["block"], [None] * len(ids)
         for d in np.flatnonzero(candidate):
             t = packed_set(by_set[at[d]: at[d + 1]])
+            # a set with shingles of its own equals no other
+            classes[d] = class_id(b"=" + t if shared[d] == n[d] else b"%d %d" % (block, d))
             if shared[d] == n[d]:
                 other = first.setdefault((int(n[d]), t), int(d))
                 if other != d:
@@ -283,16 +294,17 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
         pairs = spanning(least, d)
         t, d = t[lead], d[lead]
         b = (mix(t) % _U(buckets)).astype(np.int64)
-        out = [(0, int(ids[k]), int(n[k]), tokens[k], None, None, None) for k in range(len(ids))]
-        out += [(1, None, None, None, int(k), t[b == k].tobytes(), d[b == k].tobytes()) for k in np.unique(b)]
+        out = [(0, int(ids[k]), int(n[k]), tokens[k], 0 if alive[k] else None, None, None, block, classes[k])
+               for k in range(len(ids))]
+        out += [(1, None, None, None, int(k), t[b == k].tobytes(), d[b == k].tobytes(), None, None) for k in np.unique(b)]
         if len(pairs):
-            out.append((2, None, None, None, None, pairs[:, 0].tobytes(), pairs[:, 1].tobytes()))
+            out.append((2, None, None, None, None, pairs[:, 0].tobytes(), pairs[:, 1].tobytes(), None, None))
         if links:
             x = np.array(links, np.int64)
-            out.append((3, None, None, None, None, x[:, 0].tobytes(), x[:, 1].tobytes()))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(7)],
-                                    names=["kind", "doc_id", "n", "tokens", "bucket", "keys", "nodes"])
+            out.append((3, None, None, None, None, x[:, 0].tobytes(), x[:, 1].tobytes(), None, None))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(9)],
+                                    names=["kind", "doc_id", "n", "tokens", "bucket", "keys", "nodes", "block", "cls"])
 
     return replies.repartition(blocks, "block").groupBy("block").applyInArrow(run, ROUTED)
 
@@ -391,108 +403,96 @@ def dual(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np.ndarray,
     return a.order[i[order]], b.order[j[order]]
 
 
-def _overlap(x: np.ndarray, y: np.ndarray) -> int:
-    if len(x) > len(y):
-        x, y = y, x
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    return int((y[at] == x).sum()) if len(y) else 0
-
-
-def link_members(a: list[tuple], b: list[tuple] | None, percent: int, forest: Forest) -> list[tuple[int, int]]:
-    """Links between members (doc_id, n, set) of one chunk, or of two, that are
-    needed for connectivity: pairs already connected are not counted again."""
-    unpack = lambda rows: SignatureTree([r[2] for r in rows], np.array([r[1] for r in rows]))
-    ta = unpack(a)
-    tb, b = (ta, a) if b is None else (unpack(b), b)
-    out = []
-    for i, j in zip(*(x.tolist() for x in dual(ta, tb, percent))):
-        (x, nx, sx), (y, ny, sy) = a[i], b[j]
-        if x == y or forest.find(x) == forest.find(y):
-            continue
-        both = _overlap(sx, sy)
-        if 100 * both >= percent * (nx + ny - both):
-            forest.join(x, y)
-            out.append((x, y))
-    return out
-
-
-def _links(out: list[tuple[int, int]]) -> pa.Table:
-    return pa.Table.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())],
-                                names=["a", "b"])
-
-
-def _inside(members: DataFrame, tasks: int, percent: int) -> DataFrame:
+def link_members(a: list[tuple], b: list[tuple] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all linked members (class, doc_id, weight, n, set) of one
+    chunk, each pair once, or of two."""
+    tree = lambda rows: SignatureTree([r[4] for r in rows], np.array([r[3] for r in rows]))
+    ta = tree(a)
+    tb, b = (ta, a) if b is None else (tree(b), b)
+    i, j = dual(ta, tb, percent)
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    sets = [r[4] for r in a] + ([r[4] for r in b] if b is not a else [])
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    codes = np.split(code, np.cumsum([len(x) for x in sets])[:-1])
+    other = codes if b is a else codes[len(a):]
+    length = np.array([len(x) for x in other])
+    mark = np.zeros(int(code.max(initial=-1)) + 1, bool)
+    both = np.zeros(len(i), np.int64)
+    first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, np.int64)
+    for lo, hi in zip(first.tolist(), np.append(first[1:], len(i)).tolist()):
+        mine = codes[i[lo]]
+        mark[mine] = True
+        for s in range(lo, hi, 256):
+            to = j[s: min(s + 256, hi)]
+            hits = np.concatenate([[0], np.cumsum(mark[np.concatenate([other[k] for k in to])])])
+            both[s: s + len(to)] = np.diff(hits[np.concatenate([[0], np.cumsum(length[to])])])
+        mark[mine] = False
+    na, nb = np.array([r[3] for r in a])[i], np.array([r[3] for r in b])[j]
+    ok = 100 * both >= percent * (na + nb - both)
+    return i[ok], j[ok]
+
+
+def _links(a: list[tuple], b: list[tuple] | None, percent: int, every: bool) -> list[np.ndarray]:
+    """Rows of LINKS. kind 0: a forest of the linked documents; kind 1: a class
+    and the number of rows it is linked with; with ``every`` also kind 2: the
+    documents that stand for two linked classes."""
+    i, j = link_members(a, b, percent)
+    b = a if b is None else b
+    column = lambda rows, k: np.array([r[k] for r in rows], np.int64)
+    ia, jb = column(a, 1)[i], column(b, 1)[j]
+    row = lambda kind, x, y: np.stack([np.full(len(x), kind, np.int64), x, y], 1)
+    forest = spanning(ia, jb)
+    out = [row(0, forest[:, 0], forest[:, 1])]
+    for rows, at, to in ((a, i, column(b, 2)[j]), (b, j, column(a, 2)[i])):
+        n = np.zeros(len(rows), np.int64)
+        np.add.at(n, at, to)
+        out.append(row(1, column(rows, 0)[n > 0], n[n > 0]))
+    return out + [row(2, ia, jb)] * every
+
+
+def _link_table(found: list[np.ndarray]) -> pa.Table:
+    x = np.concatenate([np.zeros((0, 3), np.int64), *found])
+    return pa.Table.from_arrays([pa.array(x[:, 0], pa.int32()), pa.array(x[:, 1]), pa.array(x[:, 2])],
+                                names=["kind", "a", "b"])
+
+
+def _member(r: dict) -> tuple:
+    return r["cls"], r["doc_id"], r["weight"], r["n"], unpacked_set(r["tokens"])
+
+
+def _inside(members: DataFrame, tasks: int, percent: int, every: bool) -> DataFrame:
     """Links inside each (group, chunk)."""
     def run(table: pa.Table) -> pa.Table:
         groups: dict[tuple, list[tuple]] = {}
         for r in table.to_pylist():
-            groups.setdefault((r["root"], r["chunk"]), []).append((r["doc_id"], r["n"], unpacked_set(r["tokens"])))
-        out = []
-        for rows in groups.values():
-            if len(rows) > 1:
-                out += link_members(sorted(rows, key=lambda r: r[0]), None, percent, Forest())
-        return _links(out)
+            groups.setdefault((r["root"], r["chunk"]), []).append(_member(r))
+        return _link_table([x for rows in groups.values() if len(rows) > 1 for x in _links(rows, None, percent, every)])
 
     return (members.withColumn("task", F.pmod(F.xxhash64("root", "chunk"), F.lit(tasks)).cast("int"))
-            .repartition(tasks, "task").groupBy("task").applyInArrow(run, "a long, b long"))
+            .repartition(tasks, "task").groupBy("task").applyInArrow(run, LINKS))
 
 
-def _between(pairs: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:
-    """Links between pairs (root, i, j) of chunks; labels say what is connected."""
+def _across(members: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Links between every two chunks of large groups."""
     def run(batches):
         for b in batches:
-            for r in b.to_pylist():
-                forest = Forest()
-                sides = []
-                for s in ("left", "right"):
-                    rows = [(m["doc_id"], m["n"], unpacked_set(m["tokens"])) for m in r[s]]
-                    for m in r[s]:
-                        forest.join(m["doc_id"], m["label"])
-                    sides.append(sorted(rows, key=lambda x: x[0]))
-                out = _links(link_members(sides[0], sides[1], percent, forest))
-                yield from out.to_batches()
+            for k in range(b.num_rows):
+                r = b.slice(k, 1).to_pylist()[0]
+                sides = [[_member(m) for m in r[s]] for s in ("left", "right")]
+                yield from _link_table(_links(*sides, percent, every)).to_batches()
 
+    chunks = written(members.groupBy("root", "chunk").agg(
+        F.collect_list(F.struct("cls", "doc_id", "weight", "n", "tokens")).alias("rows")), "chunks", "none")  # about CHUNK rows
     left = chunks.select("root", F.col("chunk").alias("i"), F.col("rows").alias("left"))
     right = chunks.select("root", F.col("chunk").alias("j"), F.col("rows").alias("right"))
+    pairs = left.select("root", "i").join(right.select("root", "j"), "root").where("i < j")
     return (pairs.join(left, ["root", "i"]).join(right, ["root", "j"]).select("left", "right")
-            .mapInArrow(run, "a long, b long"))
-
-
-def _across(members: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links between chunks of large groups, after those inside: all chunks
-    with the first, then the pairs that are still not one component."""
-    def labelled(found: DataFrame) -> DataFrame:
-        roots = graph_components(found).withColumnRenamed("root", "label")
-        m = members.join(roots, members["doc_id"] == roots["node"], "left").drop("node")
-        m = m.withColumn("label", F.coalesce("label", "doc_id"))
-        return written(m.groupBy("root", "chunk").agg(
-            F.collect_list(F.struct("doc_id", "n", "tokens", "label")).alias("rows"),  # about CHUNK rows
-            F.min("label").alias("low"), F.max("label").alias("high")), "chunks", "none")
-
-    chunks = labelled(links)
-    star = chunks.where("chunk > 0").select("root", F.lit(0).alias("i"), F.col("chunk").alias("j"))
-    found = written(_between(star, chunks, percent), "links")
-    links = links.unionByName(found)
-    chunks = labelled(links)
-    a = chunks.select("root", F.col("chunk").alias("i"), F.col("low").alias("al"), F.col("high").alias("ah"))
-    b = chunks.select("root", F.col("chunk").alias("j"), F.col("low").alias("bl"), F.col("high").alias("bh"))
-    open_pairs = a.join(b, "root").where(
-        "i > 0 and i < j and not (al = ah and bl = bh and al = bl)").select("root", "i", "j")
-    return found.unionByName(written(_between(open_pairs, chunks, percent), "links"))
+            .mapInArrow(run, LINKS))
 
 
-def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
-
-    Null and wordless texts have no shingles and link with nothing; texts with
-    fewer than ``size`` words are one shingle; rows with one id are one node
-    (each row keeps its own count); rows without an id stand alone with a null
-    component; an empty table gives an empty result; extra columns are
-    ignored."""
-    spark = docs.sparkSession
-    prepare(spark)
-    every = texts(docs)
+def _joined(every: DataFrame, size: int, percent: int, all_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Routed rows, classes (cls, weight, rep), links of equal sets, LINKS of all others."""
     named = every.where(F.col("doc_id").isNotNull())
     chars = text_chars(every)
     buckets = min(1 << 16, buckets_for(chars, BUCKET_CHARS))
@@ -500,25 +500,65 @@ def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     replies = _answers(_requests(named, size, buckets), buckets)
     routed = _routed(replies, buckets, keys, percent)
     path = written(routed, "routed", "none")
-    equal = _pairs(path.where("kind = 3"))
+    classes = written(path.where("kind = 0 and cls is not null").groupBy("cls").agg(
+        F.count("*").alias("weight"),
+        F.min(F.when(F.col("bucket") == 0, F.struct("doc_id", "block"))).alias("rep")), "classes")
+    firsts = written(path.where("kind = 0 and bucket = 0").select("cls", "doc_id", "block").join(classes, "cls"), "firsts")
+    equal = _pairs(path.where("kind = 3")).unionByName(
+        firsts.where("doc_id <> rep.doc_id").select(F.col("rep.doc_id").alias("a"), F.col("doc_id").alias("b")))
     coarse = _meetings(path.where("kind = 1"), keys).unionByName(_pairs(path.where("kind = 2")))
     # written first: a task then needs one Python worker, not one for each of two steps
     groups = graph_components(written(coarse, "coarse"))
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
-    placed = groups.join(sizes, "root").withColumn("chunk", chunk.cast("int"))
+    reps = written(firsts.where("doc_id = rep.doc_id and block = rep.block").select("cls", "doc_id", "block", "weight")
+                   .join(groups, F.col("doc_id") == F.col("node")).drop("node"), "reps")
+    sizes = reps.groupBy("root").agg(F.count("*").alias("size")).where("size > 1")
+    chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
+    placed = reps.join(sizes, "root").withColumn("chunk", chunk.cast("int"))
     # the sets themselves are shuffled once here, and once to their chunks
-    members = written(path.where("kind = 0 and tokens is not null").select("doc_id", "n", "tokens")
-                      .join(placed, F.col("doc_id") == F.col("node")).drop("node"), "members", "none")
-    links = written(_inside(members, buckets, percent).unionByName(equal), "links")
+    members = written(path.where("kind = 0 and bucket = 0").select("cls", "block", "n", "tokens")
+                      .join(placed, ["cls", "block"]), "members", "none")
+    found = written(_inside(members, buckets, percent, all_pairs), "links")
     large = members.where(F.col("size") > CHUNK)
     if large.limit(1).count():
-        links = links.unionByName(_across(large.drop("size"), links, percent))
-    roots = graph_components(links)
-    out = (path.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"))
-           .join(roots, F.col("doc_id") == F.col("node"), "left")
-           .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")))
-    return out.unionByName(_nameless(every.where(F.col("doc_id").isNull()), size))
+        found = found.unionByName(written(_across(large, percent, all_pairs), "links"))
+    return path, classes, equal, found
+
+
+def pairs(docs: DataFrame, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs (a, b) of documents that stand for two linked classes
+    of equal sets, and membership (doc_id, class_doc_id) of every row that
+    could have a link. Documents of one class are linked with each other."""
+    prepare(docs.sparkSession)
+    path, classes, _, found = _joined(texts(docs), size, percent, True)
+    members = path.where("kind = 0 and cls is not null").select("cls", "doc_id").join(classes, "cls").select(
+        "doc_id", F.col("rep.doc_id").alias("class_doc_id"))
+    return found.where("kind = 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), members
+
+
+def components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (other rows it is linked with)
+    of every row.
+
+    Null and wordless texts have no shingles and link with nothing; texts with
+    fewer than ``size`` words are one shingle; rows with one id are one node
+    (each row keeps its own counts); rows without an id stand alone with a null
+    component; an empty table gives an empty result; extra columns are
+    ignored."""
+    prepare(docs.sparkSession)
+    every = texts(docs)
+    path, classes, equal, found = _joined(every, size, percent, False)
+    roots = graph_components(equal.unionByName(found.where("kind = 0").select("a", "b")))
+    others = found.where("kind = 1").groupBy(F.col("a").alias("cls")).agg(F.sum("b").alias("others"))
+    n_links = classes.join(others, "cls", "left").select(
+        F.col("cls").alias("key"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    # rows without a class are spread, not gathered under null
+    rows = (path.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "cls")
+            .join(roots, F.col("doc_id") == F.col("node"), "left")
+            .withColumn("key", F.coalesce("cls", F.xxhash64("doc_id", "n_shingles"))))
+    out = rows.join(n_links, "key", "left").select(
+        "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"),
+        F.when(F.col("cls").isNull(), 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return out.unionByName(_nameless(every.where(F.col("doc_id").isNull()), size).withColumn("n_links", F.lit(0).cast("long")))
 
 
 def _nameless(rows: DataFrame, size: int) -> DataFrame:

@@ -362,6 +362,32 @@ def test_jaccard_components(docs, empty, spark, chunk, monkeypatch):
     assert [(r["n_shingles"], r["component_id"]) for r in alone] == [(56, None)]
 
 
+@pytest.mark.parametrize("chunk", [2048, 4])
+def test_jaccard_links(spark, chunk, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    rng = np.random.RandomState(8)
+    base = [f"t{x}" for x in rng.randint(0, 400, 80)]
+    data = [(i, BASE if i % 3 else f"{BASE} end") for i in range(12)]
+    for i in range(20, 50):
+        w = list(base)
+        for k in rng.choice(80, rng.randint(0, 4), replace=False):
+            w[k] = f"n{i % 20}_{k}"
+        data.append((i, " ".join(w)))
+    sets = {i: {tuple(w[a: a + 5]) for w in [words(t)] for a in range(len(w) - 4)} for i, t in data}
+    want = {(a, b) for a in sets for b in sets if a < b
+            and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    # the last word may be new: a set with shingles of its own
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.op9(df).collect()}
+    assert got == {i: sum(i in p for p in want) for i in sets}
+    pairs, members = jaccard.pairs(df)
+    of = {r["doc_id"]: r["class_doc_id"] for r in members.collect()}
+    linked_classes = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert len(linked_classes) == len(set(linked_classes))
+    assert {(a, b) for a in of for b in of if a < b
+            and (of[a] == of[b] or (min(of[a], of[b]), max(of[a], of[b])) in linked_classes)} == want
+
+
 # 10 --------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""")
