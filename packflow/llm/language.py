@@ -24,27 +24,26 @@ from pyspark.sql import types as T
 from packflow.llm.common import folds, prepare, worker_state
 
 SEGMENT = 512
-SYMBOLS = 64  # symbol 0: anything but letters; 63: letters outside the samples
-OTHER = SYMBOLS - 1
+DENSE = 1 << 22  # most entries of a transition table with a place for every state and symbol
 
 
 def fit_sample(docs: DataFrame, sample_docs: int = 64, sample_chars: int = 30_000,
-               folds_k: int = 5, max_languages: int = 64) -> dict[str, str]:
+               folds_k: int = 5) -> dict[str, str]:
     """Labelled sample per language: at most ``sample_docs`` whole texts (those
     of 200 to 4,000 characters first, then in hash order of id and text) until
-    ``sample_chars`` characters; rows of fold 0 never take part. The
-    ``max_languages`` most frequent labels are learned (automaton tables take
-    8 MB a language). Bounded, so it may go to the driver."""
+    ``sample_chars`` characters; texts over four times that come last and are
+    cut to ``sample_chars`` from their first letter on. Rows of fold 0 never
+    take part. Every label is learned; a sample is bounded, so all may go to
+    the driver."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
-        & (folds("doc_id", folds_k) != 0) & (F.length("text") <= 4 * sample_chars)
-        & F.col("text").rlike(r"\p{L}"))
-    seen = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    fits = F.length("text").between(200, 4000)
-    w = Window.partitionBy("lang").orderBy(F.when(fits, 0).otherwise(1),
-                                           F.xxhash64("doc_id", "text"), "text")
-    best = (rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample_docs)
-            .join(seen.select("lang"), "lang", "left_semi"))
+        & (folds("doc_id", folds_k) != 0) & F.col("text").rlike(r"\p{L}"))
+    size = F.length("text")
+    kind = F.when(size.between(200, 4000), 0).when(size <= 4 * sample_chars, 1).otherwise(2)
+    cut = F.regexp_extract("text", r"(?s)\p{L}.{0,%d}" % (sample_chars - 1), 0)
+    rows = rows.withColumn("kind", kind).withColumn("text", F.when(F.col("kind") == 2, cut).otherwise(F.col("text")))
+    w = Window.partitionBy("lang").orderBy("kind", F.xxhash64("doc_id", "text"), "text")
+    best = rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample_docs)
     by: dict[str, list[str]] = {}
     for r in sorted(best.collect(), key=lambda r: (r["lang"], r["n"])):
         took = by.setdefault(r["lang"], [])
@@ -54,12 +53,12 @@ def fit_sample(docs: DataFrame, sample_docs: int = 64, sample_chars: int = 30_00
 
 
 def symbol_table(samples: dict[str, str]) -> np.ndarray:
-    """Code point -> symbol: the most frequent letters of the samples get their
-    own, other letters one that no sample holds, everything else is a gap."""
+    """Code point -> symbol: every letter of the samples gets its own, other
+    letters the last one, which no sample holds, everything else is a gap (0)."""
     seen = Counter(c for t in samples.values() for c in t.lower() if c.isalpha())
-    own = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: SYMBOLS - 2]]
-    table = np.zeros(0x110000, np.uint8)
-    table[[i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalpha()]] = OTHER
+    own = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+    table = np.zeros(0x110000, np.uint8 if len(own) < 255 else np.uint32)
+    table[[i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalpha()]] = len(own) + 1
     for k, c in enumerate(own):
         table[ord(c)] = k + 1
     return table
@@ -78,9 +77,42 @@ def symbols_of(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sym[keep], at[ends]
 
 
-def suffix_automaton(sample: np.ndarray) -> np.ndarray:
-    """Transition table (state x symbol, 0: none) of the suffix automaton; the
-    start state is 1."""
+class Automaton:
+    """Transitions (0: none) from state and symbol; the start state is 1. Small
+    alphabets have a place for every state and symbol, large ones only sorted
+    (state, symbol) keys."""
+
+    def __init__(self, step: list[dict[int, int]], dense: bool):
+        own = sorted({c for d in step for c in d})
+        # symbols of this sample as 0, 1, ...; all others share the number after them
+        self.width = len(own) + 1
+        self.local = np.full(max(own, default=0) + 2, len(own), np.int64)
+        self.local[own] = np.arange(len(own))
+        state = np.repeat(np.arange(len(step)), [len(d) for d in step])
+        symbol = self.local[np.array([c for d in step for c in d], np.int64)]
+        to = np.array([x for d in step for x in d.values()], np.uint16 if len(step) < 1 << 16 else np.uint32)
+        key = state * self.width + symbol
+        self.table = None
+        if dense and len(step) * self.width <= DENSE:
+            self.table = np.zeros(len(step) * self.width, to.dtype)
+            self.table[key] = to
+        else:
+            order = np.argsort(key)
+            self.key, self.to = np.append(key[order], len(step) * self.width), np.append(to[order], 0)
+
+    def symbols(self, sym: np.ndarray) -> np.ndarray:
+        return self.local[np.minimum(sym, len(self.local) - 1)]
+
+    def next(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        key = state * self.width + symbol
+        if self.table is not None:
+            return self.table.take(key).astype(np.int64)
+        at = np.searchsorted(self.key, key)
+        return np.where(self.key[at] == key, self.to[at], 0).astype(np.int64)
+
+
+def suffix_automaton(sample: np.ndarray, dense: bool = True) -> Automaton:
+    """Suffix automaton of a sample."""
     step: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], 1
     for c in sample.tolist():
@@ -106,14 +138,10 @@ def suffix_automaton(sample: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(step), SYMBOLS), np.uint16 if len(step) < 1 << 16 else np.uint32)
-    for s, d in enumerate(step):
-        if d:
-            table[s, list(d)] = list(d.values())
-    return table
+    return Automaton(step, dense)
 
 
-def phrase_counts(sym: np.ndarray, offsets: np.ndarray, automata: list[np.ndarray]) -> np.ndarray:
+def phrase_counts(sym: np.ndarray, offsets: np.ndarray, automata: list[Automaton]) -> np.ndarray:
     """Phrases per text (rows) and automaton (columns)."""
     sizes = np.diff(offsets)
     per = -(-sizes // SEGMENT)
@@ -128,15 +156,15 @@ def phrase_counts(sym: np.ndarray, offsets: np.ndarray, automata: list[np.ndarra
     if not len(lo):
         return out
     active = np.searchsorted(-length, -np.arange(1, SEGMENT + 1), side="right")
-    flat = [a.ravel() for a in automata]
-    root = [a[1].astype(np.int64) for a in automata]
+    root = [a.next(np.ones(a.width, np.int64), np.arange(a.width)) for a in automata]
     state = [np.ones(len(lo), np.int64) for _ in automata]
     count = [np.ones(len(lo), np.int64) for _ in automata]
     for t in range(int(length[0])):
         n = active[t]
-        c = sym[lo[:n] + t].astype(np.int64)
-        for k, table in enumerate(flat):
-            to = table.take(state[k][:n] * SYMBOLS + c).astype(np.int64)
+        here = sym[lo[:n] + t]
+        for k, a in enumerate(automata):
+            c = a.symbols(here)
+            to = a.next(state[k][:n], c)
             miss = np.flatnonzero(to == 0)
             if len(miss):
                 again = root[k][c[miss]]
@@ -158,7 +186,7 @@ def _model(samples: dict[str, str]) -> tuple:
         automata, cost = [], []
         for text in samples.values():
             sym, _ = symbols_of([text], table)
-            automata.append(suffix_automaton(sym))
+            automata.append(suffix_automaton(sym, len(samples) <= 64))
             cost.append(np.log2(max(2, len(sym))))
         return table, automata, np.array(cost)
 
@@ -203,7 +231,7 @@ def identify(docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = (
     ``und``."""
     spark = docs.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(samples)  # at most max_languages x sample_chars
+    shared = spark.sparkContext.broadcast(samples)  # bounded for each label
     extra = [c for c in keep if c != "doc_id"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *extra)
     out = T.StructType([f for f in rows.schema if f.name != "_text"]).add("lang_pred", "string").add(

@@ -262,6 +262,28 @@ def test_language_held_out(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in both) >= 0.9 * len(both)
 
 
+def test_large_alphabets_and_many_languages(spark):
+    # two languages of 300 letters each (words of four), 100 more labels, one with long texts only
+    rng = np.random.RandomState(6)
+    han = lambda first: "".join(chr(first + 4 * x + k) for x in rng.randint(0, 75, 100) for k in range(4))
+    data = [(i, han(0x4E00 if i % 2 else 0x7000), f"han{i % 2}") for i in range(40)]
+    data += [(100 + i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 60, f"l{i}") for i in range(100)]
+    data += [(300 + i, "\u10d0\u10d1 \u10d2\u10d3 " * 30_000, "long") for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    samples = language.fit_sample(df)
+    assert {l for i, _, l in data if zlib.crc32(str(i).encode()) % 5} == set(samples) and "long" in samples
+    assert len(samples) > 64 and all(len(t) <= 30_000 for t in samples.values())
+    texts = [han(0x4E00), han(0x7000), "\u10d0\u10d1 \u10d2\u10d3"]
+    assert [x[0] for x in language.predict_texts(texts, samples)] == ["han1", "han0", "long"]
+    # sorted keys give the phrases that the table gives
+    table = language.symbol_table(samples)
+    syms = {k: language.symbols_of([t], table)[0] for k, t in samples.items() if k in ("han1", "han0", "long")}
+    sym, off = language.symbols_of(texts, table)
+    counts = [language.phrase_counts(sym, off, [language.suffix_automaton(x, dense) for x in syms.values()]).tolist()
+              for dense in (True, False)]
+    assert counts[0] == counts[1]
+
+
 # 7 ---------------------------------------------------------------------------
 
 def test_bpe_equals_library(docs, empty):
