@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packflow.llm import anomaly, bpe, jaccard, language, lm, mixing, packing, repeats, secrets, topk
+from packflow.llm import (anomaly, bpe, fingerprint, jaccard, language, lm, mixing, negatives, packing, repair,
+                          repeats, secrets, topk)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.op5(_table(spark, sf_dir, "embeddings"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.op11(_table(spark, sf_dir, "conversations"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.op13(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -44,10 +53,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": _documents(mixing.op8),
     "op9_signature_trees": _documents(jaccard.op9),
     "op10_secret_links": _documents(secrets.op10),
+    "op11_path_ranks": op11,
+    "op12_weighted_samples": _documents(fingerprint.op12),
+    "op13_packed_negatives": op13,
     "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
     "op5_mtree_topk": topk.OP5_SQL,
     "op8_pareto_mix": mixing.OP8_SQL,
+    "op11_path_ranks": repair.op11_sql(),
+    "op12_weighted_samples": fingerprint.op12_sql(),
+    "op13_packed_negatives": negatives.OP13_SQL,
 }
