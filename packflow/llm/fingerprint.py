@@ -13,6 +13,12 @@ meets the samples by an exploded constant array, and the least a is a ``min``
 over one long that holds ln a in its upper and the pair's hash in its lower
 half. A document's rows never leave the partition its text was joined in.
 
+The least a of a text of W words is exponential with rate W, so it lies below
+``REACH`` / W but for e^-REACH of the cases, and a >= (1 - u3 u4) u1 u2 / S
+without a logarithm. Words above that bound are passed over; a text with a
+sample that no word reached is done again without the bound, so the result is
+the least over all words in every case.
+
 The next document is found on ids and hashes alone: a range partitioning, a
 window inside each part, and one row a part for the borders.
 """
@@ -33,6 +39,8 @@ PRIME = 4294967291  # the largest prime below 2^32: word hashes are crc32
 IDENTITY = (1640531527, 40503)
 SPACES = r"[\x20\x09-\x0D]+"
 IDS = 1 << 20  # rows of ids a part of the order
+REACH = 10.0
+WORD_CHARS = 6  # guessed length of a word: only tells how early the bound cuts
 PART_CHARS = 4 << 20  # characters of a partition of texts: sampling is CPU work
 
 
@@ -56,31 +64,65 @@ def _least(log_count: Column, r: Column, log_c: Column, b: Column, x: Column) ->
     return F.floor((log_a + 128) * float(1 << 23)) * F.lit(1 << 32) + pair
 
 
-def samples_of(rows: DataFrame, keys: list[str], sides: list[str], samples: int = SAMPLES) -> DataFrame:
+def samples_of(rows: DataFrame, keys: list[str], sides: list[str], samples: int = SAMPLES,
+               bounded: bool = True) -> DataFrame:
     """``keys`` and one array<long> of samples for each text column in
-    ``sides``: positions without a word (a text without words) are null.
-    ``keys`` identify a row and should be what rows are partitioned by."""
+    ``sides``, rows with a word on some side only. A sample is null where a
+    text has no word or, if ``bounded``, no word came below the bound. ``keys``
+    identify a row and should be what rows are partitioned by."""
+    n = range(len(sides))
+    sizes = [(F.length(s) / WORD_CHARS + 1).alias(f"w{k}") for k, s in enumerate(sides)]
     sided = F.array(*[F.struct(F.lit(k).alias("side"), F.col(s).alias("text")) for k, s in enumerate(sides)])
-    words = (rows.select(*keys, F.explode(sided).alias("s"))
-             .select(*keys, "s.side", F.explode(F.split("s.text", SPACES)).alias("word")))
-    counts = words.select(*keys, "side", F.when(F.col("word") != "", F.crc32(F.col("word").cast("binary"))).alias("x"))
-    counts = counts.groupBy(*keys, "x").agg(*[
-        F.sum(F.when(F.col("side") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(len(sides))])
-    logs = [F.when(F.col("x").isNotNull() & (F.col(f"n{k}") > 0), F.ln(f"n{k}")).alias(f"l{k}") for k in range(len(sides))]
+    keyed = [*keys, *[f"w{k}" for k in n]]
+    words = (rows.select(*keys, *sizes, F.explode(sided).alias("s"))
+             .select(*keyed, "s.side", F.explode(F.split("s.text", SPACES)).alias("word")))
+    counts = words.where(F.col("word") != "").groupBy(
+        *keyed, F.crc32(F.col("word").cast("binary")).alias("x")).agg(*[
+            F.sum(F.when(F.col("side") == k, 1).otherwise(0)).alias(f"n{k}") for k in n])
+    shares = [F.col(f"n{k}") / F.col(f"w{k}") for k in n]
+    reach = (F.greatest(*shares) if len(sides) > 1 else shares[0]) * REACH
+    counts = counts.select(*keys, "x", *[F.when(F.col(f"n{k}") > 0, F.ln(f"n{k}")).alias(f"l{k}") for k in n],
+                           reach.alias("reach"))
     table = F.array(*[F.struct(F.lit(j).alias("j"), *[F.lit(v).cast("long").alias(f"k{i}") for i, v in enumerate(row)])
                       for j, row in enumerate(constants(samples))])
-    met = counts.select(*keys, "x", *logs, F.explode(table).alias("c"))
+    met = counts.select("*", F.explode(table).alias("c"))
     u = [_uniform(F.col("x"), F.col(f"c.k{2 * i}"), F.col(f"c.k{2 * i + 1}")) for i in range(5)]
-    met = met.select(*keys, "x", *[f"l{k}" for k in range(len(sides))], F.col("c.j").alias("j"),
+    if bounded:
+        met = met.where((1 - u[2] * u[3]) * u[0] * u[1] <= F.col("reach"))
+    met = met.select(*keys, "x", *[f"l{k}" for k in n], F.col("c.j").alias("j"),
                      (-F.ln(u[0] * u[1])).alias("r"), F.ln(-F.ln(u[2] * u[3])).alias("log_c"), u[4].alias("b"))
     least = met.groupBy(*keys, "j").agg(*[
-        F.min(_least(F.col(f"l{k}"), F.col("r"), F.col("log_c"), F.col("b"), F.col("x"))).alias(f"m{k}")
-        for k in range(len(sides))])
-    found = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
-        "j", *[(F.col(f"m{k}") % (1 << 32)).alias(f"m{k}") for k in range(len(sides))]))).alias("all"))
+        F.min(_least(F.col(f"l{k}"), F.col("r"), F.col("log_c"), F.col("b"), F.col("x"))).alias(f"m{k}") for k in n])
+    found = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("j"), F.struct(*[(F.col(f"m{k}") % (1 << 32)).alias(f"m{k}") for k in n])))).alias("all"))
+    places = F.sequence(F.lit(0), F.lit(samples - 1))
+    found = found.select(*keys, F.transform(places, lambda j: F.col("all")[j]).alias("all"))
     return found.select(*keys, *[F.col(f"all.m{k}").alias(name) for k, name in enumerate(sides)])
 
 
+def whole_samples(rows: DataFrame, keys: list[str], sides: list[str], samples: int = SAMPLES,
+                  about: list[Column] | None = None) -> DataFrame:
+    """``keys``, the columns ``about`` and exact samples of every row, written:
+    arrays of nulls where a text has no word."""
+    wordy = [F.col(s).rlike(r"[^\x20\x09-\x0D]").alias(f"_{s}") for s in sides]
+
+    def prints(rows: DataFrame, bounded: bool) -> DataFrame:
+        told = rows.select(*keys, *(about or []), *wordy)
+        out = told.join(samples_of(rows, keys, sides, samples, bounded), keys, "left")
+        none = F.array_repeat(F.lit(None).cast("long"), samples)
+        return out.withColumns({s: F.coalesce(s, none) for s in sides})
+
+    got = written(prints(rows, True), "prints")
+    short = F.lit(False)
+    for s in sides:
+        short = short | (F.col(f"_{s}") & F.exists(s, lambda x: x.isNull()))
+    missed = got.where(short).select(*keys)
+    if not missed.isEmpty():
+        again = written(prints(rows.join(missed, keys, "left_semi"), False), "prints")
+        got = got.where(~short).unionByName(again)
+    return got.drop(*[f"_{s}" for s in sides])
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal samples; two texts without words are alike, one is not."""
     empty = lambda c: c[0].isNull()
@@ -99,10 +141,11 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """doc_id, samples of every row's whole text (null: empty); rows with the
     same id are apart. Extra columns are ignored."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    copies = rows.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.first("text").alias("text"))
-    prints = samples_of(copies, ["doc_id", "h", "n"], ["text"], samples)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = texts.select("doc_id", F.xxhash64("text", F.col("doc_id").isNull()).alias("h"),
+                         F.coalesce("doc_id", F.lit(0)).alias("kid"), "text")
+    copies = keyed.groupBy("kid", "h", "doc_id").agg(F.count("*").alias("n"), F.first("text").alias("text"))
+    prints = whole_samples(copies, ["kid", "h"], ["text"], samples, [F.col("doc_id"), F.col("n")])
     return (prints.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
             .select("doc_id", F.col("text").alias("samples")))
 
@@ -163,12 +206,11 @@ def compare_edited(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     rows = texts.join(given, ["kid", "h"]).select("kid", "h", "text", F.concat(kept, "given").alias("edited"))
 
     def prints(rows: DataFrame) -> DataFrame:
-        about = rows.select("kid", "h", F.length("text").cast("long").alias("n_chars"),
-                            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-        found = samples_of(rows, ["kid", "h"], ["text", "edited"], samples)
-        return about.join(found, ["kid", "h"])
+        return whole_samples(rows, ["kid", "h"], ["text", "edited"], samples, [
+            F.length("text").cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")])
 
-    prints_ = written(prints(rows), "prints")
+    prints_ = prints(rows)
     out = prints_.join(links, ["kid", "h"])
     near = prints_.select(F.col("kid").alias("next_kid"), F.col("h").alias("next_h"), F.col("text").alias("next"))
     out = out.join(near, ["next_kid", "next_h"])
@@ -209,8 +251,10 @@ o AS (SELECT *, lead(doc_id) OVER w AS next_id, lead(text) OVER w AS next_text,
 e AS (SELECT doc_id, n_chars, text, CASE WHEN rn = docs THEN first_id ELSE next_id END AS next_id,
              substr(text, 1, n_chars - n_chars // 2)
                || substr(CASE WHEN rn = docs THEN first_text ELSE next_text END, 1, n_chars // 2) AS edited FROM o),
-w AS (SELECT doc_id, 0 AS side, unnest(regexp_extract_all(text, '[^ 	-]+')) AS word FROM e
-      UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(edited, '[^ 	-]+')) FROM e),
+w AS (SELECT doc_id, 0 AS side, unnest(regexp_extract_all(text, '[^ 	-
+]+')) AS word FROM e
+      UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(edited, '[^ 	-
+]+')) FROM e),
 h AS (SELECT word, {crc_sql('word')} AS x FROM (SELECT DISTINCT word FROM w), crc_table),
 c AS (SELECT doc_id, x, CASE WHEN sum(1 - side) > 0 THEN ln(sum(1 - side)::DOUBLE) END AS l0,
              CASE WHEN sum(side) > 0 THEN ln(sum(side)::DOUBLE) END AS l1 FROM w JOIN h USING (word) GROUP BY doc_id, x),

@@ -104,16 +104,23 @@ def test_fingerprints_keep_every_row(spark):
     assert sorted(str(r["doc_id"]) for r in got) == ["1", "1", "1", "None"]
 
 
+def test_texts_that_miss_the_bound_are_done_again(spark, monkeypatch):
+    """With next to no reach hardly a sample is met at first; the result stays the same."""
+    rows = [(i, BASE[i * 7:] + f" own{i}") for i in range(6)] + [(9, " ")]
+    monkeypatch.setattr(P, "REACH", 0.3)
+    assert found(P.op12(frame(spark, rows))) == plain(rows)
+
+
 def test_collision_rate_is_weighted_jaccard(spark):
     """Over many samples the share of equal ones meets sum min / sum max."""
     rng = np.random.RandomState(4)
     texts = [" ".join(f"w{rng.zipf(1.5) % 200}" for _ in range(300)) for _ in range(6)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
-    got = {r["k"]: r["text"] for r in P.samples_of(rows, ["k"], ["text"], 1500).collect()}
+    got = {r["k"]: r["text"] for r in P.samples_of(rows, ["k"], ["text"], 400, bounded=False).collect()}
     for i in range(6):
         for j in range(i):
             a, b = bag(texts[i]), bag(texts[j])
             words = set(a) | set(b)
             exact = sum(min(a[w], b[w]) for w in words) / sum(max(a[w], b[w]) for w in words)
             share = np.mean([x == y for x, y in zip(got[i], got[j])])
-            assert abs(share - exact) < 4 * math.sqrt(exact * (1 - exact) / 1500) + 0.01
+            assert abs(share - exact) < 4 * math.sqrt(exact * (1 - exact) / 400) + 0.01
