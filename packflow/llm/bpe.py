@@ -8,12 +8,17 @@ finds the longest token at each place; the encoder takes it, checks it against
 its predecessor, and on a conflict tries the next shorter one or steps back.
 Places proven dead are marked, so the work is linear in the piece.
 
-Pieces (words as the tokenizer's pattern cuts them) repeat, so a worker keeps a
-bounded memory of encoded words.
+One scan of the automaton gives the leftmost longest tokens of a piece; where
+each fits its predecessor this is what the encoder would take step by step, so
+only pieces with a conflict are stepped through.
+
+Pieces (words as the tokenizer's pattern cuts them) repeat, so a task keeps a
+bounded memory of encoded words, in two generations.
 """
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import json
@@ -25,12 +30,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from packflow.llm.common import prepare, texts, worker_state
+from packflow.llm.common import prepare, texts, tidy, worker_state
 
 #: stands for the word end mark: one symbol that no byte maps to
 END = "\u0200"
-MEMORY = 400_000  # words a worker remembers (about 220 bytes each)
-PAIRS = 1 << 16  # token pairs whose compatibility a worker remembers
+MEMORY = 200_000  # words of a generation that a worker remembers (about 220 bytes each)
+PAIRS = 1 << 20  # places for token pairs whose compatibility a worker remembers (8 bytes each)
 GAP = "\n"  # between ids and decoded text of a remembered word; no token holds it
 
 FAR = regex.compile("[^\\x00-\u052f]")
@@ -81,11 +86,14 @@ class Vocabulary:
         for t in base:
             self.rank[t] = 0
             self.parts[t] = (t, t)
-        self.compatible = functools.lru_cache(maxsize=PAIRS)(self._compatible)
+        self.by_id = [""] * (max(self.ids.values()) + 1)
+        for t, i in self.ids.items():
+            self.by_id[i] = t
+        self.known = array.array("Q", bytes(8 * PAIRS))  # at a pair's place: its key + 1, then whether it fits
         self.automaton = ahocorasick.Automaton()
-        for t in self.ids:
+        for t, i in self.ids.items():
             if len(t) <= 2 or self.reachable(t):
-                self.automaton.add_word(t, len(t))
+                self.automaton.add_word(t, (len(t), i))
         self.automaton.make_automaton()
         # decoding: all token texts joined, and where each starts
         table = sorted([(i, t) for t, i in model["vocab"].items()] + [(i, t) for t, i in self.special.items()])
@@ -97,6 +105,7 @@ class Vocabulary:
             self.offsets[i + 1] = at
             out.append(t)
         self.joined = "".join(out)
+        self.starts = self.offsets.tolist()
 
     def reachable(self, token: str) -> bool:
         """Whether merging the token's own symbols gives the token: its two
@@ -121,51 +130,67 @@ class Vocabulary:
             else:
                 limit, b = rb + 1, parts[b][0]
 
-    def encode_piece(self, piece: str) -> list[str]:
-        """Tokens of one piece of text."""
+    def compatible(self, a: int, b: int) -> bool:
+        """``_compatible`` of two ids, remembered at one place a pair."""
+        key = (a << 20 | b) + 1
+        place = (key * 0x9E3779B1 >> 12) % PAIRS
+        known = self.known[place]
+        if known >> 1 == key:
+            return bool(known & 1)
+        fits = self._compatible(self.by_id[a], self.by_id[b])
+        self.known[place] = key << 1 | fits
+        return fits
+
+    def encode_piece(self, piece: str) -> list[int]:
+        """Ids of one piece of text."""
         if piece.isascii() and piece.isprintable():
             return self.encode_symbols(piece)
         alphabet = self.bytes_to_text
         return self.encode_symbols("".join([alphabet[x] for x in piece.encode("utf-8", "surrogatepass")]))
 
-    def encode_symbols(self, symbols: str) -> list[str]:
-        """Tokens of one piece given as byte stand-ins."""
+    def encode_symbols(self, symbols: str) -> list[int]:
+        """Ids of one piece given as byte stand-ins."""
         s = symbols + END
-        if s in self.automaton:
-            return [s]
+        whole = self.automaton.get(s, None)
+        if whole is not None:
+            return [whole[1]]
+        compatible = self.compatible
         n = len(s)
-        sizes: list[list[int]] = [[] for _ in range(n)]  # at each start, ascending
-        for end, size in self.automaton.iter(s):
-            sizes[end - size + 1].append(size)
+        longest = [token for _, token in self.automaton.iter_long(s)]
+        if sum([size for size, _ in longest]) == n:  # no gap
+            found = [i for _, i in longest]
+            if all(map(compatible, found, found[1:])):
+                return found
+        sizes: list[list[tuple[int, int]]] = [[] for _ in range(n)]  # at each start, ascending
+        for end, token in self.automaton.iter(s):
+            sizes[end - token[0] + 1].append(token)
         dead = bytearray(n + 1)
-        took: list[str] = []
+        took: list[tuple[int, int]] = []
         left = [len(sizes[0])]  # candidates not yet tried at each place of the stack
         pos = 0
-        compatible = self.compatible
         while pos < n:
             options, k, step = sizes[pos], left[-1], 0
             while k:
                 k -= 1
-                if not dead[pos + options[k]]:
-                    token = s[pos: pos + options[k]]
-                    if not took or compatible(took[-1], token):
-                        step = options[k]
-                        break
+                size, token = options[k]
+                if not dead[pos + size] and (not took or compatible(took[-1][1], token)):
+                    step = size
+                    break
             if step:
                 left[-1] = k
-                took.append(token)
+                took.append(options[k])
                 pos += step
                 if pos < n:
                     left.append(len(sizes[pos]))
             else:
                 dead[pos] = 1
                 left.pop()
-                pos -= len(took.pop())
-        return took
+                pos -= took.pop()[0]
+        return [i for _, i in took]
 
     def decode(self, ids: list[int]) -> str:
         """Token texts joined by one space (the file names no decoder)."""
-        joined, offsets = self.joined, self.offsets
+        joined, offsets = self.joined, self.starts
         return " ".join([joined[offsets[i]: offsets[i + 1]] for i in ids])
 
 
@@ -183,11 +208,11 @@ class Encoder:
 
     def word(self, word: str) -> list[int]:
         v = self.vocabulary
+        if word.isascii() and word.isalpha():
+            return v.encode_symbols(word)  # one piece of letters
         if FAR.search(word):
-            tokens = [t for s, _ in self.library.pre_tokenizer.pre_tokenize_str(word) for t in v.encode_symbols(s)]
-        else:
-            tokens = [t for p in v.pieces(word) for t in v.encode_piece(p)]
-        return [v.ids[t] for t in tokens]
+            return [t for s, _ in self.library.pre_tokenizer.pre_tokenize_str(word) for t in v.encode_symbols(s)]
+        return [t for p in v.pieces(word) for t in v.encode_piece(p)]
 
     def words(self, text: str) -> list[str]:
         """Words after the tokenizer's normalisation: composed form, white
@@ -220,17 +245,23 @@ class Encoder:
 
 class Memory(dict):
     """word -> ids as text, GAP, decoded text (one string: half the memory of
-    two); forgotten when full."""
+    two). When full, its words become the older generation, from which words
+    that are met again come back."""
 
     def __init__(self, owner: Encoder):
         super().__init__()
         self.owner = owner
+        self.older: dict[str, str] = {}
 
     def __missing__(self, word: str) -> str:
         if len(self) >= MEMORY:
+            self.older = dict(self)
             self.clear()
-        ids = self.owner.word(word)
-        got = self[word] = " ".join(map(str, ids)) + GAP + self.owner.vocabulary.decode(ids)
+        got = self.older.get(word)
+        if got is None:
+            ids = self.owner.word(word)
+            got = " ".join(map(str, ids)) + GAP + self.owner.vocabulary.decode(ids)
+        self[word] = got
         return got
 
 
@@ -294,4 +325,4 @@ def op7(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
                  pa.array([g[2] for g in got], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return texts(docs).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

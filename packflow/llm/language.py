@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packflow.llm.common import folds, prepare, worker_state
+from packflow.llm.common import folds, prepare, tidy, worker_state
 
 SEGMENT = 512
 DENSE = 1 << 22  # most entries of a transition table with a place for every state and symbol
@@ -254,7 +254,7 @@ def identify(docs: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = (
                     names=["doc_id", *extra, "lang_pred", "score", "phrases"])
                 at = end
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(tidy(run), out)
 
 
 def op6(docs: DataFrame) -> DataFrame:
