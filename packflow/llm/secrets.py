@@ -88,12 +88,13 @@ def _joined(spans: Column) -> Column:
         ":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with found: struct of base and all spans (start, kind, end),
-    sorted; both empty for null and empty texts. Rows are independent: ties,
-    repeated rows, extra columns and empty tables change nothing."""
+def scan(docs: DataFrame, text_col: str = "text", found: str = "found") -> DataFrame:
+    """``docs`` with ``found`` (which replaces a column of that name): struct
+    of base and all spans (start, kind, end), sorted; both empty for null and
+    empty texts. Rows are independent: ties, repeated rows, extra columns and
+    empty tables change nothing."""
     prepare(docs.sparkSession)
-    own = [F.col(f"`{c}`") for c in docs.columns if c != "found"]
+    own = [F.col(f"`{c}`") for c in docs.columns if c != found]
     # the marks must not occur in a text; none of the patterns matches them
     text = F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), OPEN + MIDDLE + CLOSE, "\x04\x04\x04")
     any_part = "|".join([f"{ASSIGN_HEAD}[A-Za-z0-9+/_.=-]", ACCESS, HEX])
@@ -116,7 +117,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     nothing = F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")
     df = df.select(*own, F.coalesce(F.array_sort(base), nothing).alias("_base"), F.coalesce(weak, nothing).alias("_weak"))
     return df.select(*own, F.struct(F.col("_base").alias("base"),
-                                    F.array_sort(F.concat("_base", "_weak")).alias("spans")).alias("found"))
+                                    F.array_sort(F.concat("_base", "_weak")).alias("spans")).alias(found))
 
 
 def some_null(value: Column, col: str) -> Column:
@@ -125,9 +126,13 @@ def some_null(value: Column, col: str) -> Column:
 
 
 def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
-    """``docs`` with every span (overlaps merged) replaced by ``mask``."""
+    """``docs`` with every span (overlaps merged) of the column text replaced
+    by ``mask``; null texts stay null, all other columns stay as they are."""
     cols = docs.columns
-    found = scan(docs)
+    at = "found"
+    while at in cols:
+        at += "_"
+    found = scan(docs, found=at)
 
     def step(acc: Column, s: Column) -> Column:
         before = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
@@ -137,9 +142,9 @@ def redact(docs: DataFrame, mask: str = "[REDACTED]") -> DataFrame:
                     acc["out"], F.concat(before, F.lit(mask))).alias("out"))))
 
     init = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    clean = F.aggregate(F.col("found.spans"), init, step, lambda acc: F.concat(
+    clean = F.aggregate(F.col(f"{at}.spans"), init, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    text = F.when(F.size("found.spans") > 0, clean).otherwise(F.col("text"))
+    text = F.when(F.size(f"{at}.spans") > 0, clean).otherwise(F.col("text"))
     return found.withColumn("text", text).select(*[F.col(f"`{c}`") for c in cols])
 
 

@@ -449,6 +449,9 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefabcdef0123 b"), (2, "clean"), (3, None)], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert got == {1: "a [REDACTED] b", 2: "clean", 3: None}
+    named = secrets.redact(df.selectExpr("*", "'x' as found", "1 as found_"))
+    assert named.columns == ["doc_id", "text", "found", "found_"]
+    assert {(r["found"], r["found_"]) for r in named.collect()} == {("x", 1)}
 
 
 def test_packed_sets_and_owners_round_trip():
