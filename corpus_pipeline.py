@@ -27,10 +27,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents, the smallest id."""
-    kept = jaccard.components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    return _only(docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                 .unionByName(docs.where(F.col("doc_id").isNull())))
+    """One document of each group of linked documents: the smallest id (a null
+    id after all others), then by a hash of the text. Ids may repeat: a row is told by
+    its id and text, so unlike texts with one id stay apart; rows equal in both
+    are one document, which keeps its least other columns."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    group = jaccard.components(keyed.select(F.col("_key").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    ids = keyed.select("doc_id", "_key", F.xxhash64("text").alias("text")).join(group, "_key")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text", "_key")
+    kept = ids.groupBy("_group").agg(F.min(order).alias("first")).select(F.col("first._key").alias("_key"))
+    rows = keyed.join(kept, "_key", "left_semi")
+    rest = F.struct(*[c for c in COLUMNS if c not in ("doc_id", "text")])
+    return (rows.groupBy("_key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.min(rest).alias("rest"))
+            .select("doc_id", "text", "rest.*").select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
