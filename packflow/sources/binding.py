@@ -130,6 +130,13 @@ def sell_prices(spark: SparkSession, d: str) -> DataFrame:
                     .alias("sell_price"))
 
 
+def typed_prices(spark: SparkSession, d: str) -> DataFrame:
+    """The prices under item ids of the form ``type_item``."""
+    t = read_table(spark, d, "part", "p_partkey", "p_type").select(sku_id("p_partkey").alias("item_id"), "p_type")
+    return sell_prices(spark, d).join(t, "item_id").select(
+        "store_id", F.concat_ws("_", "p_type", "item_id").alias("item_id"), "sell_price")
+
+
 def sku_locations(spark: SparkSession, d: str, m: DataFrame | None = None) -> DataFrame:
     m = m if m is not None else master(spark, d)
     return m.select("SkuId", "PlantId", "StorageLocationId").distinct()
@@ -214,6 +221,25 @@ def slot_sku(plant: str = "PlantId", slot: str = "SkuId") -> F.Column:
                     .cast("string"))
 
 
+WIDE_SLOTS = 1024
+
+
+def wide_blocks(spark: SparkSession, d: str, value: str = "SalesOrderQty") -> DataFrame:
+    """A signal with one column per SKU of a block of 1,024 part keys: one row
+    per (Date, Block), columns ``s0``..``s1023``."""
+    s = sku_day_signals(spark, d).select(
+        "Date", F.floor(F.col("l_partkey") / WIDE_SLOTS).cast("bigint").alias("Block"),
+        F.struct(F.pmod("l_partkey", F.lit(WIDE_SLOTS)).alias("slot"), F.col(value).alias("v")).alias("e"))
+    w = s.groupBy("Date", "Block").agg(F.map_from_entries(F.collect_list("e")).alias("m"))  # at most 1,024 entries
+    return w.select("Date", "Block", *[F.col("m")[F.lit(i).cast("bigint")].alias(f"s{i}") for i in range(WIDE_SLOTS)])
+
+
+def block_sku(block: str = "Block", slot: str = "SkuId") -> F.Column:
+    """Back from (block, slot column name) to the SKU id."""
+    return F.concat(F.lit("P"), (F.col(block).cast("bigint") * WIDE_SLOTS
+                                 + F.substring(F.col(slot), 2, 4).cast("bigint")).cast("string"))
+
+
 _MATERIALISED: dict[tuple, str] = {}
 
 

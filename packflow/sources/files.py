@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packflow.operators.master import build_master, load_unified, parse_dates, parse_quantities, rename_columns, unpivot_panel
+from packflow.operators.master import build_master, load_unified, parse_dates, parse_quantities, rename_columns
+from packflow.sources.wide import WideLines, read_wide_lines
 
 SIGNAL_FILES = {
     "SalesOrderQty": "sales order",
@@ -98,9 +99,24 @@ def _read_named(spark: SparkSession, path, schema: T.StructType,
          else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
+def _first_path(spark: SparkSession, path) -> str | None:
+    """``path``, or the first match of the first glob of a list that has one."""
+    if not isinstance(path, (list, tuple)):
+        return path
+    return next((f for f in (first_match(spark, g) for g in path) if f is not None), None)
+
+
+def read_wide(spark: SparkSession, path, id_cols: Sequence[str] = ("Date",)) -> WideLines | None:
+    """Wide daily CSV, first column the date, then (after further id
+    columns) one column per SKU, as lines with one array column: any number of
+    SKUs. ``.long(...)`` unpivots it, ``.columns(...)`` takes a few SKUs."""
+    found = _first_path(spark, path)
+    return None if found is None else read_wide_lines(spark, found, id_cols, rename_first="Date")
+
+
 def read_wide_panel(spark: SparkSession, path) -> DataFrame | None:
-    """Wide daily CSV, first column the date, then one column per SKU.
-    All columns are read as text; the first is renamed ``Date``."""
+    """S01 as a DataFrame with one column per SKU, for panels of at most a few
+    thousand: all columns are text; the first is renamed ``Date``."""
     df = _read_csv(spark, path)
     if df is None:
         return None
@@ -109,12 +125,12 @@ def read_wide_panel(spark: SparkSession, path) -> DataFrame | None:
 
 def read_signal(spark: SparkSession, root: str | Sequence[str], value_name: str,
                 id_cols: Sequence[str] = ("Date",)) -> DataFrame | None:
-    """One signal in long form: wide CSV -> unpivot -> parsed date and qty."""
-    wide = read_wide_panel(spark, resolve_source(root, SIGNAL_FILES[value_name]))
+    """One signal in long form: wide lines -> exploded by the header -> parsed
+    date and qty, in one stage however many SKUs the file has."""
+    wide = read_wide(spark, resolve_source(root, SIGNAL_FILES[value_name]), id_cols)
     if wide is None:
         return None
-    long = unpivot_panel(wide, value_name, id_cols)
-    return parse_quantities(parse_dates(long), [value_name])
+    return parse_quantities(parse_dates(wide.long(value_name)), [value_name])
 
 
 def read_signals(spark: SparkSession, root: str | Sequence[str],
@@ -200,15 +216,12 @@ def read_sell_prices(spark: SparkSession, path, fmt: str = "csv") -> DataFrame |
 
 
 def read_sales_history(spark: SparkSession, path: str, evaluation: bool = False) -> DataFrame | None:
-    """Wide item x day history (``d_*`` columns) -> (ids, d, sales)."""
+    """Wide item x day history (``d_*`` columns) -> (ids, d, sales), any
+    number of days; a day without a value is 0."""
     name = "sales_train_evaluation" if evaluation else "sales_train_validation"
-    df = _read_csv(spark, resolve_source(path, name))
-    if df is None:
-        return None
-    days = [c for c in df.columns if c.startswith("d_")]
-    ids = [c for c in df.columns if c not in days]
-    long = df.unpivot(ids, days, "d", "sales")
-    return parse_quantities(long, ["sales"])
+    found = _first_path(spark, resolve_source(path, name))
+    wide = None if found is None else read_wide_lines(spark, found, lambda c: not c.startswith("d_"))
+    return None if wide is None else parse_quantities(wide.long("sales", "d"), ["sales"])
 
 
 def empty_with_schema(spark: SparkSession, cols: Sequence[str],
