@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from packflow.operators import dispatch as DP
 from packflow.operators import network as N
+from packflow.operators import routes as R
 from packflow.plans.oracle_base import recursive_cte
 from packflow.plans.registry import query
 from packflow.plans.sqlfrag import bins, clip, emean, first_by, rhe
@@ -75,15 +76,19 @@ def _graph(spark, d):
     return m, nodes, w
 
 
+def _locations(nodes):
+    return nodes.where(F.col("node_type") == "storage_location").select("node")
+
+
 def _routes(spark, d):
+    """The report of all pairs."""
     m, nodes, w = _graph(spark, d)
-    locs = nodes.where(F.col("node_type") == "storage_location").select("node")
-    return m, nodes, w, N.routing_paths(N.ordered_location_pairs(locs), N.shortest_paths(w))
+    return m, nodes, w, N.routing_paths(N.ordered_location_pairs(_locations(nodes)), N.shortest_paths(w))
 
 
 def _plan(spark, d):
-    m, nodes, w, routes = _routes(spark, d)
-    return DP.dispatch_plan(m, N.best_route(routes)), nodes, w
+    m, nodes, w = _graph(spark, d)
+    return DP.dispatch_plan(m, R.best_destinations(w, _locations(nodes))), nodes, w
 
 
 @query("mean_delivery_by_key", "kind:s, node:s, avg_delivery:d",
@@ -152,8 +157,23 @@ def q_shortest_paths(spark, d):
 
 @query("unreachable_pairs", ROUTES_OUT, """SELECT * FROM routes WHERE NOT "Reachable\"""", NET)
 def q_unreachable_pairs(spark, d):
-    """G06 unreachable_pairs: NO PATH, hops -1."""
-    return _routes(spark, d)[3].where(~F.col("Reachable"))
+    """G06 unreachable_pairs: NO PATH, hops -1, by component ids alone."""
+    m, nodes, w = _graph(spark, d)
+    return R.unreachable(N.ordered_location_pairs(_locations(nodes)), w).select(
+        "Source", "Destination", F.lit("NO PATH").alias("Path"), F.lit(-1).cast("bigint").alias("Hops"),
+        F.lit(None).cast("double").alias("PathWeight"), F.lit(False).alias("Reachable"))
+
+
+@query("routes_between", ROUTES_OUT, """SELECT r.* FROM routes r JOIN (SELECT node FROM vol WHERE node IS NOT NULL
+       ORDER BY avg_delivery DESC, node LIMIT 1) h ON r."Destination" = h.node WHERE r."Reachable\"""", NET)
+def q_routes_between(spark, d):
+    """G05 for the pairs asked for: the routes from every location to the one
+    with the largest mean delivery, answered from two-hop labels."""
+    m, nodes, w = _graph(spark, d)
+    locs = nodes.where(F.col("node_type") == "storage_location")
+    hub = locs.orderBy(F.desc("avg_delivery"), "node").limit(1).select(F.col("node").alias("Destination"))
+    pairs = locs.select(F.col("node").alias("Source")).join(F.broadcast(hub), F.col("Source") != F.col("Destination"))
+    return N.routing_paths(pairs, R.routes_between(pairs, R.landmark_labels(w))).where("Reachable")
 
 
 @query("ordered_location_pairs", "Source:s, Destination:s", "SELECT * FROM pairs", NET)
@@ -168,13 +188,14 @@ BEST_OUT = "StorageLocationId:s, Destination:s, Path:s, Hops:i, PathWeight:x"
 
 @query("best_route", BEST_OUT, "SELECT * FROM best_route", NET)
 def q_best_route(spark, d):
-    """G07 best_route."""
-    return N.best_route(_routes(spark, d)[3])
+    """G07 best_route: a bounded search from each location."""
+    _, nodes, w = _graph(spark, d)
+    return R.best_destinations(w, _locations(nodes))
 
 
 @query("best_per_group", BEST_OUT, "SELECT * FROM best_route", NET)
 def q_best_per_group(spark, d):
-    """W09 best_per_group: cheapest route per source with the tie-break."""
+    """W09 best_per_group: the first of all routes of a source by the tie-break."""
     return N.best_route(_routes(spark, d)[3])
 
 
