@@ -202,29 +202,47 @@ def revision_loop(master: DataFrame, forecast: DataFrame, prices: DataFrame | No
                   max_rounds: int = 2, classes: str = "rule", cluster_cfg=None) -> dict:
     """flagged SKUs -> downgrade (K07) -> finance again, until none are
     flagged or ``max_rounds`` revisions ran. Flags accumulate across rounds
-    (a SKU repaired in round 1 stays downgraded). Each round's SKU-grain
-    table is checkpointed to the shared folder, which bounds the lineage."""
-    from packflow.operators.packs import classed_profile, optimize_packs, pack_summary, plant_output
-    # classes do not change between rounds (only the downgrade does): fit once
+    (a SKU repaired in round 1 stays downgraded).
+
+    A row of the recommendations and of the ledger depends on its own SKU
+    alone, so a round re-derives the newly flagged SKUs only and reads the rows
+    that the round before wrote, not the whole ledger. The revised rows replace
+    the first ones by key once, after the last round."""
+    from packflow.operators.packs import (capacity_check, classed_profile, downgrade_unprofitable, optimize_packs,
+                                          pack_summary, plant_output)
+    # classes, SKU actuals, prices and plant outputs do not change between rounds
     prof = classed_profile(master, forecast, classes, cluster_cfg).checkpoint(eager=True)
-    # the SKU actuals, prices and plant outputs do not change between rounds either
     base = finance_base(master, prices).checkpoint(eager=True)
     output = plant_output(master).checkpoint(eager=True)
     packs = optimize_packs(master, forecast, classes, profile=prof, output=output)
-    table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
-    flagged = None
-    rounds = 0
-    for _ in range(max_rounds):
-        new = table.where("IsUnprofitable").select("SkuId")
+    reco = packs["recommendations"].checkpoint(eager=True)
+    table = financial_table(master, reco, prices, base).checkpoint(eager=True)
+    latest = table  # the rows that may be flagged next: all, then those of the round before
+    revised: list[tuple[DataFrame, DataFrame]] = []
+    flagged, rounds = None, 0
+    while rounds < max_rounds:
+        new = latest.where("IsUnprofitable").select("SkuId")
         if new.isEmpty():
             break
-        flagged = new if flagged is None else flagged.unionByName(new).distinct()
-        flagged = flagged.checkpoint(eager=True)
-        packs = optimize_packs(master, forecast, classes, flagged=flagged, profile=prof, output=output)
-        table = financial_table(master, packs["recommendations"], prices, base).checkpoint(eager=True)
         rounds += 1
-    # the last recommendations feed the schedule, the summary and the KPIs
-    reco = packs["recommendations"].checkpoint(eager=True)
+        if flagged is not None:
+            new = new.join(flagged, "SkuId", "left_anti")
+        new = new.distinct().checkpoint(eager=True)
+        if new.isEmpty():  # all were downgraded before: another round gives the same rows
+            rounds = max_rounds
+            break
+        flagged = new if flagged is None else flagged.unionByName(new)
+        some = downgrade_unprofitable(reco.join(new, "SkuId", "left_semi").drop("AvgPlantCapacity", "CapacityFeasible"), new)
+        some = capacity_check(some, master, output).checkpoint(eager=True)
+        latest = financial_table(master, some, prices, base.join(new, "SkuId", "left_semi")).checkpoint(eager=True)
+        revised.append((some, latest))
+    if revised:
+        def merged(first: DataFrame, k: int) -> DataFrame:
+            out = first.join(flagged, "SkuId", "left_anti")
+            for pair in revised:
+                out = out.unionByName(pair[k])
+            return out.checkpoint(eager=True)
+        reco, table = merged(reco, 0), merged(table, 1)
     packs = {**packs, "recommendations": reco, "summary": pack_summary(reco)}
     return {"packs": packs, "finance": table, "rounds": rounds, "flagged": flagged,
             "summary": portfolio_summary(table)}

@@ -1,17 +1,14 @@
 """Forest forecast with a per-tree interval.
 
-The fit is MLlib's distributed random forest; the interval applies each of
-the forest's trees as its own prediction column (one projection per tree in
-a single stage), then takes the 10th / 90th percentile across the tree
-columns with array expressions: no explode, no shuffle, no Python.
+The fit is MLlib's distributed random forest; the interval walks all trees in
+one Arrow pass over flattened node arrays (``forest``), then takes the mean and
+the 10th / 90th percentile of a row's tree predictions with array expressions.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -20,6 +17,8 @@ from pyspark.sql import functions as F
 
 from packflow.config import ForecastConfig
 from packflow.operators import features as FE
+from packflow.operators.forest import tree_predictions
+from packflow.sources import manifest
 
 TARGET = "SalesOrderQty"
 
@@ -54,22 +53,16 @@ def _pct_of_sorted(arr: F.Column, n: int, p: float) -> F.Column:
 
 def forecast_interval(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """Mean, 10th and 90th percentile across trees, floored at 0."""
-    assembled = model.stages[0].transform(frame)
-    forest = model.stages[-1]
-    trees = forest.trees
-    out = assembled
-    for i, t in enumerate(trees):
-        out = t.copy().setPredictionCol(f"_p{i}").transform(out)
-    cols = [F.col(f"_p{i}") for i in range(len(trees))]
-    arr = F.array_sort(F.array(*cols))
-    mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
-    n = len(trees)
-    res = out.withColumns({
+    n = model.stages[-1].getNumTrees
+    res = tree_predictions(model, frame, "_trees").withColumn("_sorted", F.array_sort("_trees"))
+    # added up in tree order, as the forest's own prediction
+    mean = F.aggregate("_trees", F.lit(0.0), lambda s, x: s + x) / F.lit(float(n))
+    arr = F.col("_sorted")
+    return res.withColumns({
         "ForecastQty": F.greatest(mean, F.lit(0.0)),
         "CI_Lower": F.greatest(_pct_of_sorted(arr, n, 0.1), F.lit(0.0)),
         "CI_Upper": F.greatest(_pct_of_sorted(arr, n, 0.9), F.lit(0.0)),
-    })
-    return res.drop("features", *[f"_p{i}" for i in range(n)])
+    }).drop("_trees", "_sorted")
 
 
 def split(features: DataFrame, cfg: ForecastConfig) -> tuple[DataFrame, DataFrame]:
@@ -87,19 +80,21 @@ def fingerprint(df: DataFrame, cfg: ForecastConfig) -> str:
 
 
 def save_load_model(train: DataFrame, cfg: ForecastConfig, model_dir: str | None) -> PipelineModel:
-    """Reuse a saved model for the same data fingerprint, else fit and
-    save it (``PipelineModel`` writer / reader, any Hadoop filesystem)."""
+    """Reuse the published model of the same data fingerprint, else fit,
+    save it aside and publish it (any Hadoop filesystem). A fit that died while
+    it was saved is not published and is not read."""
     if model_dir is None:
         return train_forest(train, cfg)
-    path = f"{model_dir.rstrip('/')}/forest-{fingerprint(train, cfg)}"
-    try:
-        return PipelineModel.load(path)
-    except (AnalysisException, Py4JJavaError) as e:
-        if not any(x in str(e) for x in ("PATH_NOT_FOUND", "does not exist")):
-            raise  # a model is there but cannot be read
-        model = train_forest(train, cfg)
-        model.write().overwrite().save(path)
-        return model
+    spark = train.sparkSession
+    store = f"{model_dir.rstrip('/')}/forest-{fingerprint(train, cfg)}"
+    saved = manifest.current(spark, store).get("model")
+    if saved is not None:
+        return PipelineModel.load(saved)
+    model = train_forest(train, cfg)
+    run, folder = manifest.new_run(store)
+    model.write().save(f"{folder}/model")
+    manifest.publish(spark, store, run, [("model", f"{folder}/model", 1)])
+    return model
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:

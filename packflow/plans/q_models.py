@@ -99,17 +99,17 @@ def q_rank_importance(spark, d):
     return FC.rank_importance(FC.feature_importance(_fit(spark, d)[4]))
 
 
-@query("save_load_model", "Feature:s, Importance:d")
+@query("save_load_model", "Feature:s, Importance:d, reused:b")
 def q_save_load_model(spark, d):
-    """M10 save_load_model: fit or reuse by data fingerprint under the shared
-    folder, then report the loaded model's importances."""
-    from packflow.session import ensure_checkpoint_dir
+    """M10 save_load_model on an empty store: the first call fits and
+    publishes, the second loads that model; the loaded model's importances and
+    whether they are the fitted one's."""
+    from packflow.session import shared_path
     daily, codes, tr, te, model = _fit(spark, d)
-    root = ensure_checkpoint_dir(spark).rstrip("/") + "/models"
-    path = f"{root}/forest-{FC.fingerprint(tr, CFG)}"
-    model.write().overwrite().save(path)
-    again = FC.save_load_model(tr, CFG, root)
-    return FC.feature_importance(again)
+    root = shared_path(spark, "models")
+    fitted = FC.feature_importance(FC.save_load_model(tr, CFG, root)).withColumnRenamed("Importance", "fitted")
+    again = FC.feature_importance(FC.save_load_model(tr, CFG, root))
+    return again.join(fitted, "Feature").withColumn("reused", F.col("Importance") == F.col("fitted"))
 
 
 @query("scale_features", "SkuId:s, z_hist_mean:x, z_hist_std:x, z_hist_cv:x, z_fcast_mean:x",
