@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from packflow import config as C
 from packflow.functions.exprs import bin_right_closed, clip, round_half_even
 from packflow.operators.common import exact_mean, first_by, mean
+from packflow.operators.ranking import distinct_counts
 
 
 def sku_storage_delivery(master: DataFrame) -> DataFrame:
@@ -84,11 +85,10 @@ def dispatch_plan(master: DataFrame, best: DataFrame | None) -> DataFrame:
 
 def dispatch_summary(plan: DataFrame, size: DataFrame) -> DataFrame:
     """Counts, mean lead times, mean reduction, express count."""
-    s = plan.agg(
-        F.countDistinct("StorageLocationId").alias("storage_locations"),
-        F.countDistinct("SkuId").alias("skus_dispatched"),
+    means = plan.agg(
         round_half_even(exact_mean("LeadTimeReduction_Pct", 6), 1).alias("avg_lead_time_reduction_pct"),
         round_half_even(exact_mean("CurrentLeadTimeDays", 6), 1).alias("avg_current_lead_time_days"),
         round_half_even(exact_mean("OptimisedLeadTimeDays", 6), 1).alias("avg_optimised_lead_time_days"),
         F.count_if(F.col("DispatchPriority") == "Express").alias("express_priority_skus"))
-    return s.crossJoin(size)
+    counts = distinct_counts(plan, ["StorageLocationId", "SkuId"], ["storage_locations", "skus_dispatched"])
+    return counts.crossJoin(means).crossJoin(size)  # one row each
