@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packflow.functions.exprs import any_flag, day_name, month_abbr
-from packflow.operators.common import exact_sum, mean
+from packflow.operators.common import exact_mean, exact_sum, mean
 from packflow.operators.features import centred_mean_7
-from packflow.operators.ranking import exact_quantiles
+from packflow.operators.master import UNIFIED
+from packflow.operators.ranking import distinct_counts, exact_quantiles
 
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -88,8 +89,9 @@ def with_any_flag(master: DataFrame, cal: DataFrame) -> DataFrame:
     c = cal.select(F.col("date").alias("Date"),
                    any_flag([x for x in cal.columns if x.startswith("snap_")]).alias("any_snap"),
                    F.col("event_name_1").isNotNull().cast("int").alias("has_event"))
-    return (master.join(F.broadcast(c), "Date", "left")
-            .na.fill(0, subset=["any_snap", "has_event"]))
+    # a day that a file repeats counts once, with any of its flags
+    c = c.groupBy("Date").agg(F.max("any_snap").alias("any_snap"), F.max("has_event").alias("has_event"))
+    return master.join(c, "Date", "left").na.fill(0, subset=["any_snap", "has_event"])
 
 
 def promo_impact(flagged: DataFrame) -> DataFrame:
@@ -219,6 +221,96 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = Tr
     return one.select(F.explode(F.array(*rows)).alias("_c")).select("_c.*")
 
 
+def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """Pearson r of each column with the target, one aggregate a column."""
+    y = F.col(target).cast("double")
+    one = df.agg(F.stddev_pop(y).alias("_y"),
+                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"d_{c}") for c in cols],
+                 *[F.covar_pop(F.col(c).cast("double"), y).alias(f"p_{c}") for c in cols])
+    rows = [F.struct(F.lit(target).alias("row"), F.lit(c).alias("col"),
+                     F.try_divide(F.col(f"p_{c}"), F.col(f"d_{c}") * F.col("_y")).alias("r")) for c in cols]
+    return one.select(F.explode(F.array(*rows)).alias("_c")).select("_c.*")
+
+
+def weekday_seasonality(features: DataFrame, value: str = "SalesOrderQty") -> DataFrame:
+    """Mean of the value by day of week (0 Monday), with its short name."""
+    s = features.groupBy("day_of_week").agg((F.sum(value) / F.count("*")).alias(value))
+    names = F.array(*[F.lit(x[:3]) for x in DAYS])
+    return s.withColumn("DayName", F.element_at(names, F.col("day_of_week").cast("int") + 1))
+
+
+def value_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(what, value, count) of a column of each frame, ``what`` its name."""
+    out = None
+    for what, df in frames.items():
+        t = df.groupBy(F.col(what).alias("value")).agg(F.count("*").alias("count")).select(
+            F.lit(what).alias("what"), F.col("value").cast("string").alias("value"), "count")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def most_frequent(df: DataFrame, key: str) -> DataFrame:
+    """The value with the most rows and their number (ties: the least)."""
+    return top_k(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("count")), 1,
+                 [F.desc("count"), F.asc(key)])
+
+
+def dataset_overview(master: DataFrame) -> DataFrame:
+    """Rows, date bounds and the distinct SKUs, plants, locations, groups."""
+    one = master.agg(F.count("*").alias("rows"), F.min("Date").alias("date_min"), F.max("Date").alias("date_max"))
+    return one.crossJoin(distinct_counts(master, ["SkuId", "PlantId", "StorageLocationId", "ProductGroup"],
+                                         ["skus", "plants", "locations", "groups"]))  # one row each
+
+
+def schema_report(master: DataFrame, expected: Sequence[str] = UNIFIED) -> DataFrame:
+    """Per column type, null count, least and greatest value as text (numbers
+    with two places, anything else its first 10 characters) and whether it is
+    ok, missing or extra; one aggregate over all columns."""
+    types = {f.name: f.dataType.simpleString() for f in master.schema}
+    cols = [c for c in expected if c in types]
+
+    def text(e: F.Column, c: str) -> F.Column:
+        if types[c] in ("double", "int", "bigint", "float"):
+            return F.format_string("%.2f", e.cast("double"))
+        return F.substring(e.cast("string"), 1, 10)
+
+    aggs = []
+    for k, c in enumerate(cols):
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"n{k}"), text(F.min(c), c).alias(f"lo{k}"),
+                 text(F.max(c), c).alias(f"hi{k}")]
+    one = master.agg(*aggs) if aggs else master.agg(F.count("*"))
+
+    def row(c: str, status: str, *found: F.Column) -> F.Column:
+        nulls, lo, hi = found or (F.lit(None).cast("bigint"), F.lit(None).cast("string"), F.lit(None).cast("string"))
+        return F.struct(F.lit(c).alias("column"), F.lit(types.get(c)).cast("string").alias("dtype"), nulls.alias("nulls"),
+                        lo.alias("min"), hi.alias("max"), F.lit(status).alias("status"))
+
+    rows = [row(c, "ok", F.col(f"n{k}"), F.col(f"lo{k}"), F.col(f"hi{k}")) for k, c in enumerate(cols)]
+    rows += [row(c, "missing") for c in expected if c not in types] + [row(c, "extra") for c in types if c not in expected]
+    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
+def sku_lead_time_mean(plan: DataFrame) -> DataFrame:
+    """Exact mean lead times per SKU (equal means compare equal in a top-k)."""
+    return plan.groupBy("SkuId").agg(
+        exact_mean("CurrentLeadTimeDays", 6).alias("CurrentLeadTimeDays"),
+        exact_mean("OptimisedLeadTimeDays", 6).alias("OptimisedLeadTimeDays"))
+
+
+def price_ranges(master: DataFrame, prices: DataFrame) -> DataFrame:
+    """Range of the SKUs' mean own prices, of the item prices, and the
+    number of priced items."""
+    own = master.groupBy("SkuId").agg(mean("Price").alias("p")).agg(F.min("p").alias("sg_min"), F.max("p").alias("sg_max"))
+    item = prices.groupBy("item_id").agg(F.min("sell_price").alias("lo"), F.max("sell_price").alias("hi")).agg(
+        F.min("lo").alias("m5_min"), F.max("hi").alias("m5_max"), F.count("*").alias("looked_up_items"))
+    return own.crossJoin(item)  # one row each
+
+
+def feature_readiness(features: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with every feature present."""
+    return features.select(*cols).na.drop().agg(F.count("*").alias("rows_ready"))
+
+
 def top_k(df: DataFrame, k: int, order: Sequence[F.Column]) -> DataFrame:
     """``orderBy(...).limit(k)`` (the limit is the feature)."""
     return df.orderBy(*order).limit(k)

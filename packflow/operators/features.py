@@ -244,3 +244,29 @@ def sku_first_attributes(master: DataFrame) -> DataFrame:
     return master.groupBy("SkuId").agg(*[first_by(c).alias(c) for c in
                                          ("PlantId", "StorageLocationId", "ProductGroup",
                                           "SubGroup")])
+
+
+def recent_actuals(daily: DataFrame, n: int = 90, value: str = "SalesOrderQty") -> DataFrame:
+    """The last ``n`` rows of every SKU, ``rn`` 1 the latest."""
+    w = Window.partitionBy("SkuId").orderBy(F.desc("Date"))
+    return (daily.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+            .select("SkuId", "Date", value, "rn"))
+
+
+def first_rows(rows: DataFrame, n: int = 100) -> DataFrame:
+    """W13, first form: the first ``n`` rows of every SKU by date."""
+    return (rows.withColumn("rn", F.row_number().over(Window.partitionBy("SkuId").orderBy("Date")))
+            .where(F.col("rn") <= n))
+
+
+def labelled_series(daily: DataFrame, forecast: DataFrame, n: int = 90, value: str = "SalesOrderQty") -> DataFrame:
+    """The last ``n`` actual rows and the forecast of every forecast SKU as
+    one series: SkuId, Date, Series ('Actual' or 'Forecast'), Qty and, for the
+    forecast, its interval."""
+    known = daily.join(forecast.select("SkuId").distinct(), "SkuId", "left_semi")
+    none = F.lit(None).cast("double")
+    past = recent_actuals(known, n, value).select("SkuId", "Date", F.lit("Actual").alias("Series"),
+                                                  F.col(value).cast("double").alias("Qty"), none.alias("CI_Lower"),
+                                                  none.alias("CI_Upper"))
+    return past.unionByName(forecast.select("SkuId", "Date", F.lit("Forecast").alias("Series"),
+                                            F.col("ForecastQty").alias("Qty"), "CI_Lower", "CI_Upper"))

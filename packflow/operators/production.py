@@ -175,4 +175,5 @@ def production_summary(plant_stats: DataFrame, schedule: DataFrame,
 
 
 def high_risk_plants(plant_stats: DataFrame) -> DataFrame:
+    """The plants above the issue threshold, with their rate."""
     return plant_stats.where("RiskFlag").select("PlantId", "FactoryIssueRate")

@@ -17,6 +17,7 @@ from packflow.operators import forecast as FC
 from packflow.operators import kpi as K
 from packflow.operators import network as N
 from packflow.operators import production as P
+from packflow.operators import routes as R
 from packflow.operators.explore import filter_panel
 from packflow.sources import binding as B
 from packflow.sources.sinks import write_results
@@ -67,31 +68,36 @@ def run_pipeline(spark: SparkSession, sf_dir: str | None = None, filters: dict |
     t0 = time.time()
     ps = P.plant_statistics(m).checkpoint(eager=True)
     schedule = P.production_schedule(m, ps, packs["recommendations"]).checkpoint(eager=True)
-    util = P.plant_utilisation(ps, schedule)
+    util = P.plant_utilisation(ps, schedule).checkpoint(eager=True)
     prod_summary = P.production_summary(ps, schedule, util)
-    mark("production", t0, util)
+    mark("production", t0)
 
     t0 = time.time()
     nodes, w = N.graph(m, edges)
     locs = nodes.where(F.col("node_type") == "storage_location").select("node")
+    # the plan needs one destination a location; the report of all pairs is a result of its own
+    plan = DP.dispatch_plan(m, R.best_destinations(w, locs)).checkpoint(eager=True)
     routes = N.routing_paths(N.ordered_location_pairs(locs), N.shortest_paths(w)).checkpoint(eager=True)
-    plan = DP.dispatch_plan(m, N.best_route(routes))
     disp_summary = DP.dispatch_summary(plan, N.network_size(nodes, w))
-    mark("dispatch", t0, plan)
+    mark("dispatch", t0)
 
     t0 = time.time()
     n_skus = forecast.agg(F.countDistinct("SkuId").alias("n"))
-    kpis = K.pipeline_summary(fc["metrics"], n_skus, packs["summary"], rev["summary"],
-                              prod_summary, disp_summary)
+    # each summary is one row, computed once for the two KPI tables and the export
+    one = lambda df: df.checkpoint(eager=True) if df is not None else None
+    metrics, rev["summary"], disp_summary, prod_summary = map(one, (fc["metrics"], rev["summary"], disp_summary, prod_summary))
+    fc["metrics"] = metrics
+    kpis = K.pipeline_summary(metrics, n_skus, packs["summary"], rev["summary"], prod_summary, disp_summary)
+    kpis = kpis.checkpoint(eager=True)
     bench = K.benchmark_comparison(rev["summary"], disp_summary)
-    mark("kpis", t0, kpis)
+    mark("kpis", t0)
 
     res = {
         "master": m, "forecast": forecast, "actuals": fc["actuals"], "metrics": fc["metrics"],
         "recommendations": packs["recommendations"], "velocity_profile": packs["profile"],
         "financial_table": finance, "financial_summary": rev["summary"], "revision_rounds": rev["rounds"],
         "production_schedule": schedule, "plant_statistics": ps, "plant_utilisation": util,
-        "production_summary": prod_summary, "dispatch_plan": plan, "routing_paths": routes,
+        "production_summary": prod_summary, "high_risk_plants": P.high_risk_plants(ps), "dispatch_plan": plan, "routing_paths": routes,
         "dispatch_summary": disp_summary, "pipeline_summary": kpis, "benchmark_comparison": bench,
         "timings": t,
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from packflow.operators import explore as X
 from packflow.operators import features as FE
 from packflow.operators import finance as FI
-from packflow.plans.q_features import FEAT, _feats
+from packflow.plans.q_features import FEAT, _daily
 from packflow.plans.q_network import NET, _plan
 from packflow.plans.q_packs_finance import PF, _ledger, _packs
 from packflow.plans.q_production import schedule_sql
@@ -24,7 +24,9 @@ ALL["flagged"] = """SELECT m.*, COALESCE(GREATEST(c."snap_CA", c."snap_TX", c."s
     FROM master m LEFT JOIN calendar c ON m."Date" = c."date\""""
 ALL["cv"] = """SELECT "SkuId", SUM("SalesOrderQty") / COUNT("SalesOrderQty") AS mean,
     STDDEV_SAMP("SalesOrderQty") AS std, std / (mean + 1e-9) AS cv FROM master GROUP BY 1"""
-ALL["cat_prices"] = """SELECT *, SPLIT_PART(item_id, '_', 1) AS "Category" FROM sell_prices"""
+ALL["cat_prices"] = """SELECT s.store_id, p.p_type || '_' || s.item_id AS item_id, s.sell_price, p.p_type AS "Category"
+    FROM sell_prices s JOIN part p ON s.item_id = 'P' || p.p_partkey"""
+ALL["top_cats"] = 'SELECT "Category" FROM cat_prices GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 5'
 
 
 def _m(spark, d):
@@ -35,6 +37,16 @@ def _cal(spark, d):
     return B.calendar(spark, d, _m(spark, d))
 
 
+def _plain_feats(spark, d):
+    """Features without category codes, for queries that read none."""
+    return FE.build_features(_daily(spark, d), {})
+
+
+def _prices(spark, d):
+    """Prices with the category that their item ids begin with."""
+    return B.typed_prices(spark, d).withColumn("Category", X.item_category(F.col("item_id")))
+
+
 def _flagged(spark, d):
     return X.with_any_flag(_m(spark, d), _cal(spark, d))
 
@@ -164,11 +176,10 @@ def q_event_type_counts(spark, d):
 
 
 @query("item_category", "item_id:s, Category:s",
-       "SELECT DISTINCT item_id, SPLIT_PART(item_id, '_', 1) AS \"Category\" FROM sell_prices")
+       "SELECT DISTINCT item_id, \"Category\" FROM cat_prices", ALL)
 def q_item_category(spark, d):
-    """P15 item_category."""
-    return (B.sell_prices(spark, d).select("item_id").distinct()
-            .withColumn("Category", X.item_category(F.col("item_id"))))
+    """P15 item_category of ids like ``ECONOMY_P12``."""
+    return _prices(spark, d).select("item_id", "Category").distinct()
 
 
 _Q3 = [0.25, 0.5, 0.75]
@@ -189,21 +200,34 @@ p75:d""",
        ALL)
 def q_price_describe_by_category(spark, d):
     """A26 price_describe_by_category (exact quartiles)."""
-    return X.price_describe_by_category(B.sell_prices(spark, d))
+    return X.price_describe_by_category(B.typed_prices(spark, d))
 
 
-@query("box_statistics", """any_snap:i, q1:d, median:d, q3:d, lower_whisker:d, upper_whisker:d,
+def _box_sql(kind, src, group, value):
+    inside = "f.v >= q.p25 - 1.5e0 * (q.p75 - q.p25) AND f.v <= q.p75 + 1.5e0 * (q.p75 - q.p25)"
+    return f"""SELECT '{kind}' AS kind, CAST(q.{group} AS VARCHAR) AS value, q.p25 AS q1, q.p50 AS median, q.p75 AS q3,
+          MIN(f.v) FILTER (WHERE {inside}) AS lower_whisker, MAX(f.v) FILTER (WHERE {inside}) AS upper_whisker,
+          COUNT(*) FILTER (WHERE NOT ({inside})) AS n_outliers
+          FROM {_qpivot(src, value, group)} q
+          JOIN (SELECT {group}, CAST({value} AS DOUBLE) AS v FROM ({src}) x) f ON f.{group} = q.{group}
+          GROUP BY q.{group}, q.p25, q.p50, q.p75"""
+
+
+@query("box_statistics", """kind:s, value:s, q1:d, median:d, q3:d, lower_whisker:d, upper_whisker:d,
 n_outliers:i""",
-       f"""SELECT q.any_snap, q.p25 AS q1, q.p50 AS median, q.p75 AS q3,
-          MIN(f.v) FILTER (WHERE f.v >= q.p25 - 1.5e0 * (q.p75 - q.p25) AND f.v <= q.p75 + 1.5e0 * (q.p75 - q.p25)) AS lower_whisker,
-          MAX(f.v) FILTER (WHERE f.v >= q.p25 - 1.5e0 * (q.p75 - q.p25) AND f.v <= q.p75 + 1.5e0 * (q.p75 - q.p25)) AS upper_whisker,
-          COUNT(*) FILTER (WHERE NOT (f.v >= q.p25 - 1.5e0 * (q.p75 - q.p25) AND f.v <= q.p75 + 1.5e0 * (q.p75 - q.p25))) AS n_outliers
-          FROM {_qpivot('SELECT * FROM flagged', '"SalesOrderQty"', 'any_snap')} q
-          JOIN (SELECT any_snap, CAST("SalesOrderQty" AS DOUBLE) AS v FROM flagged) f ON f.any_snap = q.any_snap
-          GROUP BY 1, 2, 3, 4""", ALL)
+       _box_sql("any_snap", "SELECT * FROM flagged", "any_snap", '"SalesOrderQty"') + " UNION ALL "
+       + _box_sql("Category", 'SELECT c.* FROM cat_prices c SEMI JOIN top_cats t ON c."Category" = t."Category"',
+                  '"Category"', "sell_price"), ALL)
 def q_box_statistics(spark, d):
-    """A27 box_statistics of sales by promo flag."""
-    return X.box_statistics(_flagged(spark, d), "any_snap", "SalesOrderQty")
+    """A27 box_statistics: sales by promo flag, and sell prices of the five most
+    frequent categories."""
+    sales = X.box_statistics(_flagged(spark, d), "any_snap", "SalesOrderQty")
+    p = _prices(spark, d)
+    top = X.top_k(p.groupBy("Category").agg(F.count("*").alias("n")), 5, [F.desc("n"), F.asc("Category")])
+    price = X.box_statistics(X.semi_join_keys(p, top, "Category"), "Category", "sell_price")
+    named = lambda df, kind: df.withColumn("value", F.col(kind).cast("string")).drop(kind).withColumn(
+        "kind", F.lit(kind))
+    return named(sales, "any_snap").unionByName(named(price, "Category"))
 
 
 _DESC_COLS = ["SalesOrderQty", "ProductionQty", "DeliveryQty", "FactoryIssueQty", "UnitCost", "Price",
@@ -271,14 +295,14 @@ def _corr_sql(pairs):
        _corr_sql([(a, b) for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]]), ALL)
 def q_correlation_matrix(spark, d):
     """A30 correlation_matrix (lower triangle)."""
-    return X.correlation_matrix(_feats(spark, d), CORR_COLS)
+    return X.correlation_matrix(_plain_feats(spark, d), CORR_COLS)
 
 
 @query("target_correlation", "row:s, col:s, r:d",
        _corr_sql([(a, "SalesOrderQty") for a in CORR_COLS[:-1]]), ALL)
 def q_target_correlation(spark, d):
     """A31 target_correlation."""
-    return X.correlation_matrix(_feats(spark, d), CORR_COLS).where(F.col("row") == "SalesOrderQty")
+    return X.target_correlation(_plain_feats(spark, d), CORR_COLS[:-1], "SalesOrderQty")
 
 
 @query("weekday_seasonality", "day_of_week:i, SalesOrderQty:d, DayName:s",
@@ -287,11 +311,7 @@ def q_target_correlation(spark, d):
           WHEN 4 THEN 'Fri' WHEN 5 THEN 'Sat' ELSE 'Sun' END AS "DayName" FROM feats GROUP BY 1""", ALL)
 def q_weekday_seasonality(spark, d):
     """A32 weekday_seasonality."""
-    f = _feats(spark, d)
-    s = f.groupBy("day_of_week").agg((F.sum("SalesOrderQty") / F.count("*")).alias("SalesOrderQty"))
-    return s.withColumn("DayName", F.element_at(F.array(*[F.lit(x) for x in
-                                                          ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]]),
-                                                F.col("day_of_week").cast("int") + 1))
+    return X.weekday_seasonality(_plain_feats(spark, d))
 
 
 @query("value_counts", "what:s, value:s, count:i",
@@ -301,13 +321,7 @@ def q_weekday_seasonality(spark, d):
 def q_value_counts(spark, d):
     """A33 value_counts: class, pack configuration, price category."""
     r = _packs(spark, d)[2]["recommendations"]
-    p = B.sell_prices(spark, d).withColumn("Category", X.item_category(F.col("item_id")))
-    out = None
-    for what, df in (("VelocityClass", r), ("PackConfig", r), ("Category", p)):
-        t = df.groupBy(F.col(what).alias("value")).agg(F.count("*").alias("count")).select(
-            F.lit(what).alias("what"), "value", "count")
-        out = t if out is None else out.unionByName(t)
-    return out
+    return X.value_counts({"VelocityClass": r, "PackConfig": r, "Category": _prices(spark, d)})
 
 
 @query("dataset_overview", """rows:i, date_min:t, date_max:t, skus:i, plants:i, locations:i,
@@ -317,11 +331,7 @@ groups:i""",
           COUNT(DISTINCT "StorageLocationId") AS locations, COUNT(DISTINCT "ProductGroup") AS groups FROM master""")
 def q_dataset_overview(spark, d):
     """A34 dataset_overview."""
-    m = _m(spark, d)
-    return m.agg(F.count("*").alias("rows"), F.min("Date").alias("date_min"), F.max("Date").alias("date_max"),
-                 F.countDistinct("SkuId").alias("skus"), F.countDistinct("PlantId").alias("plants"),
-                 F.countDistinct("StorageLocationId").alias("locations"),
-                 F.countDistinct("ProductGroup").alias("groups"))
+    return X.dataset_overview(_m(spark, d))
 
 
 @query("sku_lead_time_mean", "SkuId:s, CurrentLeadTimeDays:d, OptimisedLeadTimeDays:d",
@@ -329,11 +339,7 @@ def q_dataset_overview(spark, d):
           {emean("OptimisedLeadTimeDays", 6)} AS "OptimisedLeadTimeDays" FROM dplan GROUP BY 1""", ALL)
 def q_sku_lead_time_mean(spark, d):
     """A36 sku_lead_time_mean."""
-    from packflow.operators.common import exact_mean
-    # exact means: equal means must compare equal for the top-k tie-break
-    return _plan(spark, d)[0].groupBy("SkuId").agg(
-        exact_mean("CurrentLeadTimeDays", 6).alias("CurrentLeadTimeDays"),
-        exact_mean("OptimisedLeadTimeDays", 6).alias("OptimisedLeadTimeDays"))
+    return X.sku_lead_time_mean(_plan(spark, d)[0])
 
 
 @query("price_ranges", "sg_min:d, sg_max:d, m5_min:d, m5_max:d, looked_up_items:i",
@@ -342,21 +348,14 @@ def q_sku_lead_time_mean(spark, d):
           FROM (SELECT SUM("Price") / COUNT("Price") AS p FROM master GROUP BY "SkuId") t""", ALL)
 def q_price_ranges(spark, d):
     """A37 price_ranges."""
-    m = _m(spark, d)
-    sp = m.groupBy("SkuId").agg((F.sum("Price") / F.count("Price")).alias("p")).agg(
-        F.min("p").alias("sg_min"), F.max("p").alias("sg_max"))
-    pr = B.sell_prices(spark, d)
-    m5 = pr.agg(F.min("sell_price").alias("m5_min"), F.max("sell_price").alias("m5_max"))
-    n = FI.avg_item_price(pr).agg(F.count("*").alias("looked_up_items"))
-    return sp.crossJoin(m5).crossJoin(n)
+    return X.price_ranges(_m(spark, d), B.sell_prices(spark, d))
 
 
 @query("feature_readiness", "rows_ready:i",
        "SELECT COUNT(*) AS rows_ready FROM feats", ALL)
 def q_feature_readiness(spark, d):
     """A38 feature_readiness: rows with every feature present."""
-    f = _feats(spark, d)
-    return f.select(*CORR_COLS).na.drop().agg(F.count("*").alias("rows_ready"))
+    return X.feature_readiness(_plain_feats(spark, d), CORR_COLS)
 
 
 # ---- top-k reports ---------------------------------------------------------------
@@ -462,26 +461,53 @@ def q_top_lead_time(spark, d):
     return X.top_k(q_sku_lead_time_mean(spark, d), 20, [F.desc("CurrentLeadTimeDays"), F.asc("SkuId")])
 
 
-@query("top_categories", "Category:s, count:i",
-       'SELECT "Category", COUNT(*) AS count FROM cat_prices GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5', ALL)
+@query("top_categories", "kind:s, value:s, count:i",
+       """SELECT 'Category' AS kind, "Category" AS value, COUNT(*) AS count FROM cat_prices c
+          SEMI JOIN top_cats t ON c."Category" = t."Category" GROUP BY 2
+          UNION ALL SELECT * FROM (SELECT 'SkuId', "SkuId", COUNT(*) FROM feats GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 1) s""",
+       ALL)
 def q_top_categories(spark, d):
-    """T10 top_categories: the 5 most frequent price categories."""
-    p = B.sell_prices(spark, d).withColumn("Category", X.item_category(F.col("item_id")))
-    c = p.groupBy("Category").agg(F.count("*").alias("count"))
-    return X.top_k(c, 5, [F.desc("count"), F.asc("Category")])
+    """T10 top_categories: the 5 most frequent price categories, and the SKU
+    with the most feature rows."""
+    c = X.top_k(_prices(spark, d).groupBy("Category").agg(F.count("*").alias("count")), 5,
+                [F.desc("count"), F.asc("Category")])
+    s = X.most_frequent(_plain_feats(spark, d), "SkuId")
+    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.col(kind).alias("value"), "count")
+    return named(c, "Category").unionByName(named(s, "SkuId"))
 
 
 @query("semi_join_top_categories", "store_id:i, item_id:s, sell_price:d, Category:s",
-       """SELECT c.store_id, c.item_id, c.sell_price, c."Category" FROM cat_prices c SEMI JOIN
-          (SELECT "Category" FROM cat_prices GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 5) t
+       """SELECT c.store_id, c.item_id, c.sell_price, c."Category" FROM cat_prices c SEMI JOIN top_cats t
           ON c."Category" = t."Category\"""", ALL)
 def q_semi_join_top_categories(spark, d):
     """J13 semi_join_top_categories."""
-    p = B.sell_prices(spark, d).withColumn("Category", X.item_category(F.col("item_id")))
-    top = q_top_categories(spark, d)
+    p = _prices(spark, d)
+    top = X.top_k(p.groupBy("Category").agg(F.count("*").alias("n")), 5, [F.desc("n"), F.asc("Category")])
     return X.semi_join_keys(p, top, "Category").select("store_id", "item_id", "sell_price", "Category")
 
 
+@query("lag_signal", "SkuId:s, Date:t, SalesOrderQty:x, lag_7:x, rolling_mean_7:d, rn:i",
+       """SELECT "SkuId", "Date", "SalesOrderQty", lag_7, rolling_mean_7, rn FROM (SELECT *, ROW_NUMBER() OVER
+          (PARTITION BY "SkuId" ORDER BY "Date") AS rn FROM feats WHERE "SkuId" IN
+          (SELECT "SkuId" FROM (SELECT "SkuId", COUNT(*) AS c FROM feats GROUP BY 1 ORDER BY c DESC, 1 LIMIT 1) t)) x
+          WHERE rn <= 100""", ALL)
+def q_lag_signal(spark, d):
+    """W13 (first form): the first 100 feature rows of the most frequent SKU."""
+    f = _plain_feats(spark, d)
+    sample = X.semi_join_keys(f, X.most_frequent(f, "SkuId"))
+    return FE.first_rows(sample, 100).select("SkuId", "Date", "SalesOrderQty", "lag_7", "rolling_mean_7", "rn")
+
+
+@query("flag_listed", "SkuId:s, IsUnprofitable:b, n_rows:i",
+       """SELECT m."SkuId", COALESCE(l."IsUnprofitable", false) AS "IsUnprofitable", COUNT(*) AS n_rows FROM master m
+          LEFT JOIN ledger l ON m."SkuId" = l."SkuId" GROUP BY 1, 2""", ALL)
+def q_flag_listed(spark, d):
+    """J12 (flag form): every master row told whether its SKU is flagged."""
+    flagged = _ledger(spark, d).where("IsUnprofitable")
+    rows = X.flag_listed(_m(spark, d), flagged, name="IsUnprofitable")
+    return rows.groupBy("SkuId", "IsUnprofitable").agg(F.count("*").alias("n_rows"))
+
+
 @query("semi_join_skus", "Date:t, SkuId:s, StorageLocationId:s, SalesOrderQty:x",
        """SELECT m."Date", m."SkuId", m."StorageLocationId", m."SalesOrderQty" FROM master m
           SEMI JOIN (SELECT "SkuId" FROM ledger WHERE "IsUnprofitable") u ON m."SkuId" = u."SkuId\"""", ALL)

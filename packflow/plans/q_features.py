@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from packflow.functions.exprs import calendar_parts
@@ -215,10 +214,7 @@ def q_horizon_frame(spark, d):
           (PARTITION BY "SkuId" ORDER BY "Date" DESC) AS rn FROM dseries) t WHERE rn <= 90""", FEAT)
 def q_recent_actuals(spark, d):
     """W13 recent_actuals: the last 90 rows of every SKU."""
-    dl = _daily(spark, d)
-    w = Window.partitionBy("SkuId").orderBy(F.desc("Date"))
-    return (dl.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 90)
-            .select("SkuId", "Date", "SalesOrderQty", "rn"))
+    return FE.recent_actuals(_daily(spark, d), 90)
 
 
 @query("actuals", "Date:t, SkuId:s, ActualQty:x, ProductGroup:s",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from packflow.operators import features as FE
 from packflow.operators import finance as FI
 from packflow.operators import packs as PK
+from packflow.plans.q_features import FEAT
 from packflow.plans.registry import query
 from packflow.plans.sqlfrag import clip, emean, first_by, rhe
 from packflow.sources import binding as B
@@ -515,3 +516,14 @@ def q_revision_loop(spark, d):
     """F07 revision_loop: up to 2 revision rounds with accumulated flags."""
     m, fc = _chain(spark, d)
     return FI.revision_loop(m, fc, B.sell_prices(spark, d), max_rounds=2)["finance"]
+
+
+@query("labelled_series", "SkuId:s, Date:t, Series:s, Qty:d, CI_Lower:d, CI_Upper:d",
+       """SELECT "SkuId", "Date", 'Actual' AS "Series", CAST("SalesOrderQty" AS DOUBLE) AS "Qty",
+          CAST(NULL AS DOUBLE) AS "CI_Lower", CAST(NULL AS DOUBLE) AS "CI_Upper" FROM (SELECT *, ROW_NUMBER() OVER
+          (PARTITION BY "SkuId" ORDER BY "Date" DESC) AS rn FROM dseries) t WHERE rn <= 90
+          UNION ALL SELECT "SkuId", "Date", 'Forecast', "ForecastQty", "CI_Lower", "CI_Upper" FROM fcast""", {**FEAT, **PF})
+def q_labelled_series(spark, d):
+    """Recent actuals and the forecast as one labelled series."""
+    daily = FE.daily_series(B.master_table(spark, d))
+    return FE.labelled_series(daily, FE.naive_forecast(daily))

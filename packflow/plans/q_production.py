@@ -225,3 +225,10 @@ def q_production_summary(spark, d):
     ps = P.plant_statistics(m)
     sch = P.production_schedule(m, ps)
     return P.production_summary(ps, sch, P.plant_utilisation(ps, sch))
+
+
+@query("high_risk_plants", "PlantId:s, FactoryIssueRate:d",
+       f"""SELECT "PlantId", "FactoryIssueRate" FROM ({PLANT_STATS_SQL_FULL}) p WHERE "RiskFlag\"""")
+def q_high_risk_plants(spark, d):
+    """The plants above the issue threshold as a table."""
+    return P.high_risk_plants(P.plant_statistics(B.master_table(spark, d)))

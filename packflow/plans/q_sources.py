@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from packflow.operators import explore as X
 from packflow.operators import master as M
 from packflow.operators import production as P
 from packflow.operators.packs import optimize_packs
@@ -20,6 +21,8 @@ from packflow.plans.sqlfrag import clip
 from packflow.session import shared_path
 from packflow.sources import binding as B
 from packflow.sources import files as FS
+from packflow.sources import layout as LY
+from packflow.sources import manifest as MF
 from packflow.sources import sinks as SK
 
 SIGNAL_NAMES = {"SalesOrderQty": "Sales Order.csv", "ProductionQty": "Production .csv",
@@ -55,15 +58,28 @@ def _parsed_wide(df):
     return M.parse_quantities(M.parse_dates(df), SLOTS)
 
 
-@query("read_wide_panel", WIDE_OUT, _wide_sql("l_quantity * p_size"))
+@query("read_wide_panel", "SkuId:s, n_days:i, n_sold:i, total:x, first_sold:t, last_sold:t",
+       """WITH s AS (SELECT CAST(l_shipdate AS DATE) AS dt, l_partkey AS k, SUM(l_quantity * p_size) AS q
+            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+          b AS (SELECT DISTINCT dt, k // 1024 AS b FROM s)
+          SELECT 'P' || (b.b * 1024 + n.i) AS "SkuId", COUNT(*) AS n_days, COUNT(s.q) AS n_sold,
+            COALESCE(SUM(s.q), 0.0e0) AS total, MIN(s.dt) AS first_sold, MAX(s.dt) AS last_sold
+          FROM b CROSS JOIN range(0, 1024) n(i) LEFT JOIN s ON s.dt = b.dt AND s.k = b.b * 1024 + n.i
+          GROUP BY 1""")
 def q_read_wide_panel(spark, d):
-    """S01 read_wide_panel: the daily sales panel (one column per SKU slot)
-    written as CSV, read back as text, then dates / quantities parsed."""
+    """S01 read_wide_panel: the daily sales panel with one column per SKU
+    (1,024 of them), written as CSV and read back as lines; every cell of every
+    day is parsed, then summed up per SKU."""
     root = _root(spark, "wide")
-    _write_csv(B.wide_panel(spark, d), f"{root}/Sales Order.csv")
-    _write_csv(B.wide_panel(spark, d).select("Date", "PlantId", *reversed(SLOTS)),
-               f"{root}/sales order weight.csv")  # a similar name: the first one is read
-    return _parsed_wide(FS.read_wide_panel(spark, FS.resolve_source(root, "sales order")))
+    wide = B.wide_blocks(spark, d)
+    _write_csv(wide, f"{root}/Sales Order.csv")
+    _write_csv(B.wide_panel(spark, d), f"{root}/weekly sales order.csv")  # a similar name: the first one is read
+    lines = FS.read_wide(spark, FS.resolve_source(root, "sales order"), ("Date", "Block"))
+    cells = M.parse_quantities(M.parse_dates(lines.long("qty").withColumn("SkuId", B.block_sku())), ["qty"])
+    sold = F.col("qty") > 0
+    return cells.groupBy("SkuId").agg(
+        F.count("Date").alias("n_days"), F.count_if(sold).alias("n_sold"), F.sum("qty").alias("total"),
+        F.min(F.when(sold, F.col("Date"))).alias("first_sold"), F.max(F.when(sold, F.col("Date"))).alias("last_sold"))
 
 
 _LONG = """SELECT w."Date", 'P' || (CAST(SUBSTR(w."PlantId", 3) AS BIGINT) + s.slot) AS "SkuId", s.slot
@@ -170,24 +186,33 @@ def q_read_sell_prices(spark, d):
     return FS.read_sell_prices(spark, path)
 
 
-@query("read_sales_history", "item_id:s, year:s, d:s, sales:x",
-       """WITH s AS (SELECT 'PL' || (l_partkey - l_partkey % 10) AS item_id, YEAR(CAST(l_shipdate AS DATE)) AS y,
+@query("read_sales_history", "item_id:s, year:s, n_days:i, n_zero:i, total:x, series_md5:s",
+       """WITH s AS (SELECT 'P' || l_partkey AS item_id, YEAR(CAST(l_shipdate AS DATE)) AS y,
             DAYOFYEAR(CAST(l_shipdate AS DATE)) AS doy, SUM(l_quantity * p_size) AS sales
-            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
-          SELECT k.item_id, CAST(k.y AS VARCHAR) AS "year", 'd_' || n.i AS d, COALESCE(s.sales, 0.0e0) AS sales
-          FROM (SELECT DISTINCT item_id, y FROM s) k CROSS JOIN range(1, 367) n(i)
-          LEFT JOIN s ON s.item_id = k.item_id AND s.y = k.y AND s.doy = n.i""")
+            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
+          h AS (SELECT k.item_id, k.y, n.i, COALESCE(s.sales, 0.0e0) AS sales
+            FROM (SELECT DISTINCT item_id, y FROM s) k CROSS JOIN range(1, 367) n(i)
+            LEFT JOIN s ON s.item_id = k.item_id AND s.y = k.y AND s.doy = n.i)
+          SELECT item_id, CAST(y AS VARCHAR) AS "year", COUNT(*) AS n_days, COUNT(*) FILTER (WHERE sales = 0) AS n_zero,
+            SUM(sales) AS total, MD5(STRING_AGG(CAST(CAST(sales AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS series_md5
+          FROM h GROUP BY 1, 2""")
 def q_read_sales_history(spark, d):
-    """S10 read_sales_history: plant x year rows with one column per day of
-    year (``d_1``..``d_366``) written wide, read back long (no sale -> 0)."""
+    """S10 read_sales_history: SKU x year rows with one column per day of year
+    (``d_1``..``d_366``) written wide, read back long with every zero day. The
+    result has a digest of each whole series in day order."""
     root = _root(spark, "history")
-    s = B.sku_day_signals(spark, d).select(B.plant_id("l_partkey").alias("item_id"), "Date", "SalesOrderQty")
+    s = B.sku_day_signals(spark, d).select(F.col("SkuId").alias("item_id"), "Date", "SalesOrderQty")
     w = (s.withColumn("doy", F.dayofyear("Date"))
          .groupBy("item_id", F.year("Date").alias("year"))
          .pivot("doy", list(range(1, 367))).agg(F.sum("SalesOrderQty")))
     w = w.select("item_id", "year", *[F.col(str(i)).alias(f"d_{i}") for i in range(1, 367)])
     _write_csv(w, f"{root}/sales_train_validation.csv")
-    return FS.read_sales_history(spark, root)
+    h = FS.read_sales_history(spark, root)
+    days = F.sort_array(F.collect_list(F.struct(F.substring("d", 3, 4).cast("int").alias("i"),
+                                                F.col("sales").cast("bigint").alias("s"))))  # 366 a row
+    return h.groupBy("item_id", "year").agg(
+        F.count("*").alias("n_days"), F.count_if(F.col("sales") == 0).alias("n_zero"), F.sum("sales").alias("total"),
+        F.md5(F.array_join(F.transform(days, lambda x: x["s"].cast("string")), ",").cast("binary")).alias("series_md5"))
 
 
 @query("empty_with_schema", "kind:s, label:s, node1:s, node2:s",
@@ -313,31 +338,34 @@ _SCHEMA_SQL = " UNION ALL ".join(
 
 @query("schema_report", "column:s, dtype:s, nulls:i, min:s, max:s, status:s", _SCHEMA_SQL)
 def q_schema_report(spark, d):
-    """A35 schema_report: per unified column type, null count, min, max
-    (one aggregate over all columns), and missing / extra columns."""
+    """A35 schema_report of the master panel."""
+    return X.schema_report(B.master_table(spark, d))
+
+
+@query("master_layout", "Month:s, SkuId:s, n_rows:i, sales:x",
+       """SELECT STRFTIME("Date", '%Y-%m') AS "Month", "SkuId", COUNT(*) AS n_rows, SUM("SalesOrderQty") AS sales
+          FROM master WHERE "Date" >= DATE '1995-01-01' AND "Date" <= DATE '1995-06-30' GROUP BY 1, 2""")
+def q_master_layout(spark, d):
+    """E01 / E02 stored by month and SKU bucket, half a year of it read back."""
+    import datetime as dt
+    import uuid
+    name = f"master_{uuid.uuid4().hex}"
+    LY.save_master(B.master_table(spark, d), name, buckets=8)
+    half = LY.load_master(spark, name, dt.date(1995, 1, 1), dt.date(1995, 6, 30))
+    return half.groupBy(F.date_format("Date", "yyyy-MM").alias("Month"), "SkuId").agg(
+        F.count("*").alias("n_rows"), F.sum("SalesOrderQty").alias("sales"))
+
+
+@query("export_results", "table:s, rows:i",
+       """SELECT 'plant_statistics' AS "table", COUNT(DISTINCT "PlantId") AS rows FROM master UNION ALL
+          SELECT 'daily_dates', COUNT(DISTINCT "Date") FROM master""")
+def q_export_results(spark, d):
+    """S12 / S13 with published versions: a first version is published, a
+    second run dies before it publishes, the first is what is read."""
     m = B.master_table(spark, d)
-    cols = [c for c in M.UNIFIED if c in m.columns]
-
-    def _fmt(e, df, c):  # numbers as '%.2f', anything else as its first 10 characters
-        t = df.schema[c].dataType.simpleString()
-        if t in ("double", "int", "bigint", "float"):
-            return F.format_string("%.2f", e.cast("double"))
-        return F.substring(e.cast("string"), 1, 10)
-    aggs = []
-    for c in cols:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}"), _fmt(F.min(c), m, c).alias(f"lo_{c}"),
-                 _fmt(F.max(c), m, c).alias(f"hi_{c}")]
-    one = m.agg(*aggs)
-    types = dict((f.name, f.dataType.simpleString()) for f in m.schema)
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                     F.col(f"n_{c}").alias("nulls"), F.col(f"lo_{c}").alias("min"),
-                     F.col(f"hi_{c}").alias("max"), F.lit("ok").alias("status")) for c in cols]
-    rows += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("string").alias("dtype"),
-                      F.lit(None).cast("bigint").alias("nulls"), F.lit(None).cast("string").alias("min"),
-                      F.lit(None).cast("string").alias("max"), F.lit("missing").alias("status"))
-             for c in M.UNIFIED if c not in m.columns]
-    rows += [F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                      F.lit(None).cast("bigint").alias("nulls"), F.lit(None).cast("string").alias("min"),
-                      F.lit(None).cast("string").alias("max"), F.lit("extra").alias("status"))
-             for c in m.columns if c not in M.UNIFIED]
-    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    root = _root(spark, "published")
+    MF.export_results(spark, root, {"plant_statistics": P.plant_statistics(m), "daily_dates": m.select("Date").distinct()})
+    SK.write_results(spark, MF.new_run(root)[1], {"daily_dates": m.select("Date").limit(1)})  # never published
+    got = MF.read_current(spark, root, ["plant_statistics", "daily_dates"])
+    out = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows") for n, df in got.items()]
+    return out[0].unionByName(out[1])
