@@ -8,17 +8,12 @@ finds the longest token at each place; the encoder takes it, checks it against
 its predecessor, and on a conflict tries the next shorter one or steps back.
 Places proven dead are marked, so the work is linear in the piece.
 
-One scan of the automaton gives the leftmost longest tokens of a piece; where
-each fits its predecessor this is what the encoder would take step by step, so
-only pieces with a conflict are stepped through.
-
 Pieces (words as the tokenizer's pattern cuts them) repeat, so a task keeps a
 bounded memory of encoded words, in two generations.
 """
 
 from __future__ import annotations
 
-import array
 import functools
 import hashlib
 import json
@@ -35,7 +30,8 @@ from packflow.llm.common import prepare, texts, tidy, worker_state
 #: stands for the word end mark: one symbol that no byte maps to
 END = "\u0200"
 MEMORY = 200_000  # words of a generation that a worker remembers (about 220 bytes each)
-PAIRS = 1 << 20  # places for token pairs whose compatibility a worker remembers (8 bytes each)
+PAIRS = 1 << 18  # token pairs whose compatibility a worker remembers (about 130 bytes each)
+MARKS = ".,;:!?"
 GAP = "\n"  # between ids and decoded text of a remembered word; no token holds it
 
 FAR = regex.compile("[^\\x00-\u052f]")
@@ -89,7 +85,13 @@ class Vocabulary:
         self.by_id = [""] * (max(self.ids.values()) + 1)
         for t, i in self.ids.items():
             self.by_id[i] = t
-        self.known = array.array("Q", bytes(8 * PAIRS))  # at a pair's place: its key + 1, then whether it fits
+        # the same tables by id, for the checks between tokens
+        self.rank_of = [self.rank.get(t, 0) for t in self.by_id]
+        self.left_of = [self.ids[self.parts[t][0]] if t in self.parts else 0 for t in self.by_id]
+        self.right_of = [self.ids[self.parts[t][1]] if t in self.parts else 0 for t in self.by_id]
+        self.merge_rank = {self.ids[a] << 20 | self.ids[b]: self.rank[t] for (a, b), t in self.merged.items()
+                           if t in self.rank and a in self.ids and b in self.ids}
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in self.ids.items():
             if len(t) <= 2 or self.reachable(t):
@@ -130,16 +132,27 @@ class Vocabulary:
             else:
                 limit, b = rb + 1, parts[b][0]
 
-    def compatible(self, a: int, b: int) -> bool:
-        """``_compatible`` of two ids, remembered at one place a pair."""
-        key = (a << 20 | b) + 1
-        place = (key * 0x9E3779B1 >> 12) % PAIRS
-        known = self.known[place]
-        if known >> 1 == key:
-            return bool(known & 1)
-        fits = self._compatible(self.by_id[a], self.by_id[b])
-        self.known[place] = key << 1 | fits
-        return fits
+    def fits(self, a: int, b: int) -> bool:
+        """``_compatible`` of two ids, remembered."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        key = a << 20 | b
+        rank, left, right, merges = self.rank_of, self.left_of, self.right_of, self.merge_rank
+        limit = 1 << 30
+        ok = True
+        while True:
+            if merges.get(a << 20 | b, limit) < limit:
+                ok = False
+                break
+            ra, rb = rank[a], rank[b]
+            if ra == 0 and rb == 0:
+                break
+            if ra > rb:
+                limit, a = ra, right[a]
+            else:
+                limit, b = rb + 1, left[b]
+        self.pairs[key] = ok
+        return ok
 
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one piece of text."""
@@ -154,18 +167,14 @@ class Vocabulary:
         whole = self.automaton.get(s, None)
         if whole is not None:
             return [whole[1]]
-        compatible = self.compatible
         n = len(s)
-        longest = [token for _, token in self.automaton.iter_long(s)]
-        if sum([size for size, _ in longest]) == n:  # no gap
-            found = [i for _, i in longest]
-            if all(map(compatible, found, found[1:])):
-                return found
         sizes: list[list[tuple[int, int]]] = [[] for _ in range(n)]  # at each start, ascending
         for end, token in self.automaton.iter(s):
             sizes[end - token[0] + 1].append(token)
+        known, fits = self.pairs.get, self.fits
         dead = bytearray(n + 1)
         took: list[tuple[int, int]] = []
+        last = -1
         left = [len(sizes[0])]  # candidates not yet tried at each place of the stack
         pos = 0
         while pos < n:
@@ -173,12 +182,20 @@ class Vocabulary:
             while k:
                 k -= 1
                 size, token = options[k]
-                if not dead[pos + size] and (not took or compatible(took[-1][1], token)):
-                    step = size
-                    break
+                if dead[pos + size]:
+                    continue
+                if last >= 0:
+                    ok = known(last << 20 | token)
+                    if ok is None:
+                        ok = fits(last, token)
+                    if not ok:
+                        continue
+                step = size
+                break
             if step:
                 left[-1] = k
                 took.append(options[k])
+                last = token
                 pos += step
                 if pos < n:
                     left.append(len(sizes[pos]))
@@ -186,6 +203,7 @@ class Vocabulary:
                 dead[pos] = 1
                 left.pop()
                 pos -= took.pop()[0]
+                last = took[-1][1] if took else -1
         return [i for _, i in took]
 
     def decode(self, ids: list[int]) -> str:
@@ -259,8 +277,14 @@ class Memory(dict):
             self.clear()
         got = self.older.get(word)
         if got is None:
-            ids = self.owner.word(word)
-            got = " ".join(map(str, ids)) + GAP + self.owner.vocabulary.decode(ids)
+            # marks after a letter or digit are a piece of their own: the word before them may be known
+            stem = word.rstrip(MARKS)
+            if stem != word and stem and stem[-1] < "\u0530" and stem[-1].isalnum():
+                a, b = self[stem].split(GAP), self[word[len(stem):]].split(GAP)
+                got = a[0] + " " + b[0] + GAP + a[1] + " " + b[1]
+            else:
+                ids = self.owner.word(word)
+                got = " ".join(map(str, ids)) + GAP + self.owner.vocabulary.decode(ids)
         self[word] = got
         return got
 
