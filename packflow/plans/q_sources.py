@@ -71,15 +71,15 @@ def q_read_wide_panel(spark, d):
     (1,024 of them), written as CSV and read back as lines; every cell of every
     day is parsed, then summed up per SKU."""
     root = _root(spark, "wide")
-    wide = B.wide_blocks(spark, d)
-    _write_csv(wide, f"{root}/Sales Order.csv")
+    # whole lines: a separator that no line holds
+    B.wide_block_lines(spark, d).write.option("header", True).option("sep", "\x01").csv(f"{root}/Sales Order.csv")
     _write_csv(B.wide_panel(spark, d), f"{root}/weekly sales order.csv")  # a similar name: the first one is read
-    lines = FS.read_wide(spark, FS.resolve_source(root, "sales order"), ("Date", "Block"))
-    cells = M.parse_quantities(M.parse_dates(lines.long("qty").withColumn("SkuId", B.block_sku())), ["qty"])
-    sold = F.col("qty") > 0
-    return cells.groupBy("SkuId").agg(
-        F.count("Date").alias("n_days"), F.count_if(sold).alias("n_sold"), F.sum("qty").alias("total"),
-        F.min(F.when(sold, F.col("Date"))).alias("first_sold"), F.max(F.when(sold, F.col("Date"))).alias("last_sold"))
+    cells = FS.read_signal(spark, root, "SalesOrderQty", ("Date", "Block"))
+    qty = F.col("SalesOrderQty")
+    per = cells.groupBy("Block", "SkuId").agg(
+        F.count("Date").alias("n_days"), F.count_if(qty > 0).alias("n_sold"), F.sum(qty).alias("total"),
+        F.min(F.when(qty > 0, F.col("Date"))).alias("first_sold"), F.max(F.when(qty > 0, F.col("Date"))).alias("last_sold"))
+    return per.withColumn("SkuId", B.block_sku())
 
 
 _LONG = """SELECT w."Date", 'P' || (CAST(SUBSTR(w."PlantId", 3) AS BIGINT) + s.slot) AS "SkuId", s.slot

@@ -224,14 +224,19 @@ def slot_sku(plant: str = "PlantId", slot: str = "SkuId") -> F.Column:
 WIDE_SLOTS = 1024
 
 
-def wide_blocks(spark: SparkSession, d: str, value: str = "SalesOrderQty") -> DataFrame:
-    """A signal with one column per SKU of a block of 1,024 part keys: one row
-    per (Date, Block), columns ``s0``..``s1023``."""
+def wide_block_lines(spark: SparkSession, d: str, value: str = "SalesOrderQty") -> DataFrame:
+    """A signal with one field per SKU of a block of 1,024 part keys: CSV lines
+    (Date, Block, ``s0``..``s1023``) in one column that is named by the header."""
+    cell = F.struct(F.pmod("l_partkey", F.lit(WIDE_SLOTS)).cast("int").alias("slot"), F.col(value).cast("string").alias("v"))
     s = sku_day_signals(spark, d).select(
-        "Date", F.floor(F.col("l_partkey") / WIDE_SLOTS).cast("bigint").alias("Block"),
-        F.struct(F.pmod("l_partkey", F.lit(WIDE_SLOTS)).alias("slot"), F.col(value).alias("v")).alias("e"))
-    w = s.groupBy("Date", "Block").agg(F.map_from_entries(F.collect_list("e")).alias("m"))  # at most 1,024 entries
-    return w.select("Date", "Block", *[F.col("m")[F.lit(i).cast("bigint")].alias(f"s{i}") for i in range(WIDE_SLOTS)])
+        "Date", F.floor(F.col("l_partkey") / WIDE_SLOTS).cast("bigint").alias("Block"), cell.alias("e"))
+    w = s.groupBy("Date", "Block").agg(F.sort_array(F.collect_list("e")).alias("e"))  # at most 1,024 cells
+    # as many commas before a value as places since the value before it
+    gap = lambda e, i: e["slot"] - F.coalesce(F.get("e", i - 1)["slot"], F.lit(0))
+    fields = F.concat(F.array_join(F.transform("e", lambda e, i: F.concat(F.repeat(F.lit(","), gap(e, i)), e["v"])), ""),
+                      F.repeat(F.lit(","), F.lit(WIDE_SLOTS - 1) - F.element_at("e", -1)["slot"]))
+    header = ",".join(["Date", "Block", *[f"s{i}" for i in range(WIDE_SLOTS)]])
+    return w.select(F.concat_ws(",", F.col("Date").cast("string"), F.col("Block").cast("string"), fields).alias(header))
 
 
 def block_sku(block: str = "Block", slot: str = "SkuId") -> F.Column:

@@ -130,7 +130,8 @@ def read_signal(spark: SparkSession, root: str | Sequence[str], value_name: str,
     wide = read_wide(spark, resolve_source(root, SIGNAL_FILES[value_name]), id_cols)
     if wide is None:
         return None
-    return parse_quantities(parse_dates(wide.long(value_name)), [value_name])
+    wide.rows = parse_dates(wide.rows)  # once a line, not once a cell
+    return parse_quantities(wide.long(value_name), [value_name])
 
 
 def read_signals(spark: SparkSession, root: str | Sequence[str],
