@@ -73,6 +73,8 @@ def unpack(payload: bytes, bits: int, lo: int, hi: int) -> np.ndarray:
     return out.ravel()[lo - 8 * start: hi - 8 * start]
 
 
+#: a run of these at a chunk's end is a piece of its own after a letter or digit
+MARKS = ".,;:!?"
 MIXED = re.compile(r"\s | \s").search
 RARE_GAP = re.compile(r"[^\S \n]").search
 
@@ -108,6 +110,7 @@ class ChunkEncoder:
         # None stands for the place of a text's first chunk, which has no space
         self.memory: dict[str | None, bytes] = {None: b""}
         self.older: dict[str | None, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as little-endian 32-bit integers, by the library."""
@@ -127,6 +130,22 @@ class ChunkEncoder:
                 alone += part
         self.memory.update(zip(alone, self.ids([" " + c for c in alone])))
 
+    def learn_all(self, chunks: set[str]) -> None:
+        """Learn chunks; one that ends in marks is its stem's ids and the marks'."""
+        marked, stems = [], set()
+        for c in chunks:
+            stem = c.rstrip(MARKS)
+            if stem != c and stem and stem[-1] < "\u0530" and stem[-1].isalnum():
+                marked.append((c, stem, c[len(stem):]))
+                stems.add(stem)
+        stems -= chunks
+        known = stems & self.older.keys()
+        self.memory.update((c, self.older[c]) for c in known)
+        self.learn(list(((chunks | stems) - {c for c, _, _ in marked}) - self.memory.keys()))
+        tails = list({t for _, _, t in marked} - self.tails.keys())
+        self.tails.update(zip(tails, self.ids(tails)))
+        self.memory.update((c, self.memory[stem] + self.tails[t]) for c, stem, t in marked)
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit integers, for each text."""
         if len(self.memory) > MEMORY:
@@ -149,7 +168,7 @@ class ChunkEncoder:
                 missing.update([c for _, c in places])
         again = missing & self.older.keys()
         self.memory.update((c, self.older[c]) for c in again)
-        self.learn(list(missing - again))
+        self.learn_all(missing - again)
         for ids, places in open_places:
             for i, c in places:
                 ids[i] = self.memory[c]
