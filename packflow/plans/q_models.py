@@ -13,6 +13,7 @@ from packflow.operators import clustering as CL
 from packflow.operators import features as FE
 from packflow.operators import forecast as FC
 from packflow.operators import kpi as K
+from packflow.plans.q_features import FEAT
 from packflow.plans.q_network import NET, _plan
 from packflow.plans.q_packs_finance import PF, _chain, _ledger
 from packflow.plans.registry import query
@@ -37,7 +38,11 @@ def _fit(spark, d):
     return _FITS[k]
 
 
-@query("assemble_vector", "SkuId:s, Date:t, n_features:i, feature_sum:d")
+@query("assemble_vector", "SkuId:s, Date:t, n_features:i, feature_sum:d",
+       f"""SELECT "SkuId", "Date", {len(FE.FEATURES)} AS n_features,
+          {' + '.join(f'CAST("{c}" AS DOUBLE)' for c in FE.FEATURES)} AS feature_sum
+          FROM (SELECT *, MIN("Date") OVER () AS lo, MAX("Date") OVER () AS hi FROM train_rows) t
+          WHERE "Date" < lo + CAST(FLOOR((hi - lo) * {CFG.train_fraction}e0) AS INTEGER)""", FEAT)
 def q_assemble_vector(spark, d):
     """M02 assemble_vector: the ordered 12-feature vector per row."""
     daily, codes, tr, te, model = _fit(spark, d)
