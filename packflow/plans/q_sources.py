@@ -186,6 +186,34 @@ def q_read_sell_prices(spark, d):
     return FS.read_sell_prices(spark, path)
 
 
+def _history_wide(s):
+    """(item_id, Date, SalesOrderQty) -> a row per item and year, a column per
+    day of year. An item's days meet once, as narrow rows: the sums and the
+    pivot share that shuffle."""
+    w = (s.repartition("item_id").withColumn("doy", F.dayofyear("Date"))
+         .groupBy("item_id", F.year("Date").alias("year"))
+         .pivot("doy", list(range(1, 367))).agg(F.sum("SalesOrderQty")))
+    return w.select("item_id", "year", *[F.col(str(i)).alias(f"d_{i}") for i in range(1, 367)])
+
+
+def _history_series(h):
+    """Counts, total and digest of each item's year, every day in order. Lists
+    are gathered apart from the counts, of days with sales only (366 at most):
+    with all days in one list aggregate the exploded rows are sorted and spilled."""
+    per = h.groupBy("item_id", "year").agg(
+        F.count("*").alias("n_days"), F.count_if(F.col("sales") == 0).alias("n_zero"), F.sum("sales").alias("total"))
+    sold = h.where(F.col("sales") != 0).groupBy(F.col("item_id").alias("_i"), F.col("year").alias("_y")).agg(
+        F.sort_array(F.collect_list(F.struct(F.substring("d", 3, 4).cast("int").alias("i"),
+                                             F.col("sales").cast("bigint").alias("s")))).alias("e"))
+    per = per.join(sold, F.col("item_id").eqNullSafe(F.col("_i")) & F.col("year").eqNullSafe(F.col("_y")), "left")
+    # a day without sales is a gap between two days of the list
+    before = lambda k: F.coalesce(F.get("e", k - 1)["i"], F.lit(0))
+    filled = F.transform("e", lambda x, k: F.concat(F.repeat(F.lit("0,"), x["i"] - before(k) - 1), x["s"].cast("string")))
+    last = F.coalesce(F.get("e", F.size("e") - 1)["i"], F.lit(0))
+    series = F.concat_ws(",", filled, F.when(last < 366, F.concat(F.repeat(F.lit("0,"), 365 - last), F.lit("0"))))
+    return per.select("item_id", "year", "n_days", "n_zero", "total", F.md5(series.cast("binary")).alias("series_md5"))
+
+
 @query("read_sales_history", "item_id:s, year:s, n_days:i, n_zero:i, total:x, series_md5:s",
        """WITH s AS (SELECT 'P' || l_partkey AS item_id, YEAR(CAST(l_shipdate AS DATE)) AS y,
             DAYOFYEAR(CAST(l_shipdate AS DATE)) AS doy, SUM(l_quantity * p_size) AS sales
@@ -202,17 +230,10 @@ def q_read_sales_history(spark, d):
     result has a digest of each whole series in day order."""
     root = _root(spark, "history")
     s = B.sku_day_signals(spark, d).select(F.col("SkuId").alias("item_id"), "Date", "SalesOrderQty")
-    w = (s.withColumn("doy", F.dayofyear("Date"))
-         .groupBy("item_id", F.year("Date").alias("year"))
-         .pivot("doy", list(range(1, 367))).agg(F.sum("SalesOrderQty")))
-    w = w.select("item_id", "year", *[F.col(str(i)).alias(f"d_{i}") for i in range(1, 367)])
+    w = _history_wide(s)
     _write_csv(w, f"{root}/sales_train_validation.csv")
     h = FS.read_sales_history(spark, root)
-    days = F.sort_array(F.collect_list(F.struct(F.substring("d", 3, 4).cast("int").alias("i"),
-                                                F.col("sales").cast("bigint").alias("s"))))  # 366 a row
-    return h.groupBy("item_id", "year").agg(
-        F.count("*").alias("n_days"), F.count_if(F.col("sales") == 0).alias("n_zero"), F.sum("sales").alias("total"),
-        F.md5(F.array_join(F.transform(days, lambda x: x["s"].cast("string")), ",").cast("binary")).alias("series_md5"))
+    return _history_series(h)
 
 
 @query("empty_with_schema", "kind:s, label:s, node1:s, node2:s",

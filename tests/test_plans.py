@@ -41,3 +41,11 @@ def test_fact_windows_are_partitioned(spark):
 def test_master_has_no_single_partition(spark):
     from packflow.sources import binding as B
     assert "SinglePartition" not in plan(B.master(spark, SF0001))
+
+
+def test_history_days_meet_once(spark):
+    """No shuffle carries a column for each day of the year."""
+    from packflow.plans.q_sources import _history_wide
+    rows = spark.sql("SELECT 'P1' AS item_id, DATE'2020-12-31' AS Date, 2.0D AS SalesOrderQty")
+    p = plan(_history_wide(rows))
+    assert p.count("Exchange ") == 1

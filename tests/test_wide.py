@@ -74,3 +74,32 @@ def test_nothing_to_read(spark, tmp_path, lines, rows):
         _write(tmp_path / "w.csv", *lines)
     got = read_wide_lines(spark, str(tmp_path / "w.csv"), ["Date"])
     assert got is None if rows is None else got.long("v").count() == rows
+
+
+def test_history_series_gaps(spark):
+    """First and last day, gaps, a year without sales and a null year."""
+    import hashlib
+
+    from packflow.plans.q_sources import _history_series, _history_wide
+    rows = spark.sql("""SELECT * FROM VALUES ('a', DATE'2020-01-01', 3.0D), ('a', DATE'2020-12-31', 4.0D),
+        ('a', DATE'2020-01-04', 5.0D), ('b', DATE'2021-02-01', 0.0D), ('b', DATE'2022-12-31', 7.0D),
+        ('b', CAST(NULL AS DATE), 1.0D) AS t(item_id, Date, SalesOrderQty)""")
+    wide = _history_wide(rows)
+    long = wide.unpivot(["item_id", "year"], [c for c in wide.columns if c.startswith("d_")], "d", "sales").na.fill(0.0, ["sales"])
+    got = {(r["item_id"], r["year"]): r for r in _history_series(long).collect()}
+    days = {("a", 2020): {1: 3, 4: 5, 366: 4}, ("b", 2021): {}, ("b", 2022): {365: 7}, ("b", None): {}}
+    assert set(got) == set(days)
+    for k, sold in days.items():
+        text = ",".join(str(sold.get(i, 0)) for i in range(1, 367))
+        assert got[k]["series_md5"] == hashlib.md5(text.encode()).hexdigest()
+        assert (got[k]["n_days"], got[k]["n_zero"], got[k]["total"]) == (366, 366 - len(sold), sum(sold.values()))
+
+
+def test_history_lists_hold_sold_days_only(spark):
+    """The list aggregate reads the days with sales, not every day."""
+    from packflow.plans.q_sources import _history_series
+    rows = spark.range(732).selectExpr("'a' AS item_id", "CAST(id DIV 366 AS STRING) AS year",
+                                       "concat('d_', id % 366 + 1) AS d", "CAST(id % 3 AS DOUBLE) AS sales")
+    p = _history_series(rows)._jdf.queryExecution().optimizedPlan().toString()
+    lists = [x for x in p.splitlines() if "collect_list" in x]
+    assert len(lists) == 1 and "count" not in lists[0]
