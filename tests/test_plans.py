@@ -43,6 +43,19 @@ def test_master_has_no_single_partition(spark):
     assert "SinglePartition" not in plan(B.master(spark, SF0001))
 
 
+def test_master_lines_meet_parts_in_one_shuffle(spark):
+    """The aggregate and the part join share one shuffle of the lines."""
+    from packflow.sources import binding as B
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(B.master(spark, SF0001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert p.count("Exchange hashpartitioning(l_partkey") == 1
+    assert p.count("Exchange hashpartitioning(Date") == 0
+
+
 def test_history_days_meet_once(spark):
     """No shuffle carries a column for each day of the year."""
     from packflow.plans.q_sources import _history_wide
