@@ -86,3 +86,12 @@ def test_kmeans_of_few_and_equal_rows(spark):
     same = profile(spark, [(f"S{i}", 1.0, 1.0, 1.0, 1.0) for i in range(5)])
     assert CL.fit_kmeans(same, ClusterConfig(restarts=2)).cost == 0
     assert {r["k"] for r in same.withColumn("k", CL.nearest_centre(CL.fit_kmeans(same))).collect()} == {0}
+
+
+def test_fit_reads_few_partitions(spark):
+    """A fit reads two partitions a core at most, and every row."""
+    from packflow.operators.forecast import few_partitions
+    got = few_partitions(spark.range(1000).repartition(200).toDF("x"))
+    assert got.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert got.count() == 1000
+    assert few_partitions(spark.range(5).repartition(1).toDF("x")).rdd.getNumPartitions() == 1
