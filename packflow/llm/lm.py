@@ -36,8 +36,7 @@ FREQUENT = 1 << 16  # most words with a path of their own
 FUNCTION = 64  # most frequent words that count as function words
 NEAR = 256  # most frequent words that are a context by themselves
 PAIRS = (2 * NEAR + 1) * (FUNCTION + 1)  # previous word and function word
-MIXER_DOCS = 2000  # most documents, and
-MIXER_WORDS = 20_000  # most new words that the mixing weights are learned from
+BATCH = 2_500_000  # tokens of a map task that are reduced together
 CHUNK = 1 << 14  # slots of a table that travel together
 DEPTHS = 8
 SHARPNESS = (0.75, 1.0, 1.3)  # factors of the mixed logit that a document chooses from as it is read
@@ -109,19 +108,27 @@ class Mixer:
         g = gate[place] * DEPTHS + np.minimum(depth, DEPTHS - 1)
         return place, bit, x, g
 
+    def apart(self, tables: list[np.ndarray], sym: np.ndarray, contexts: list[np.ndarray], gate: np.ndarray) -> tuple:
+        """As ``inputs``, from ``apart_logits``: decisions predicted without themselves."""
+        place, node, bit, depth = self.code.expand(sym)
+        x = [t[2 * slots(c, place, node, self.log2) + bit] for t, c in zip(tables, contexts)]
+        return place, bit, x, gate[place] * DEPTHS + np.minimum(depth, DEPTHS - 1)
+
     def logit(self, x: list[np.ndarray], g: np.ndarray) -> np.ndarray:
         out = self.weights[:, -1][g]
         for k, v in enumerate(x):
             out = out + self.weights[:, k][g] * v
         return out
 
-    def learn(self, x: list[np.ndarray], g: np.ndarray, bit: np.ndarray, step: float = 0.02, batch: int = 4096) -> None:
-        """Online gradient steps over the decisions in order."""
+    def learn(self, x: list[np.ndarray], g: np.ndarray, bit: np.ndarray, times: np.ndarray, step: float = 0.02,
+              batch: int = 4096) -> None:
+        """Online gradient steps over the decisions in order, each met ``times`` times."""
         for a in range(0, len(bit), batch):
             s = slice(a, a + batch)
             xs = [v[s] for v in x]
-            err = bit[s] - 1.0 / (1.0 + np.exp(-np.clip(self.logit(xs, g[s]), -30, 30)))
-            n = np.maximum(1.0, np.bincount(g[s], minlength=len(self.weights)))
+            err = times[s] * (bit[s] - 1.0 / (1.0 + np.exp(-np.clip(self.logit(xs, g[s]), -30, 30))))
+            n = np.maximum(1.0, np.bincount(g[s], weights=times[s], minlength=len(self.weights)))
+            n = np.maximum(n, n * n / batch)  # a step no longer than that of a batch without repeats
             for k, v in enumerate([*xs, np.ones(len(err), np.float32)]):
                 rate = step if k < len(xs) else step / 4
                 self.weights[:, k] += (rate * np.bincount(g[s], weights=err * v, minlength=len(self.weights))
@@ -308,36 +315,117 @@ def _count_into(tables: list[np.ndarray], code: Code, log2: int, sym: np.ndarray
         np.add.at(t, 2 * slots(c, place, node, log2) + bit, _U4(1))
 
 
+def apart_logits(tables: list[np.ndarray]) -> list[np.ndarray]:
+    """Logits by slot and outcome, with that outcome counted once less: what a
+    training decision is predicted by when it is left out of the counts."""
+    out = []
+    for t in tables:
+        n0, n1 = t[0::2], t[1::2]
+        both = np.empty(len(t), np.float16)
+        both[0::2], both[1::2] = table_logits(np.maximum(n0 - 1, 0), n1), table_logits(n0, np.maximum(n1 - 1, 0))
+        out.append(both)
+    return out
+
+
+def _pairs(rows: DataFrame, lex) -> DataFrame:
+    """Distinct (token, previous word, function word) of all texts with their
+    counts, a row for each ``BATCH`` tokens of a map task."""
+    def run(batches):
+        z = zstandard.ZstdCompressor(level=1)
+        held = WordCounts(lex.value, 0, [])
+
+        def taken():
+            return pa.RecordBatch.from_arrays([pa.array([z.compress(x.tobytes())], pa.binary()) for x in held.take()], names=["key", "n"])
+
+        for b in batches:
+            for _, _, data, off in slices(b.column(1), SLICE):
+                if held.hold(lex.value.tokens(data, off)):
+                    yield taken()
+        if held.size:
+            yield taken()
+
+    return rows.mapInArrow(run, "key binary, n binary")
+
+
+def _read_pairs(batches):
+    """Tokens, their contexts as numbers, and counts of every row of ``_pairs``."""
+    z = zstandard.ZstdDecompressor()
+    for b in batches:
+        for k in range(b.num_rows):
+            key = np.frombuffer(z.decompress(b.column(0)[k].as_py()), np.int64)
+            yield *np.divmod(key, PAIRS), np.frombuffer(z.decompress(b.column(1)[k].as_py()), _U4)
+
+
+def _count_pairs(lex: Lexicon, log2: int, tables: list[np.ndarray], ids: np.ndarray, both: np.ndarray, n: np.ndarray) -> None:
+    """Adds the decisions of counted tokens to the word tables; equal (token,
+    context) pairs are added up before their decisions are."""
+    previous, function = np.divmod(both, FUNCTION + 1)
+    for k, c in enumerate((0, previous, function, both)):
+        key, at = np.unique(ids * PAIRS + c, return_inverse=True)
+        times = np.bincount(at, weights=n, minlength=len(key)).astype(_U4)
+        for a in range(0, len(key), STEP):
+            sym, c1 = np.divmod(key[a: a + STEP], PAIRS)
+            place, node, bit, _ = lex.code.expand(sym)
+            context = word_contexts(*(np.divmod(c1, FUNCTION + 1) if k == 3 else (c1, c1)))[0][k]
+            np.add.at(tables[k], 2 * slots(context, place, node, log2) + bit, times[a: a + STEP][place])
+
+
 class WordCounts:
-    """Tokens of a map task for the word tables: equal (token, context) pairs
-    are added up before their decisions are."""
+    """Tokens of a map task: equal (token, context) ones are added up."""
 
-    def __init__(self, lex: Lexicon, log2: int, tables: list[np.ndarray], most: int = 2_500_000):
+    def __init__(self, lex: Lexicon, log2: int, tables: list[np.ndarray], most: int = BATCH):
         self.lex, self.log2, self.tables, self.most = lex, log2, tables, most
-        self.held: list[list[np.ndarray]] = [[] for _ in tables]
+        self.held: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, t: Tokens) -> None:
-        both = t.previous * (FUNCTION + 1) + t.function
-        for mine, c in zip(self.held, (0, t.previous, t.function, both)):
-            mine.append(t.ids * PAIRS + c)
+    def hold(self, t: Tokens) -> bool:
+        """Whether enough are held to be taken."""
+        self.held.append(t.ids * PAIRS + t.previous * (FUNCTION + 1) + t.function)
         self.size += len(t.ids)
-        if self.size >= self.most:
+        return self.size >= self.most
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        key, n = np.unique(np.concatenate(self.held or [np.zeros(0, np.int64)]), return_counts=True)
+        self.held.clear()
+        self.size = 0
+        return key, n.astype(_U4)
+
+    def add(self, t: Tokens) -> None:
+        if self.hold(t):
             self.flush()
 
     def flush(self) -> None:
-        for k, mine in enumerate(self.held):
-            if not mine:
-                continue
-            key, n = np.unique(np.concatenate(mine), return_counts=True)
-            mine.clear()
-            for a in range(0, len(key), STEP):
-                sym, c = np.divmod(key[a: a + STEP], PAIRS)
-                place, node, bit, _ = self.lex.code.expand(sym)
-                context = word_contexts(*(np.divmod(c, FUNCTION + 1) if k == 3 else (c, c)))[0][k]
-                at = 2 * slots(context, place, node, self.log2) + bit
-                np.add.at(self.tables[k], at, n[a: a + STEP][place].astype(_U4))
-        self.size = 0
+        key, n = self.take()
+        _count_pairs(self.lex, self.log2, self.tables, *np.divmod(key, PAIRS), n)
+
+
+def _learned(rows: DataFrame, mixer: Mixer, tables: list[np.ndarray], decisions) -> np.ndarray:
+    """Mixing weights learned from every row: each task takes its steps over its
+    rows from the same start, then weights are averaged by the decisions that a
+    task met under their gate. ``decisions(batches)`` yields symbols, contexts,
+    gates and times."""
+    gates = len(mixer.weights) // DEPTHS
+    shared = rows.sparkSession.sparkContext.broadcast((mixer.code, mixer.log2, apart_logits(tables)))
+
+    def run(batches):
+        code, size, apart = shared.value
+        own = Mixer(code, size, apart, gates)
+        met = np.zeros(len(own.weights))
+        for sym, contexts, gate, times in decisions(batches):
+            place, bit, x, g = own.apart(apart, sym, contexts, gate)
+            own.learn(x, g, bit, times[place])
+            met += np.bincount(g, weights=times[place], minlength=len(met))
+        at = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), pa.array((own.weights[at] * met[at, None]).astype(np.float64).tolist(), pa.list_(pa.float64())),
+             pa.array(met[at])], names=["gate", "w", "met"])
+
+    got = rows.mapInArrow(run, "gate int, w array<double>, met double").select("gate", "met", F.posexplode("w").alias("k", "w"))
+    out = mixer.weights.copy()
+    for r in got.groupBy("gate", "k").agg(F.sum("w").alias("w"), F.sum("met").alias("met")).collect():  # gates x inputs
+        out[r["gate"], r["k"]] = r["w"] / r["met"]
+    shared.unpersist()
+    return out
 
 
 class Model:
@@ -404,11 +492,10 @@ class Model:
         return bits
 
 
-def fit(train: DataFrame, log2: int, mixer_docs: int = MIXER_DOCS, mixer_words: int = MIXER_WORDS) -> tuple[Model, DataFrame]:
-    """Model and word counts of (doc_id, text) rows. The mixing weights (a few
-    hundred numbers) are learned from a bounded sample that the context tables
-    leave out till then; afterwards its rows are counted too, so all counts
-    cover every row."""
+def fit(train: DataFrame, log2: int) -> tuple[Model, DataFrame]:
+    """Model and word counts of (doc_id, text) rows. Counts, codes and mixing
+    weights come from every row; a decision that weights are learned from is
+    predicted by the counts of all others."""
     spark = train.sparkSession
     counts = written(_word_counts(train), "words")
     ends = train.count()
@@ -418,38 +505,37 @@ def fit(train: DataFrame, log2: int, mixer_docs: int = MIXER_DOCS, mixer_words:
     held = sum(r["c"] for r in top)
     lex = Lexicon([bytes(r["word"]) for r in top], [r["c"] for r in top], ends, total - held)
     shared = spark.sparkContext.broadcast(lex)
-    key = F.pmod(F.xxhash64(F.lit(2), "doc_id", "text"), F.lit(1_000_000))
-    share = min(100_000, int(1_000_000 * mixer_docs / max(1, ends)))
+    pairs = written(_pairs(train, shared), "pairs")
 
     def count_words(batches, tables):
-        counts = WordCounts(shared.value, log2, tables)
-        for b in batches:
-            for _, _, data, off in slices(b.column(1), SLICE):
-                counts.add(shared.value.tokens(data, off))
-        counts.flush()
+        for ids, both, times in _read_pairs(batches):
+            _count_pairs(shared.value, log2, tables, ids, both, times)
+
+    def word_decisions(batches):
+        for ids, both, times in _read_pairs(batches):
+            order = np.random.default_rng(len(ids)).permutation(len(ids))
+            for a in range(0, len(ids), STEP):
+                k = order[a: a + STEP]
+                yield ids[k], *word_contexts(*np.divmod(both[k], FUNCTION + 1)), times[k]
 
-    word_tables = _tables(train.where(key >= share), log2, WORD_TABLES, count_words)
+    word_tables = _tables(pairs, log2, WORD_TABLES, count_words)
     word_mixer = Mixer(lex.code, log2, _logits(word_tables), WORD_GATES)
-    left_out = written(train.where(key < share), "mixer")
-    for r in left_out.select("text").orderBy(F.xxhash64(F.lit(3), "text"), "text").limit(mixer_docs).collect():
-        data = np.frombuffer(r["text"].encode(), np.uint8)
-        for a in range(0, max(1, len(data)), 1 << 20):
-            t = lex.tokens(data[a: a + (1 << 20)], np.array([0, min(len(data) - a, 1 << 20)]))
-            contexts, gate = word_contexts(t.previous, t.function)
-            _, bit, x, g = word_mixer.inputs(t.ids, contexts, gate)
-            word_mixer.learn(x, g, bit)
-    for t, more in zip(word_tables, _tables(left_out, log2, WORD_TABLES, count_words)):
-        t += more
-    word_mixer.logits = _logits(word_tables)
+    word_mixer.weights = _learned(pairs, word_mixer, word_tables, word_decisions)
     del word_tables
 
     # new words are spelled like the word types of the training texts
+    words = counts.select("word")
+
+    def count_bytes(batches):
+        seen = np.zeros(256, np.int64)
+        for b in batches:
+            if b.num_rows:
+                seen += np.bincount(np.frombuffer(b" ".join(b.column(0).to_pylist()) + b" ", np.uint8), minlength=256)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(seen)], names=["byte", "c"])
+
     byte_counts = np.ones(256, np.int64)
-    wkey = F.pmod(F.xxhash64(F.lit(4), "word"), F.lit(1_000_000))
-    wshare = min(100_000, int(1_000_000 * mixer_words / max(1, types)))
-    sample = [bytes(r["word"]) for r in counts.where(wkey < wshare).orderBy(wkey, "word").limit(mixer_words).collect()]
-    for w in sample:
-        byte_counts += np.bincount(np.frombuffer(w + b" ", np.uint8), minlength=256)
+    for r in words.mapInArrow(count_bytes, "byte int, c long").groupBy("byte").agg(F.sum("c").alias("c")).collect():
+        byte_counts[r["byte"]] += r["c"]
     letters = Code(byte_counts.tolist())
 
     def count_letters(batches, tables):
@@ -458,16 +544,16 @@ def fit(train: DataFrame, log2: int, mixer_docs: int = MIXER_DOCS, mixer_words:
                 sym, contexts, _, _ = spelling(b.column(0).to_pylist())
                 _count_into(tables, letters, log2, sym, contexts)
 
-    byte_tables = _tables(counts.where(wkey >= wshare).select("word"), log2, BYTE_TABLES, count_letters)
+    def letter_decisions(batches):
+        for b in batches:
+            for a in range(0, b.num_rows, 2000):
+                sym, contexts, gate, _ = spelling(b.column(0).slice(a, 2000).to_pylist())
+                yield sym, contexts, gate, np.ones(len(sym))
+
+    byte_tables = _tables(words, log2, BYTE_TABLES, count_letters)
     byte_mixer = Mixer(letters, log2, _logits(byte_tables), BYTE_GATES)
-    for _ in range(2):
-        for a in range(0, len(sample), 2000):
-            sym, contexts, gate, _ = spelling(sample[a: a + 2000])
-            _, bit, x, g = byte_mixer.inputs(sym, contexts, gate)
-            byte_mixer.learn(x, g, bit)
-    for t, more in zip(byte_tables, _tables(counts.where(wkey < wshare).select("word"), log2, BYTE_TABLES, count_letters)):
-        t += more
-    byte_mixer.logits = _logits(byte_tables)
+    byte_mixer.weights = _learned(words, byte_mixer, byte_tables, letter_decisions)
+    del byte_tables
     model = Model(lex, word_mixer, byte_mixer, total - held, types - len(top), total + ends, types + (ends > 0))
     return model, counts
 

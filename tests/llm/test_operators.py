@@ -172,6 +172,43 @@ def test_repeated_windows(docs, empty, hot, monkeypatch):
     assert repeats.op3(empty).count() == 0
 
 
+def test_lm_learns_from_every_text(spark):
+    """Weights and byte code come from all texts: no share of them is set
+    aside, and a text that a sample would pass over moves the weights."""
+    rows = [(k, " ".join(f"w{(k * j) % 17} the" for j in range(30))) for k in range(60)]
+    base, _ = lm.fit(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    fresh = lm.Mixer(base.lexicon.code, 16, base.words.logits, lm.WORD_GATES).weights
+    assert (base.words.weights != fresh).any() and (base.letters.weights != lm.Mixer(
+        base.letters.code, 16, base.letters.logits, lm.BYTE_GATES).weights).any()
+    met = []
+
+    def seen(rows_, mixer, tables, decisions, real=lm._learned):
+        met.append((rows_.count(), sum(int(t.sum()) for t in tables[:1])))
+        return real(rows_, mixer, tables, decisions)
+
+    real, lm._learned = lm._learned, seen
+    try:
+        lm.fit(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    finally:
+        lm._learned = real
+    sym = base.words.code.length
+    tokens = [w for _, t in rows for w in t.encode().split()] + [None] * len(rows)
+    ids = [base.lexicon.end if w is None else base.lexicon.ids[w] for w in tokens]
+    assert met[0][1] == int(sym[ids].sum())  # decisions of all tokens
+    types = {w for w in tokens if w}
+    assert met[1][0] == len(types)
+    again, _ = lm.fit(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    assert np.allclose(again.words.weights, base.words.weights)
+
+
+def test_lm_decision_is_left_out_of_its_counts():
+    t = np.array([3, 1, 0, 2], np.float32)  # two slots: 3 zeros and 1 one; 2 ones
+    got = lm.apart_logits([t])[0]
+    f = lambda a, b: lm.table_logits(np.float32([a]), np.float32([b]))[0]
+    assert got.tolist() == [f(2, 1), f(3, 0), f(0, 2), f(0, 1)]
+
+
+
 def test_periodic_and_colliding_windows():
     line = b" ".join([b"a"] * 40)
     flags = repeats.repeated_windows([line, b" ".join(b"u%d" % i for i in range(36))], np.array([1, 1]), 35)
