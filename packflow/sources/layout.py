@@ -17,14 +17,19 @@ from packflow.session import shared_path
 MONTH = "Month"
 
 
+def dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """The rows of a bucket of a month in one task, the months of a bucket in
+    many: what a task reads does not grow with the rows of a whole bucket."""
+    return rows.repartition(F.pmod(F.hash("SkuId"), F.lit(buckets)), F.col(MONTH))  # Spark's own bucket number
+
+
 def save_master(master: DataFrame, name: str, buckets: int = 64, path: str | None = None) -> None:
     """Write the panel as table ``name``: partitioned by month (``yyyy-MM``, a
     null date has its own folder), bucketed and sorted by SKU and date. A bucket
-    of a month is one file: rows are dealt to buckets before the write."""
+    of a month is one file: rows are dealt to (bucket, month) before the write."""
     spark = master.sparkSession
     path = path or shared_path(spark, "layout", name)
-    (master.withColumn(MONTH, F.date_format("Date", "yyyy-MM"))
-     .repartition(buckets, "SkuId")
+    (dealt(master.withColumn(MONTH, F.date_format("Date", "yyyy-MM")), buckets)
      .write.mode("overwrite").option("path", path).partitionBy(MONTH)
      .bucketBy(buckets, "SkuId").sortBy("SkuId", "Date").saveAsTable(name))
 

@@ -74,3 +74,16 @@ def test_bucketed_windows_do_not_shuffle(spark, tmp_path):
     daily = rows.groupBy("SkuId", "Date").agg(F.sum("SalesOrderQty").alias("SalesOrderQty"))
     plan = FE.lag_features(daily)._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Exchange" not in plan
+
+
+def test_layout_deals_a_bucket_over_many_tasks(spark):
+    """The months of one bucket do not meet in one task; a month of it does."""
+    rows = spark.range(600).select(F.concat(F.lit("P"), F.col("id") % 7).alias("SkuId"),
+                                   F.concat(F.lit("1995-"), F.col("id") % 12).alias("Month"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        at = LY.dealt(rows, 1).withColumn("task", F.spark_partition_id()).select("Month", "task").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len({r["task"] for r in at}) > 1 and len(at) == 12
