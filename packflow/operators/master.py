@@ -115,7 +115,14 @@ def promo_flag(df: DataFrame, flag: str = "snap_flag") -> DataFrame:
 
 def join_signals(sales: DataFrame, others: dict[str, DataFrame | None]) -> DataFrame:
     """Sales left-joined with the other signals on (Date, SkuId);
-    an absent signal or a gap -> 0."""
+    an absent signal or a gap -> 0. Signals given as wide lines
+    (``sources.wide``) meet as lines, on all their id columns, and are unpivoted
+    and parsed after that."""
+    if not isinstance(sales, DataFrame):
+        long = sales.long_with({k: v for k, v in others.items() if v is not None})
+        parsed = parse_quantities(long, [sales.value, *[k for k, v in others.items() if v is not None]])
+        return parsed.withColumns({k: F.lit(0.0) for k, v in others.items() if v is None}).na.fill(
+            0.0, subset=list(others)).select(*sales.ids, "SkuId", sales.value, *others)
     base = sales
     for name, df in others.items():
         if df is None:

@@ -74,7 +74,7 @@ def q_read_wide_panel(spark, d):
     # whole lines: a separator that no line holds
     B.wide_block_lines(spark, d).write.option("header", True).option("sep", "\x01").csv(f"{root}/Sales Order.csv")
     _write_csv(B.wide_panel(spark, d), f"{root}/weekly sales order.csv")  # a similar name: the first one is read
-    cells = FS.read_signal(spark, root, "SalesOrderQty", ("Date", "Block"))
+    cells = FS.read_signal(spark, root, "SalesOrderQty", ("Date", "Block"), together=["Block"])
     qty = F.col("SalesOrderQty")
     per = cells.groupBy("Block", "SkuId").agg(
         F.count("Date").alias("n_days"), F.count_if(qty > 0).alias("n_sold"), F.sum(qty).alias("total"),
@@ -101,12 +101,12 @@ _SIG_PARTS = {
           COALESCE(g.dl, 0.0e0) AS "DeliveryQty", COALESCE(g.fi, 0.0e0) AS "FactoryIssueQty"
           FROM long_slots l LEFT JOIN sig_lines g ON l."Date" = g."Date" AND l."SkuId" = g."SkuId\"""", _SIG_PARTS)
 def q_read_signals(spark, d):
-    """S02 read_signals: four wide CSVs -> long signals -> J01 join."""
+    """S02 read_signals: four wide CSVs -> J01 join of their lines -> long signals."""
     root = _root(spark, "signals")
     _write_signals(spark, d, root)
-    sig = FS.read_signals(spark, root, ("Date", "PlantId"))
-    sig = {k: v.withColumn("SkuId", B.slot_sku("PlantId", "SkuId")).drop("PlantId") for k, v in sig.items()}
-    return M.join_signals(sig["SalesOrderQty"], {k: v for k, v in sig.items() if k != "SalesOrderQty"})
+    sig = FS.read_signals(spark, root, ("Date", "PlantId"), long=False)
+    long = M.join_signals(sig["SalesOrderQty"], {k: v for k, v in sig.items() if k != "SalesOrderQty"})
+    return long.withColumn("SkuId", B.slot_sku("PlantId", "SkuId")).drop("PlantId")
 
 
 @query("resolve_source", WIDE_OUT,

@@ -106,12 +106,13 @@ def _first_path(spark: SparkSession, path) -> str | None:
     return next((f for f in (first_match(spark, g) for g in path) if f is not None), None)
 
 
-def read_wide(spark: SparkSession, path, id_cols: Sequence[str] = ("Date",)) -> WideLines | None:
+def read_wide(spark: SparkSession, path, id_cols: Sequence[str] = ("Date",),
+              together: Sequence[str] = ()) -> WideLines | None:
     """Wide daily CSV, first column the date, then (after further id
     columns) one column per SKU, as lines with one array column: any number of
     SKUs. ``.long(...)`` unpivots it, ``.columns(...)`` takes a few SKUs."""
     found = _first_path(spark, path)
-    return None if found is None else read_wide_lines(spark, found, id_cols, rename_first="Date")
+    return None if found is None else read_wide_lines(spark, found, id_cols, rename_first="Date", together=together)
 
 
 def read_wide_panel(spark: SparkSession, path) -> DataFrame | None:
@@ -124,20 +125,29 @@ def read_wide_panel(spark: SparkSession, path) -> DataFrame | None:
 
 
 def read_signal(spark: SparkSession, root: str | Sequence[str], value_name: str,
-                id_cols: Sequence[str] = ("Date",)) -> DataFrame | None:
+                id_cols: Sequence[str] = ("Date",), together: Sequence[str] = ()) -> DataFrame | None:
     """One signal in long form: wide lines -> exploded by the header -> parsed
-    date and qty, in one stage however many SKUs the file has."""
-    wide = read_wide(spark, resolve_source(root, SIGNAL_FILES[value_name]), id_cols)
-    if wide is None:
-        return None
-    wide.rows = parse_dates(wide.rows)  # once a line, not once a cell
-    return parse_quantities(wide.long(value_name), [value_name])
+    date and qty, in one stage however many SKUs the file has. ``together``:
+    see ``read_wide_lines``."""
+    wide = read_signal_lines(spark, root, value_name, id_cols, together)
+    return None if wide is None else parse_quantities(wide.long(value_name), [value_name])
+
+
+def read_signal_lines(spark: SparkSession, root: str | Sequence[str], value_name: str,
+                      id_cols: Sequence[str] = ("Date",), together: Sequence[str] = ()) -> WideLines | None:
+    """The lines of one signal, dates parsed once a line, not once a cell."""
+    wide = read_wide(spark, resolve_source(root, SIGNAL_FILES[value_name]), id_cols, together)
+    if wide is not None:
+        wide.rows, wide.value = parse_dates(wide.rows), value_name
+    return wide
 
 
 def read_signals(spark: SparkSession, root: str | Sequence[str],
-                 id_cols: Sequence[str] = ("Date",)) -> dict[str, DataFrame | None]:
-    """The four signals; an absent file gives ``None``."""
-    return {k: read_signal(spark, root, k, id_cols) for k in SIGNAL_FILES}
+                 id_cols: Sequence[str] = ("Date",), long: bool = True) -> dict[str, DataFrame | WideLines | None]:
+    """The four signals, in long form or (``long=False``) as lines, which
+    ``join_signals`` joins before it unpivots them; an absent file gives ``None``."""
+    read = read_signal if long else read_signal_lines
+    return {k: read(spark, root, k, id_cols) for k in SIGNAL_FILES}
 
 
 NODE_SCHEMA = T.StructType([T.StructField("Node", T.StringType())])
