@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packflow.llm.common import buckets_for, prepare, release_worker_state, text_chars, texts, written
+from packflow.llm.common import buckets_for, prepare, release_worker_state, text_chars, texts, tidy, tidy_groups, written
 from packflow.llm.graph import Forest
 from packflow.llm.graph import components as graph_components
 from packflow.llm.words import Words, mix, slices, span_hash, windows
@@ -180,7 +180,7 @@ def _requests(docs: DataFrame, size: int, buckets: int) -> DataFrame:
         if ids:
             yield batch_of(flush())
 
-    return docs.mapInArrow(run, REQUEST)
+    return docs.mapInArrow(tidy(run), REQUEST)
 
 
 def df_class(df: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ def _answers(requests: DataFrame, buckets: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(8)],
                                     names=["block", "bucket", "docs", "counts", "tokens", "class", "hot", "hot_class"])
 
-    return requests.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, REPLY)
+    return requests.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_groups(run), REPLY)
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -306,7 +306,7 @@ def _routed(replies: DataFrame, blocks: int, buckets: int, percent: int) -> Data
         return pa.Table.from_arrays([pa.array([o[j] for o in out], kinds[j]) for j in range(9)],
                                     names=["kind", "doc_id", "n", "tokens", "bucket", "keys", "nodes", "block", "cls"])
 
-    return replies.repartition(blocks, "block").groupBy("block").applyInArrow(run, ROUTED)
+    return replies.repartition(blocks, "block").groupBy("block").applyInArrow(tidy_groups(run), ROUTED)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -332,7 +332,7 @@ def _meetings(rows: DataFrame, buckets: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return rows.select("bucket", "keys", "nodes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        run, "a long, b long")
+        tidy_groups(run), "a long, b long")
 
 
 class SignatureTree:
@@ -470,7 +470,7 @@ def _inside(members: DataFrame, tasks: int, percent: int, every: bool) -> DataFr
         return _link_table([x for rows in groups.values() if len(rows) > 1 for x in _links(rows, None, percent, every)])
 
     return (members.withColumn("task", F.pmod(F.xxhash64("root", "chunk"), F.lit(tasks)).cast("int"))
-            .repartition(tasks, "task").groupBy("task").applyInArrow(run, LINKS))
+            .repartition(tasks, "task").groupBy("task").applyInArrow(tidy_groups(run), LINKS))
 
 
 def _across(members: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -488,7 +488,7 @@ def _across(members: DataFrame, percent: int, every: bool) -> DataFrame:
     right = chunks.select("root", F.col("chunk").alias("j"), F.col("rows").alias("right"))
     pairs = left.select("root", "i").join(right.select("root", "j"), "root").where("i < j")
     return (pairs.join(left, ["root", "i"]).join(right, ["root", "j"]).select("left", "right")
-            .mapInArrow(run, LINKS))
+            .mapInArrow(tidy(run), LINKS))
 
 
 def _joined(every: DataFrame, size: int, percent: int, all_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
