@@ -24,13 +24,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packflow.llm.common import folds, prepare, text_chars, texts, written
-from packflow.llm.words import LOWER, Words, prefix, slices
+from packflow.llm.words import prefix, slices
 
 FREQUENT = 1 << 16  # most words with a path of their own
 FUNCTION = 64  # most frequent words that count as function words
@@ -42,7 +43,11 @@ DEPTHS = 8
 SHARPNESS = (0.75, 1.0, 1.3)  # factors of the mixed logit that a document chooses from as it is read
 SLICE = 6 << 20  # bytes of text at once
 STEP = 40_000  # symbols at once
+LEARN = 4096  # decisions of a gradient step
+PART = 8 * LEARN  # decisions at once: what they need stays in the processor's cache
+WORDS = 20_000  # escaped words at once
 _U4 = np.uint32
+HALF = np.arange(1 << 16, dtype=np.uint16).view(np.float16).astype(np.float32)  # value of each half-precision pattern
 
 
 class Code:
@@ -70,17 +75,30 @@ class Code:
                 nodes.append(node)
                 bits.append(bit)
             start.append(len(nodes))
-        self.nodes, self.bits = np.array(nodes, _U4), np.array(bits, np.int8)
-        self.start = np.array(start, np.int32)
+        self.nodes, self.bits = np.array(nodes, _U4), np.array(bits, _U4)
+        self.start = np.array(start, np.int64)
         self.length = np.diff(self.start)
+        self.hashes = self.nodes * _U4(0x85EBCA6B)
+        depth = np.arange(len(nodes)) - np.repeat(self.start[:-1], self.length)
+        self.deep = np.minimum(depth, DEPTHS - 1).astype(np.int8)
 
-    def expand(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Decisions of a symbol sequence: symbol place, node, bit, depth."""
+    def expand(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Decisions of a symbol sequence: symbol place, and place in the flat arrays."""
         per = self.length[sym]
-        place = np.repeat(np.arange(len(sym), dtype=np.int32), per)
-        depth = np.arange(len(place), dtype=np.int32) - np.repeat(np.cumsum(per, dtype=np.int32) - per, per)
-        at = self.start[sym][place] + depth
-        return place, self.nodes[at], self.bits[at], depth
+        ends = np.cumsum(per)
+        place = np.repeat(np.arange(len(sym)), per)
+        at = np.arange(len(place)) + np.repeat(self.start[sym] - ends + per, per)
+        return place, at
+
+    def parts(self, sym: np.ndarray):
+        """Ranges of symbols with about ``PART`` decisions each."""
+        ends = np.cumsum(self.length[sym])
+        a = 0
+        while a < len(sym):
+            b = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PART, side="right"))
+            b = max(a + 1, b)
+            yield a, b
+            a = b
 
 
 def hashed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -88,10 +106,16 @@ def hashed(x: np.ndarray, seed: int) -> np.ndarray:
     return (h >> np.uint64(32)).astype(_U4)
 
 
-def slots(context: np.ndarray, place: np.ndarray, node: np.ndarray, log2: int) -> np.ndarray:
-    """Table slots of all decisions under one context."""
-    h = (context[place] + node * _U4(0x85EBCA6B)) * _U4(0xC2B2AE35)
-    return (h >> _U4(32 - log2)).astype(np.int64)
+def slots(context: np.ndarray, node_hash: np.ndarray, log2: int, bit: np.ndarray | None = None) -> np.ndarray:
+    """Table slots of decisions, from the context of each and the hash of its
+    node; with ``bit``, of a table that has a value for either outcome."""
+    h = context + node_hash
+    h *= _U4(0xC2B2AE35)
+    h >>= _U4(32 - log2)
+    if bit is not None:
+        h <<= _U4(1)
+        h |= bit
+    return h.astype(np.int64)
 
 
 class Mixer:
@@ -102,42 +126,65 @@ class Mixer:
         self.weights = np.full((gates * DEPTHS, len(logits) + 1), 1.0 / max(1, len(logits)) + 0.15, np.float32)
         self.weights[:, -1] = 0
 
-    def inputs(self, sym: np.ndarray, contexts: list[np.ndarray], gate: np.ndarray) -> tuple:
-        place, node, bit, depth = self.code.expand(sym)
-        x = [t[slots(c, place, node, self.log2)] for t, c in zip(self.logits, contexts)]
-        g = gate[place] * DEPTHS + np.minimum(depth, DEPTHS - 1)
-        return place, bit, x, g
-
-    def apart(self, tables: list[np.ndarray], sym: np.ndarray, contexts: list[np.ndarray], gate: np.ndarray) -> tuple:
-        """As ``inputs``, from ``apart_logits``: decisions predicted without themselves."""
-        place, node, bit, depth = self.code.expand(sym)
-        x = [t[2 * slots(c, place, node, self.log2) + bit] for t, c in zip(tables, contexts)]
-        return place, bit, x, gate[place] * DEPTHS + np.minimum(depth, DEPTHS - 1)
-
-    def logit(self, x: list[np.ndarray], g: np.ndarray) -> np.ndarray:
-        out = self.weights[:, -1][g]
-        for k, v in enumerate(x):
-            out = out + self.weights[:, k][g] * v
-        return out
-
-    def learn(self, x: list[np.ndarray], g: np.ndarray, bit: np.ndarray, times: np.ndarray, step: float = 0.02,
-              batch: int = 4096) -> None:
+        self.alone: np.ndarray | None = None
+
+    def inputs(self, place: np.ndarray, at: np.ndarray, contexts: list[np.ndarray], gate: np.ndarray,
+               apart: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bits, logits by context and weight rows of decisions (from
+        ``Code.expand``). The first context is the same everywhere, so its logits
+        are kept by place in the code. ``apart``: the logits are those of
+        ``apart_logits``, decisions predicted without themselves."""
+        code = self.code
+        if self.alone is None:
+            s = slots(contexts[0][:1], code.hashes, self.log2, code.bits if apart else None)
+            self.alone = self.logits[0][s].astype(np.float32)
+        bit, node = code.bits[at], code.hashes[at]
+        x = np.empty((len(self.logits), len(at)), np.float32)
+        x[0] = self.alone[at]
+        for k in range(1, len(x)):
+            s = slots(contexts[k][place], node, self.log2, bit if apart else None)
+            # looked up: numpy's own conversion of half precision takes longer
+            np.take(HALF, self.logits[k].view(np.uint16).take(s), out=x[k], mode="clip")
+        return bit, x, (gate * DEPTHS)[place] + code.deep[at]
+
+    def logit(self, x: np.ndarray, g: np.ndarray) -> np.ndarray:
+        return mixed(np.ascontiguousarray(self.weights.T), x, g)
+
+    def learn(self, x: np.ndarray, g: np.ndarray, bit: np.ndarray, times: np.ndarray, step: float = 0.02,
+              batch: int = LEARN) -> None:
         """Online gradient steps over the decisions in order, each met ``times`` times."""
+        weights = np.ascontiguousarray(self.weights.T)
+        rows = weights.shape[1]
         for a in range(0, len(bit), batch):
             s = slice(a, a + batch)
-            xs = [v[s] for v in x]
-            err = times[s] * (bit[s] - 1.0 / (1.0 + np.exp(-np.clip(self.logit(xs, g[s]), -30, 30))))
-            n = np.maximum(1.0, np.bincount(g[s], weights=times[s], minlength=len(self.weights)))
-            n = np.maximum(n, n * n / batch)  # a step no longer than that of a batch without repeats
-            for k, v in enumerate([*xs, np.ones(len(err), np.float32)]):
-                rate = step if k < len(xs) else step / 4
-                self.weights[:, k] += (rate * np.bincount(g[s], weights=err * v, minlength=len(self.weights))
-                                       / np.sqrt(n)).astype(np.float32)
+            xs, gs, ts = x[:, s], g[s], times[s]
+            z = mixed(weights, xs, gs)
+            np.minimum(np.maximum(z, -30, out=z), 30, out=z)
+            err = ts * (bit[s].astype(np.float32) - 1.0 / (1.0 + np.exp(-z)))
+            n = np.maximum(1.0, np.bincount(gs, weights=ts, minlength=rows))
+            n = np.sqrt(np.maximum(n, n * n / batch))  # a step no longer than that of a batch without repeats
+            for k, v in enumerate(xs):
+                weights[k] += (step * np.bincount(gs, weights=err * v, minlength=rows) / n).astype(np.float32)
+            weights[-1] += (step / 4 * np.bincount(gs, weights=err, minlength=rows) / n).astype(np.float32)
+        self.weights[:] = weights.T
+
+
+def mixed(weights: np.ndarray, x: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Mixed logits: weights by input and weight row, the last input a constant."""
+    out = weights[-1][g]
+    for w, v in zip(weights, x):
+        by = w[g]
+        by *= v
+        out += by
+    return out
 
 
 def softplus(z: np.ndarray) -> np.ndarray:
     """log(1 + e^z) in single precision."""
-    return np.log(np.exp(np.clip(z, -30, 60)) + np.float32(1))
+    z = np.minimum(np.maximum(z, -30), 60)
+    np.exp(z, out=z)
+    z += np.float32(1)
+    return np.log(z, out=z)
 
 
 def cost(logit: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -158,38 +205,61 @@ class Lexicon:
 
     def __init__(self, words: list[bytes], counts: list[int], ends: int, rare: int):
         self.ids = {w: k for k, w in enumerate(words)}
+        self.words = pa.array(words, pa.large_binary())
         self.end, self.escape = len(words), len(words) + 1
         self.counts = np.array([*counts, ends, 0], np.int64)
         self.code = Code([*counts, ends, rare])
+        # a word's number as previous word: its own, or a class of its last two bytes
+        near = min(NEAR, len(words))
+        self.near = np.array([*range(near), *(NEAR + tail(w[-1], w[-2:][0]) for w in words[near:]), NEAR, NEAR], np.int64)
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> "Tokens":
         return Tokens(self, data, offsets)
 
 
+def tail(last, before):
+    return (last * 31 + before) % NEAR
+
+
+def lowered(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of texts, and word offsets per text."""
+    col = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    split = pc.ascii_split_whitespace(pc.ascii_lower(col))
+    words, per = split.flatten().cast(pa.large_binary()), split.offsets.to_numpy().astype(np.int64)
+    full = np.diff(ends_of(words)) > 0
+    if not full.all():  # next to a space at either end of a text
+        words = words.filter(pa.array(full))
+        per = np.concatenate([[0], np.cumsum(full)])[per]
+    return words, per - per[0]
+
+
+def ends_of(words: pa.Array) -> np.ndarray:
+    """Byte offsets of a large binary array's values."""
+    if len(words) == 0:
+        return np.zeros(1, np.int64)
+    return np.frombuffer(words.buffers()[1], np.int64)[words.offset: words.offset + len(words) + 1]
+
+
 class Tokens:
     """Tokens of a batch of texts: lower-cased words, ids with an end after
     each text, token offsets, and the word contexts as small numbers."""
 
     def __init__(self, lex: Lexicon, data: np.ndarray, offsets: np.ndarray):
-        data = LOWER[data]
-        w = Words(data, offsets)
-        raw = data.tobytes()
-        self.words: list[bytes] = []
-        for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
-            self.words += raw[a:b].split()
-        get, esc = lex.ids.get, lex.escape
-        ids = np.array([get(x, esc) for x in self.words], np.int64)
-        texts_n = len(offsets) - 1
-        self.at = w.docs + np.arange(texts_n + 1)  # one end for each text before
-        ends = self.at[1:] - 1
+        self.words, per = lowered(data, offsets)
+        found = pc.index_in(self.words, value_set=lex.words)
+        ids = found.fill_null(lex.escape).to_numpy().astype(np.int64)
+        self.at = per + np.arange(len(per))  # one end for each text before
         word_place = np.ones(int(self.at[-1]), bool)
-        word_place[ends] = False
+        word_place[self.at[1:] - 1] = False
         self.ids = np.full(len(word_place), lex.end, np.int64)
         self.ids[word_place] = ids
-        tails = np.zeros(len(word_place), np.int64)
-        last = data[w.ends - 1].astype(np.int64)
-        tails[word_place] = last * 31 + data[np.maximum(w.ends - 2, w.starts)]
-        own = np.where(self.ids < min(NEAR, lex.end), self.ids, NEAR + tails % NEAR)
+        own = lex.near[self.ids]
+        rare = np.flatnonzero(ids == lex.escape)
+        if len(rare):
+            off, raw = ends_of(self.words), np.frombuffer(self.words.buffers()[2], np.uint8)
+            last = off[rare + 1] - 1
+            own[self.ids == lex.escape] = NEAR + tail(raw[last].astype(np.int64), raw[np.maximum(last - 1, off[rare])])
         self.previous = np.empty_like(own)
         self.previous[1:] = own[:-1]
         self.previous[self.at[:-1]] = 2 * NEAR
@@ -199,11 +269,15 @@ class Tokens:
         first = np.repeat(self.at[:-1], np.diff(self.at))
         self.function = np.where(before >= first, self.ids[np.maximum(before, 0)], FUNCTION)
 
-    def escaped(self, lex: Lexicon) -> tuple[np.ndarray, list[bytes]]:
-        """Text number and word of every escaped token."""
+    def escaped(self, lex: Lexicon) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Offsets per text, words and their counts in it, of the distinct escaped words of each text."""
         at = np.flatnonzero(self.ids == lex.escape)
         doc = np.searchsorted(self.at, at, side="right") - 1
-        return doc, [self.words[i] for i in (at - doc).tolist()]
+        words = self.words.take(pa.array(at - doc)).dictionary_encode()
+        many = max(1, len(words.dictionary))
+        key, tf = np.unique(doc * many + words.indices.to_numpy(), return_counts=True)
+        edges = np.searchsorted(key, np.arange(len(self.at)) * many)
+        return edges, words.dictionary.take(pa.array(key % many)), tf
 
 
 def word_contexts(previous: np.ndarray, function: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -226,8 +300,9 @@ def spelling(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
     """Bytes of words, each followed by a stop: symbols, contexts, gates, offsets."""
     data = b" ".join(words) + b" "
     sym = np.frombuffer(data, np.uint8).astype(np.int64)
-    at = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])
-    place = np.arange(len(sym)) - np.repeat(at[:-1], np.diff(at))
+    at = np.concatenate([[0], np.cumsum(list(map(len, words))) + np.arange(1, len(words) + 1)])
+    first = np.repeat(at[:-1], np.diff(at))
+    place = np.arange(len(sym)) - first
     back = []
     for k in range(1, 5):
         b = np.zeros(len(sym), np.int64)
@@ -235,8 +310,7 @@ def spelling(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
         b[place < k] = 0
         back.append(b)
     c, q = prefix(sym.astype(np.uint64) + np.uint64(1), 0xD6E8FEB86659FD93)
-    first = np.repeat(at[:-1], np.diff(at))
-    whole = ((c[np.arange(len(sym))] - c[first]) * q[first]).astype(np.uint64)
+    whole = (c[:-1] - c[first]) * q[first]
     two = back[0] << 8 | back[1]
     contexts = [hashed(np.zeros(len(sym), np.int64), 5), hashed(back[0], 6 << 40), hashed(two, 7 << 40),
                 hashed(two << 8 | back[2], 8 << 40), hashed(two << 16 | back[2] << 8 | back[3], 9 << 40),
@@ -246,6 +320,20 @@ def spelling(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
 
 # --- gathering --------------------------------------------------------------
 
+def gathered(batches, rows: int):
+    """Batches brought together until they have ``rows`` rows, none empty."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.num_rows
+        if size >= rows:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """word, c over all texts; map tasks count before the shuffle."""
     def run(batches):
@@ -310,9 +398,13 @@ def _logits(tables: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _count_into(tables: list[np.ndarray], code: Code, log2: int, sym: np.ndarray, contexts: list[np.ndarray]) -> None:
-    place, node, bit, _ = code.expand(sym)
-    for t, c in zip(tables, contexts):
-        np.add.at(t, 2 * slots(c, place, node, log2) + bit, _U4(1))
+    place, at = code.expand(sym)
+    # the first context is the same everywhere: decisions are added up by place in the code
+    np.add.at(tables[0], slots(contexts[0][:1], code.hashes, log2, code.bits),
+              np.bincount(at, minlength=len(code.bits)).astype(_U4))
+    node, bit = code.hashes[at], code.bits[at]
+    for t, c in zip(tables[1:], contexts[1:]):
+        np.add.at(t, slots(c[place], node, log2, bit), _U4(1))
 
 
 def apart_logits(tables: list[np.ndarray]) -> list[np.ndarray]:
@@ -360,14 +452,23 @@ def _count_pairs(lex: Lexicon, log2: int, tables: list[np.ndarray], ids: np.ndar
     """Adds the decisions of counted tokens to the word tables; equal (token,
     context) pairs are added up before their decisions are."""
     previous, function = np.divmod(both, FUNCTION + 1)
-    for k, c in enumerate((0, previous, function, both)):
-        key, at = np.unique(ids * PAIRS + c, return_inverse=True)
-        times = np.bincount(at, weights=n, minlength=len(key)).astype(_U4)
+    code = lex.code
+    for k, c in enumerate((np.zeros_like(both), previous, function, both)):
+        key = ids * PAIRS + c
+        if (key[1:] < key[:-1]).any():
+            order = np.argsort(key, kind="stable")
+            key, times = key[order], n[order]
+        else:
+            times = n
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        key, times = key[first], np.add.reduceat(times, first, dtype=_U4) if len(first) else times
         for a in range(0, len(key), STEP):
-            sym, c1 = np.divmod(key[a: a + STEP], PAIRS)
-            place, node, bit, _ = lex.code.expand(sym)
+            syms, c1 = np.divmod(key[a: a + STEP], PAIRS)
             context = word_contexts(*(np.divmod(c1, FUNCTION + 1) if k == 3 else (c1, c1)))[0][k]
-            np.add.at(tables[k], 2 * slots(context, place, node, log2) + bit, times[a: a + STEP][place])
+            for lo, hi in code.parts(syms):
+                place, at = code.expand(syms[lo:hi])
+                s = slots(context[lo:hi][place], code.hashes[at], log2, code.bits[at])
+                np.add.at(tables[k], s, times[a + lo: a + hi][place])
 
 
 class WordCounts:
@@ -412,9 +513,13 @@ def _learned(rows: DataFrame, mixer: Mixer, tables: list[np.ndarray], decisions)
         own = Mixer(code, size, apart, gates)
         met = np.zeros(len(own.weights))
         for sym, contexts, gate, times in decisions(batches):
-            place, bit, x, g = own.apart(apart, sym, contexts, gate)
-            own.learn(x, g, bit, times[place])
-            met += np.bincount(g, weights=times[place], minlength=len(met))
+            places, ats = code.expand(sym)
+            for a in range(0, len(ats), PART):
+                place = places[a: a + PART]
+                bit, x, g = own.inputs(place, ats[a: a + PART], contexts, gate, apart=True)
+                t = times[place]
+                own.learn(x, g, bit, t)
+                met += np.bincount(g, weights=t, minlength=len(met))
         at = np.flatnonzero(met)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int32()), pa.array((own.weights[at] * met[at, None]).astype(np.float64).tolist(), pa.list_(pa.float64())),
@@ -439,8 +544,11 @@ class Model:
     def spell(self, words: list[bytes]) -> np.ndarray:
         """Bits of each word's bytes."""
         sym, contexts, gate, at = spelling(words)
-        place, bit, x, g = self.letters.inputs(sym, contexts, gate)
-        c = np.bincount(place, weights=cost(self.letters.logit(x, g), bit), minlength=len(sym))
+        c = np.zeros(len(sym))
+        for a, b in self.letters.code.parts(sym):
+            place, ats = self.letters.code.expand(sym[a:b])
+            bit, x, g = self.letters.inputs(place, ats, [k[a:b] for k in contexts], gate[a:b])
+            c[a:b] = np.bincount(place, weights=cost(self.letters.logit(x, g), bit), minlength=b - a)
         return np.add.reduceat(c, at[:-1])
 
     def escaped(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
@@ -456,16 +564,19 @@ class Model:
         """Bits of every token under each sharpness (rows). They depend on the
         token and its contexts alone, so equal ones are computed once."""
         key, at = np.unique(t.ids * PAIRS + t.previous * (FUNCTION + 1) + t.function, return_inverse=True)
-        out = np.empty((len(SHARPNESS), len(key)), np.float32)
+        out, code = np.empty((len(SHARPNESS), len(key)), np.float32), self.words.code
         for a in range(0, len(key), STEP):
-            sym, pair = np.divmod(key[a: a + STEP], PAIRS)
+            syms, pair = np.divmod(key[a: a + STEP], PAIRS)
             contexts, gate = word_contexts(*np.divmod(pair, FUNCTION + 1))
-            place, bit, x, g = self.words.inputs(sym, contexts, gate)
-            z = self.words.logit(x, g)
-            z = np.where(bit == 1, -z, z)
-            start = np.concatenate([[0], np.cumsum(self.words.code.length[sym])])[:-1]
-            for k, by in enumerate(SHARPNESS):
-                out[k, a: a + STEP] = np.add.reduceat(softplus(z * np.float32(by)), start)
+            for lo, hi in code.parts(syms):
+                sym = syms[lo:hi]
+                place, ats = code.expand(sym)
+                bit, x, g = self.words.inputs(place, ats, [c[lo:hi] for c in contexts], gate[lo:hi])
+                z = self.words.logit(x, g)
+                z = np.where(bit == 1, -z, z)
+                start = np.cumsum(code.length[sym]) - code.length[sym]
+                for k, by in enumerate(SHARPNESS):
+                    out[k, a + lo: a + hi] = np.add.reduceat(softplus(z * np.float32(by)), start)
         return out[:, at] / np.float32(math.log(2))
 
     def score(self, t: Tokens) -> np.ndarray:
@@ -539,10 +650,9 @@ def fit(train: DataFrame, log2: int) -> tuple[Model, DataFrame]:
     letters = Code(byte_counts.tolist())
 
     def count_letters(batches, tables):
-        for b in batches:
-            if b.num_rows:
-                sym, contexts, _, _ = spelling(b.column(0).to_pylist())
-                _count_into(tables, letters, log2, sym, contexts)
+        for b in gathered(batches, 2000):
+            sym, contexts, _, _ = spelling(b.column(0).to_pylist())
+            _count_into(tables, letters, log2, sym, contexts)
 
     def letter_decisions(batches):
         for b in batches:
@@ -593,38 +703,29 @@ def scores(docs: DataFrame, train: DataFrame, log2: int | None = None) -> DataFr
                 frequent = ids != lex.escape
                 base = np.add.reduceat(np.where(frequent, log_count[ids], 0.0), at[:-1])
                 known = np.add.reduceat((frequent & (lex.counts[ids] > 0)).astype(np.int64), at[:-1])
-                docs_of, escaped = t.escaped(lex)
-                edges = np.searchsorted(docs_of, np.arange(n + 1)).tolist()
-                rare, tf, per = [], [], [0]
-                for d in range(n):
-                    miss = Counter(escaped[edges[d]: edges[d + 1]])
-                    rare += miss.keys()
-                    tf += miss.values()
-                    per.append(len(rare))
+                per, rare, tf = t.escaped(lex)
                 per = pa.array(per, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + np.arange(n)), b.column(0).slice(lo, n), pa.array(np.diff(at)), pa.array(np.diff(off)),
                      pa.array(known), pa.array(base), pa.array(bits),
-                     pa.ListArray.from_arrays(per, pa.array(rare, pa.binary())),
+                     pa.ListArray.from_arrays(per, rare.cast(pa.binary())),
                      pa.ListArray.from_arrays(per, pa.array(tf, pa.int64()))], names=PASS_NAMES)
                 row += n
 
     def rare_bits(batches):
         m = shared.value
-        for b in batches:
-            for a in range(0, b.num_rows, 50_000):
-                part = b.slice(a, 50_000)
-                words = part.column(1).dictionary_encode()
-                c = part.column(3).to_numpy(zero_copy_only=False)
-                own = words.dictionary.to_pylist()
-                at = words.indices.to_numpy(zero_copy_only=False)
-                count = np.zeros(len(own))
-                count[at] = c
-                each = m.escaped(own, count)
-                tf = part.column(2).to_numpy(zero_copy_only=False).astype(float)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(tf * np.log10(c + 1.0)), pa.array((tf * (c > 0)).astype(np.int64)),
-                     pa.array(tf * each[at])], names=["row", "base", "n_known", "bits"])
+        for part in gathered(batches, WORDS):
+            words = part.column(1).dictionary_encode()
+            c = part.column(3).to_numpy(zero_copy_only=False)
+            own = words.dictionary.to_pylist()
+            at = words.indices.to_numpy(zero_copy_only=False)
+            count = np.zeros(len(own))
+            count[at] = c
+            each = m.escaped(own, count)
+            tf = part.column(2).to_numpy(zero_copy_only=False).astype(float)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(tf * np.log10(c + 1.0)), pa.array((tf * (c > 0)).astype(np.int64)),
+                 pa.array(tf * each[at])], names=["row", "base", "n_known", "bits"])
 
     first = written(every.mapInArrow(run, PASS), "scores")
     rare = first.select("row", F.explode(F.arrays_zip("words", "tf")).alias("e")).select(

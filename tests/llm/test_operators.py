@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from packflow.llm import (anomaly, bpe, jaccard, language, lm, mixing, packing, repeats, secrets, topk)
@@ -208,6 +209,75 @@ def test_lm_decision_is_left_out_of_its_counts():
     assert got.tolist() == [f(2, 1), f(3, 0), f(0, 2), f(0, 1)]
 
 
+ODD = ["The cat the\tDOG ", "", "  ", "\n a\x1cb \x0b\u00c4b\x85 \u2003z the", "x", "cat\x00 the cat q q Q unseen"]
+
+
+def test_lm_tokens_equal_plain_words():
+    """Words, contexts and escaped words, taken without a Python object for
+    each word, equal those of a plain loop; small batches come together."""
+    lex = lm.Lexicon([b"the", b"cat", b"q"], [5, 3, 2], 6, 4)
+    raw = [t.encode() for t in ODD]
+    t = lex.tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    ids, previous, function, at, rare = [], [], [], [0], []
+    for r in raw:
+        before, last, miss = 2 * lm.NEAR, lm.FUNCTION, collections.Counter()
+        for w in [*r.lower().split(), None]:
+            k = lex.end if w is None else lex.ids.get(w, lex.escape)
+            ids.append(k)
+            previous.append(before)
+            function.append(last)
+            if w is not None:
+                before = k if k < 3 else lm.NEAR + (w[-1] * 31 + w[-2:][0]) % lm.NEAR
+                last = k if k < 3 else last
+                if k == lex.escape:
+                    miss[w] += 1
+        at.append(len(ids))
+        rare.append(miss)
+    assert t.ids.tolist() == ids and t.at.tolist() == at
+    assert t.previous.tolist() == previous and t.function.tolist() == function
+    edges, words_, tf = t.escaped(lex)
+    assert isinstance(t.words, pa.Array) and isinstance(words_, pa.Array)
+    got = list(zip(words_.to_pylist(), tf.tolist()))
+    assert [dict(got[a:b]) for a, b in zip(edges, edges[1:])] == rare
+    none = lex.tokens(np.zeros(0, np.uint8), np.zeros(3, np.int64))
+    assert none.ids.tolist() == [lex.end] * 2 and len(none.escaped(lex)[1]) == 0
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b))], names=["x"]) for a, b in ((0, 2), (2, 2), (2, 5), (5, 6), (6, 9))]
+    assert [b.column(0).to_pylist() for b in lm.gathered(batches, 4)] == [[0, 1, 2, 3, 4], [5, 6, 7, 8]]
+    assert list(lm.gathered(batches[1:2], 4)) == []
+
+
+def test_lm_lookups_equal_direct_ones(monkeypatch):
+    """Counts and looked-up logits, in parts of a few decisions, equal those of
+    every decision by itself."""
+    monkeypatch.setattr(lm, "PART", 7)
+    rng = np.random.RandomState(3)
+    lex = lm.Lexicon([f"w{k}".encode() for k in range(40)], list(range(80, 40, -1)), 30, 20)
+    ids, previous, function = rng.randint(0, 42, 300), rng.randint(0, 2 * lm.NEAR + 1, 300), rng.randint(0, lm.FUNCTION + 1, 300)
+    times = rng.randint(1, 5, 300).astype(np.uint32)
+    tables = [np.zeros(2 << 16, np.uint32) for _ in range(lm.WORD_TABLES)]
+    lm._count_pairs(lex, 16, tables, ids, previous * (lm.FUNCTION + 1) + function, times)
+    contexts, gate = lm.word_contexts(previous, function)
+    code, direct, places = lex.code, [np.zeros(2 << 16, np.int64) for _ in tables], []
+    for i, k in enumerate(ids):
+        for d, j in enumerate(range(code.start[k], code.start[k + 1])):
+            h = [((int(c[i]) + int(code.nodes[j]) * 0x85EBCA6B) * 0xC2B2AE35 % 2**32) >> 16 for c in contexts]
+            places.append((i, int(code.bits[j]), h, gate[i] * lm.DEPTHS + min(d, lm.DEPTHS - 1)))
+            for t, s in zip(direct, h):
+                t[2 * s + int(code.bits[j])] += times[i]
+    assert all((a == b).all() for a, b in zip(tables, direct))
+    counted = [t.astype(np.float32) for t in tables]
+    place, at = code.expand(ids)
+    assert place.tolist() == [p[0] for p in places]
+    for apart, logits in ((False, lm._logits(counted)), (True, lm.apart_logits(counted))):
+        bit, x, g = lm.Mixer(code, 16, logits, lm.WORD_GATES).inputs(place, at, contexts, gate, apart)
+        assert bit.tolist() == [p[1] for p in places] and g.tolist() == [p[3] for p in places]
+        for k, t in enumerate(logits):
+            assert x[k].tolist() == [float(t[2 * p[2][k] + p[1] if apart else p[2][k]]) for p in places]
+    parts = list(code.parts(ids))
+    assert len(parts) > 1 and [i for a, b in parts for i in range(a, b)] == list(range(300))
+
+
 
 def test_periodic_and_colliding_windows():
     line = b" ".join([b"a"] * 40)
