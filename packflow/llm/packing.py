@@ -20,6 +20,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +74,14 @@ def unpack(payload: bytes, bits: int, lo: int, hi: int) -> np.ndarray:
     return out.ravel()[lo - 8 * start: hi - 8 * start]
 
 
+SPACE = "\u0120"  # how the byte-level vocabulary writes a space
 #: a run of these at a chunk's end is a piece of its own after a letter or digit
 MARKS = ".,;:!?"
 MIXED = re.compile(r"\s | \s").search
 RARE_GAP = re.compile(r"[^\S \n]").search
+#: found in every text with mixed gaps (for Arrow, whose \s knows ASCII only)
+GAPS = (r"  | \n|\n |[\t\x{b}-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
 def mixed_gaps(text: str) -> bool:
@@ -99,36 +104,51 @@ class ChunkEncoder:
     def __init__(self, name: str):
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(str(public_tokenizers.path(name)))
         self.library.no_truncation()
         self.library.no_padding()
+        # chunks are remembered here: the library's own memory of words costs time only
+        self.library.model._resize_cache(0)
+        # the same model and vocabulary for words of ASCII letters, each a piece of its own
+        # with the space before it: split at the space's letter instead of by the pattern
+        self.letters = Tokenizer.from_str(self.library.to_str())
+        self.letters.pre_tokenizer = Split(SPACE, "merged_with_next")
+        self.letters.model._resize_cache(0)
         size = self.library.get_vocab_size(with_added_tokens=True)
         special = self.library.get_added_tokens_decoder()
-        self.starts_with_space = np.array([i not in special and (self.library.id_to_token(i) or "").startswith("\u0120")
+        self.starts_with_space = np.array([i not in special and (self.library.id_to_token(i) or "").startswith(SPACE)
                                            for i in range(size)])
-        # None stands for the place of a text's first chunk, which has no space
-        self.memory: dict[str | None, bytes] = {None: b""}
-        self.older: dict[str | None, bytes] = {}
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str], library=None) -> list[bytes]:
         """Ids of texts as little-endian 32-bit integers, by the library."""
-        return [array.array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        found = (library or self.library).encode_batch_fast(texts, add_special_tokens=False)
+        return [array.array("I", e.ids).tobytes() for e in found]
 
     def learn(self, chunks: list[str], group: int = 1000) -> None:
-        whole = [c for c in chunks if c and not c[-1].isspace()]
-        alone = [c for c in chunks if not c or c[-1].isspace()]
-        for a in range(0, len(whole), group):
-            part = whole[a: a + group]
-            raw = self.ids([" " + " ".join(part)])[0]
+        letters, whole, alone = [], [], []
+        for c in chunks:
+            (letters if c.isalpha() and c.isascii() else whole if c and not c[-1].isspace() else alone).append(c)
+        self.cut(letters, lambda part: self.ids([SPACE + SPACE.join(part)], self.letters)[0], alone, group)
+        self.cut(whole, lambda part: self.ids([" " + " ".join(part)])[0], alone, group)
+        self.memory.update(zip(alone, self.ids([" " + c for c in alone])))
+
+    def cut(self, chunks: list[str], encode, alone: list[str], group: int) -> None:
+        """Learn chunks from the ids of many together, cut where a token starts
+        with a space; groups that do not cut into their chunks join ``alone``."""
+        for a in range(0, len(chunks), group):
+            part = chunks[a: a + group]
+            raw = encode(part)
             cut = np.flatnonzero(self.starts_with_space[np.frombuffer(raw, np.uint32)])
             if len(cut) == len(part):
                 edges = [*(4 * cut).tolist(), len(raw)]
-                self.memory.update((c, raw[x:y]) for c, x, y in zip(part, edges, edges[1:]))
+                self.memory.update(zip(part, [raw[x:y] for x, y in zip(edges, edges[1:])]))
             else:
                 alone += part
-        self.memory.update(zip(alone, self.ids([" " + c for c in alone])))
 
     def learn_all(self, chunks: set[str]) -> None:
         """Learn chunks; one that ends in marks is its stem's ids and the marks'."""
@@ -141,38 +161,49 @@ class ChunkEncoder:
         stems -= chunks
         known = stems & self.older.keys()
         self.memory.update((c, self.older[c]) for c in known)
-        self.learn(list(((chunks | stems) - {c for c, _, _ in marked}) - self.memory.keys()))
-        tails = list({t for _, _, t in marked} - self.tails.keys())
+        # "set - dict.keys()" would walk through the whole memory
+        self.learn([c for c in (chunks | stems) - {c for c, _, _ in marked} if c not in self.memory])
+        tails = [t for t in {t for _, _, t in marked} if t not in self.tails]
         self.tails.update(zip(tails, self.ids(tails)))
         self.memory.update((c, self.memory[stem] + self.tails[t]) for c, stem, t in marked)
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian 32-bit integers, for each text."""
+    def encode_all(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids as little-endian 32-bit integers, for each text. Arrow splits the
+        texts, tells equal chunks and puts their ids together; only distinct
+        chunks are looked up."""
         if len(self.memory) > MEMORY:
-            self.older, self.memory = self.memory, {None: b""}
-        alone, found, open_places, missing = [], [], [], set()
-        get = self.memory.get
-        for t in texts:
-            if mixed_gaps(t):
-                alone.append(t)
-                found.append([])
-                continue
-            s: list = t.split(" ")
-            alone.append(s[0])
-            s[0] = None
-            ids = list(map(get, s))
-            found.append(ids)
-            if None in ids:
-                places = [(i, s[i]) for i, x in enumerate(ids) if x is None]
-                open_places.append((ids, places))
-                missing.update([c for _, c in places])
+            self.older, self.memory = self.memory, {}
+        col = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        plain = np.ones(len(col), bool)
+        for i in np.flatnonzero(pc.match_substring_regex(col, GAPS).to_numpy(zero_copy_only=False)).tolist():
+            plain[i] = not mixed_gaps(col[i].as_py())
+        split = pc.split_pattern(col.filter(pa.array(plain)), " ")
+        edges = split.offsets.to_numpy()
+        chunks = split.values.dictionary_encode()
+        # the place after the last chunk stands for a text's first one, which has no space
+        place = chunks.indices.to_numpy().astype(np.int64)
+        place[edges[:-1]] = len(chunks.dictionary)
+        used = np.zeros(len(chunks.dictionary) + 1, bool)
+        used[place] = True
+        names = chunks.dictionary.take(pa.array(np.flatnonzero(used[:-1])))
+        names = names.to_numpy(zero_copy_only=False).tolist()  # quicker than to_pylist
+        ids = list(map(self.memory.get, names))
+        new = [i for i, x in enumerate(ids) if x is None]
+        missing = {names[i] for i in new}
         again = missing & self.older.keys()
         self.memory.update((c, self.older[c]) for c in again)
         self.learn_all(missing - again)
-        for ids, places in open_places:
-            for i, c in places:
-                ids[i] = self.memory[c]
-        return [h + b"".join(ids) for h, ids in zip(self.ids(alone), found)]
+        for i in new:
+            ids[i] = self.memory[names[i]]
+        found = pa.array([*ids, b""], pa.large_binary()).take(pa.array((np.cumsum(used) - 1)[place]))
+        _, ends, data = found.buffers()
+        cut = np.frombuffer(ends, np.int64)[edges].tolist() if len(found) else [0]
+        rest = zip(cut, cut[1:])
+        alone = col.to_pylist()
+        for i, head in zip(np.flatnonzero(plain).tolist(), split.values.take(pa.array(edges[:-1])).to_pylist()):
+            alone[i] = head
+        raw = memoryview(data or b"")
+        return [h + raw[slice(*next(rest))] if p else h for h, p in zip(self.ids(alone), plain.tolist())]
 
 
 @functools.lru_cache(maxsize=2)
@@ -210,7 +241,7 @@ def encode_blocks(docs: DataFrame, name: str, end_id: int, bits: int, block_ids:
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
-                for i, e in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1).to_pylist())):
+                for i, e in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1))):
                     ids.append(i)
                     parts.append(e + end)
                     held += len(e) // 4 + 1

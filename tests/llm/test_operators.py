@@ -84,6 +84,30 @@ def test_chunks_equal_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_all(texts)] == want
 
 
+def test_chunks_looked_up_once_a_batch():
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *key):
+            self.looked += 1
+            return super().get(*key)
+
+    enc = packing.ChunkEncoder("byte_bpe_50k.json")
+    enc.memory = Counted(enc.memory)
+    texts = ["one two. two three" + " four" * 500, "", "a  b", "five" + " four" * 500 + " Zw\u00f6lf's **"]
+    want = [e.ids for e in enc.library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_all(texts)] == want
+    assert enc.memory.looked <= 2 * 6
+
+
+def test_gaps_hold_all_white_space():
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    found = pa.compute.match_substring_regex(pa.array(every), packing.GAPS).to_pylist()
+    assert [c for c, x in zip(every, found) if x] == [c for c in every if c.isspace() and c not in " \n"]
+    assert all(pa.compute.match_substring_regex(pa.array(["a  b", "a \nb", "a\n b"]), packing.GAPS).to_pylist())
+
+
 # 2 ---------------------------------------------------------------------------
 
 def test_base_scores(docs, empty):
