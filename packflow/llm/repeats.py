@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packflow.llm.common import buckets_for, prepare, text_chars, texts, written
+from packflow.llm.common import buckets_for, prepare, text_chars, texts, tidy, tidy_groups, written
 from packflow.llm.words import Words, mix, slices, span_hash, windows
 
 K, M = 35, 4
@@ -79,7 +79,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield flush()
 
-    return docs.mapInArrow(run, ROW)
+    return docs.mapInArrow(tidy(run), ROW)
 
 
 class Block:
@@ -173,7 +173,7 @@ def _minimisers(blocks: DataFrame, buckets: int, k: int, m: int) -> DataFrame:
                         for x, a, e in zip(own, cut, np.append(cut[1:], len(b)))]
                 yield pa.RecordBatch.from_arrays(_rows(rows), names=NAMES)
 
-    return blocks.mapInArrow(run, ROW)
+    return blocks.mapInArrow(tidy(run), ROW)
 
 
 def _shared(minimisers: DataFrame, buckets: int) -> DataFrame:
@@ -193,7 +193,7 @@ def _shared(minimisers: DataFrame, buckets: int) -> DataFrame:
             out.append((r["block"], 1, r["bucket"], (t[keep] >= HOT).tobytes(), key[keep].tobytes()))
         return pa.Table.from_arrays(_rows(out), names=NAMES)
 
-    return minimisers.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, ROW)
+    return minimisers.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_groups(run), ROW)
 
 
 def _shared_sets(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +214,7 @@ def _strings(rows: DataFrame, parts: int, buckets: int, k: int, m: int) -> DataF
                 _zip(b"\n".join(s))) for b, s in by.items()]
         return pa.Table.from_arrays(_rows(out), names=NAMES)
 
-    return rows.repartition(parts, "block").groupBy("block").applyInArrow(run, ROW)
+    return rows.repartition(parts, "block").groupBy("block").applyInArrow(tidy_groups(run), ROW)
 
 
 def repeated_windows(lines: list[bytes], weights: np.ndarray, k: int) -> np.ndarray:
@@ -265,7 +265,7 @@ def _answers(strings: DataFrame, buckets: int, k: int) -> DataFrame:
                for r, a, b in zip(rows, cut, cut[1:]) if flags[a:b].any()]
         return pa.Table.from_arrays(_rows(out), names=NAMES)
 
-    return strings.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, ROW)
+    return strings.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_groups(run), ROW)
 
 
 def _finish(rows: DataFrame, parts: int, buckets: int, k: int, m: int) -> DataFrame:
@@ -306,7 +306,7 @@ def _finish(rows: DataFrame, parts: int, buckets: int, k: int, m: int) -> DataFr
              pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
             names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    return rows.repartition(parts, "block").groupBy("block").applyInArrow(run, RESULT)
+    return rows.repartition(parts, "block").groupBy("block").applyInArrow(tidy_groups(run), RESULT)
 
 
 def remove_repeats(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:

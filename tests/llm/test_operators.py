@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from packflow.llm import (anomaly, bpe, jaccard, language, lm, mixing, packing, repeats, secrets, topk)
+from packflow.llm import (anomaly, bpe, common, jaccard, language, lm, mixing, packing, repeats, secrets, topk)
 from packflow.session import shared_path
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -189,6 +189,30 @@ def removed(data: list[tuple], k: int) -> dict:
     return out
 
 
+def test_window_groups_give_memory_back(monkeypatch):
+    class Rows:  # hands out the function of a group
+        def repartition(self, *_):
+            return self
+
+        def groupBy(self, *_):
+            return self
+
+        def applyInArrow(self, run, _):
+            return run
+
+    released = []
+    monkeypatch.setattr(common, "release_worker_state", lambda: released.append(1))
+    text = b"one two three two three"
+    counts = np.array([[7], [0], [len(text)]], np.int64).tobytes()
+    home = pa.Table.from_arrays(repeats._rows([(0, 0, None, counts, repeats._zip(text))]), names=repeats.NAMES)
+    line = pa.Table.from_arrays(repeats._rows([(0, 2, 0, np.array([2], np.uint32).tobytes(), repeats._zip(text))]), names=repeats.NAMES)
+    mini = pa.Table.from_arrays(repeats._rows([(0, 1, 0, np.array([2], np.uint32).tobytes(), bytes(8))]), names=repeats.NAMES)
+    assert repeats._finish(Rows(), 1, 1, 2, 2)(home).num_rows == 1 and len(released) == 1
+    assert repeats._strings(Rows(), 1, 1, 2, 2)(home).num_rows == 0 and len(released) == 2
+    assert repeats._answers(Rows(), 1, 2)(line).num_rows == 1 and len(released) == 3
+    assert repeats._shared(Rows(), 1)(mini).num_rows == 1 and len(released) == 4
+
+
 @pytest.mark.parametrize("hot", [512, 2])
 def test_repeated_windows(docs, empty, hot, monkeypatch):
     monkeypatch.setattr(repeats, "HOT", hot)
