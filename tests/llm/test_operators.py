@@ -382,6 +382,24 @@ def test_top_k(spark):
     assert topk.op5(table.limit(0)).count() == 0
 
 
+def test_top_k_moves_no_trees(spark, monkeypatch):
+    """Several shards and blocks, some of them empty: the same hits, and no row of the plan holds a tree."""
+    rng = np.random.RandomState(5)
+    x = rng.randint(-30, 30, (400, 6)).astype(float)
+    x[50:90] = x[7]
+    table = spark.createDataFrame([(i, (v / 1024).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk, "SHARD", 60)
+    monkeypatch.setattr(topk, "BLOCK", 1)
+    got = topk.top_k(table, every=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "tree" not in plan
+    want = []
+    for q in range(0, 400, 20):
+        best = sorted((-int(x[q] @ x[i]), i) for i in range(400) if i != q)[:10]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == sorted(want)
+
+
 # 6 ---------------------------------------------------------------------------
 
 def test_cross_parsing_counts():
