@@ -1,7 +1,7 @@
 """Scoring with a flattened forest.
 
-All trees of a fitted forest become five node arrays (feature, threshold, left,
-right, prediction), read from the model's own node table. One Arrow pass over
+All trees of a fitted forest become four node arrays (feature, threshold,
+children, prediction), read from the model's own node table. One Arrow pass over
 the rows walks every tree level by level with array gathers, so a row costs
 depth x trees array steps and the plan holds one operator instead of one
 projection for each tree. The arrays are broadcast in groups of trees whose
@@ -11,18 +11,19 @@ group, and a row carries its predictions of the groups before.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from packflow.session import shared_path
 
 GROUP_BYTES = 256 << 20
-NODE_BYTES = 32  # of one node in the five arrays
+NODE_BYTES = 40  # of one node in the arrays
 ROWS = 2048  # rows walked at once
 
 
@@ -57,17 +58,18 @@ class Flat:
         left, right = rows["left"].to_numpy()[order], rows["right"].to_numpy()[order]
         leaf = left < 0
         own = np.arange(len(tree))
-        self.left, self.right = np.where(leaf, own, base + left), np.where(leaf, own, base + right)
-        self.feature = np.where(leaf, 0, rows["feature"].to_numpy()[order]).astype(np.int32)
+        # left and right child of each node in turn; a leaf is its own child
+        self.child = np.column_stack([np.where(leaf, own, base + left), np.where(leaf, own, base + right)]).reshape(-1)
+        self.feature = np.where(leaf, 0, rows["feature"].to_numpy()[order]).astype(np.int64)
         self.threshold = np.where(leaf, np.inf, rows["threshold"].to_numpy(zero_copy_only=False)[order])
         self.prediction = rows["prediction"].to_numpy()[order]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Predictions of rows x trees."""
         at = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
-        row = np.arange(len(x))[:, None]
+        flat, row = np.ascontiguousarray(x).reshape(-1), np.arange(len(x))[:, None] * x.shape[1]
         while True:
-            below = np.where(x[row, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+            below = self.child[2 * at + ~(flat[row + self.feature[at]] <= self.threshold[at])]
             if (below == at).all():
                 return self.prediction[at]
             at = below
@@ -88,18 +90,27 @@ def tree_groups(nodes: DataFrame) -> list[list[int]]:
     return groups
 
 
-def tree_predictions(model: PipelineModel, frame: DataFrame, name: str = "_trees") -> DataFrame:
-    """``frame`` with ``name``: the predictions of the forest's trees, in order."""
+def tree_predictions(model: PipelineModel, frame: DataFrame, name: str = "_trees",
+                     summary: Callable[[np.ndarray], dict[str, np.ndarray]] | None = None,
+                     names: Sequence[str] = ()) -> DataFrame:
+    """``frame`` with ``name``: the predictions of the forest's trees, in
+    order; or, with a ``summary`` of rows x trees, with its columns ``names``
+    instead, made where the last group of trees is walked."""
     spark = frame.sparkSession
     nodes = node_table(model)
     features = model.stages[0].getInputCols()
     out = frame.withColumn(name, F.array().cast("array<double>"))
-    for group in tree_groups(nodes):
+    groups = tree_groups(nodes)
+    for group in groups:
         rows = nodes.where(F.col("tree").isin(group)).toArrow()  # at most GROUP_BYTES
         flat = spark.sparkContext.broadcast(Flat(rows))
+        made = summary if group is groups[-1] else None
         schema = out.schema
+        if made is not None:
+            schema = StructType([f for f in schema if f.name != name] + [StructField(c, DoubleType()) for c in names])
 
-        def walk(batches: Iterator[pa.RecordBatch], flat=flat, own=list(out.columns)) -> Iterator[pa.RecordBatch]:
+        def walk(batches: Iterator[pa.RecordBatch], flat=flat, own=list(out.columns), made=made,
+                 ends=schema.names) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for lo in range(0, b.num_rows, ROWS):
                     part = b.slice(lo, ROWS)
@@ -109,6 +120,11 @@ def tree_predictions(model: PipelineModel, frame: DataFrame, name: str = "_trees
                     got = flat.value.predict(x)
                     had = before.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
                     every = np.column_stack([had, got])
+                    if made is not None:
+                        found = made(every)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(found[c]) if c in found else part.column(own.index(c)) for c in ends], names=ends)
+                        continue
                     lists = pa.ListArray.from_arrays(
                         pa.array(np.arange(len(x) + 1) * every.shape[1], pa.int32()), pa.array(every.reshape(-1)))
                     columns = [lists if c == name else part.column(k) for k, c in enumerate(own)]
@@ -116,4 +132,3 @@ def tree_predictions(model: PipelineModel, frame: DataFrame, name: str = "_trees
 
         out = out.mapInArrow(walk, schema)
     return out
-

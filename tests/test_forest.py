@@ -95,3 +95,66 @@ def test_fit_reads_few_partitions(spark):
     assert got.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
     assert got.count() == 1000
     assert few_partitions(spark.range(5).repartition(1).toDF("x")).rdd.getNumPartitions() == 1
+
+
+def saved_nodes(spark, forest):
+    from packflow.session import shared_path
+    path = shared_path(spark, "test", "forest")
+    forest.write().save(path)
+    rows = spark.read.parquet(f"{path}/data").orderBy("treeID", "nodeData.id").collect()
+    return [(r["treeID"], *r["nodeData"][:9]) for r in rows]
+
+
+@pytest.mark.parametrize("block, group_bytes", [(64, 256 << 20), (1, 3000)])
+def test_fit_grows_mllib_trees(spark, monkeypatch, block, group_bytes):
+    """Without draws the packed fit has MLlib's nodes, whether a level is counted in one job or in several."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from packflow.operators import forest_fit as FF
+    monkeypatch.setattr(FF, "BLOCK", block)
+    monkeypatch.setattr(FF, "GROUP_BYTES", group_bytes)
+    rng = np.random.RandomState(1)
+    a, b, c = rng.rand(2500), rng.randint(0, 5, 2500), rng.randint(0, 300, 2500)
+    y = 10 * a + b * np.sin(3 * a) + 0.01 * c + rng.normal(size=2500)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(a, b, c, y)], "a double, b double, c double, y double")
+    df = df.withColumn("one", F.lit(1.0)).repartition(3).checkpoint()
+    cols = ["a", "b", "one", "c"]
+    rf = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=1, featureSubsetStrategy="all", maxDepth=4,
+                               seed=42, bootstrap=False)
+    want = saved_nodes(spark, rf.fit(VectorAssembler(inputCols=cols, outputCol="features").transform(df)))
+    got = saved_nodes(spark, FF.fit_forest(df, cols, "y", 1, 4, 42, bootstrap=False))
+    assert len(got) == len(want) > 25
+    for w, g in zip(want, got):
+        assert g[:2] + g[7:9] == w[:2] + w[7:9] and g[9][:2] == w[9][:2] and g[5] == w[5]
+        assert (*g[2:4], g[6], *g[4]) == pytest.approx((*w[2:4], w[6], *w[4]), abs=1e-9)
+
+
+def test_fit_draws_rows(spark):
+    """Trees differ, each draws as many rows as there are on average, and a fit can be repeated."""
+    from packflow.operators import forest_fit as FF
+    rng = np.random.RandomState(4)
+    df = spark.createDataFrame([(float(v), float(int(300 * v + 100 * e))) for v, e in zip(rng.rand(4000), rng.rand(4000))], "x double, y double").checkpoint()
+    one, two = (FF.fit_forest(df, ["x"], "y", 6, 5, 42) for _ in range(2))
+    assert saved_nodes(spark, one) == saved_nodes(spark, two)
+    roots = [n for n in saved_nodes(spark, one) if n[1] == 0]
+    assert len({n[2] for n in roots}) == 6 and all(abs(n[5] - 4000) < 350 for n in roots)
+    w = FF.draws(42, (0, 0), 3, 400_000)
+    assert w.mean() == pytest.approx(1, abs=0.01) and w.var() == pytest.approx(1, abs=0.02)
+    with pytest.raises(ValueError):
+        FF.fit_forest(df.limit(0), ["x"], "y", 2, 2, 1)
+    with pytest.raises(Exception, match="null|NaN"):
+        FF.fit_forest(df.withColumn("x", F.when(F.col("x") > 0.5, F.col("x"))), ["x"], "y", 2, 2, 1)
+
+
+def test_interval_gives_no_lists(spark, fitted, monkeypatch):
+    """The interval is taken where the trees are walked, in one group or several."""
+    df, model = fitted
+    one = FC.forecast_interval(model, df)
+    assert "array_sort" not in one._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(FO, "GROUP_BYTES", 20_000)
+    several = FC.forecast_interval(model, df)
+    assert several.schema == one.schema and sorted(several.collect()) == sorted(one.collect())
+    trees = np.array([r["_trees"] for r in FO.tree_predictions(model, df).collect()])
+    want = np.maximum(np.quantile(trees, 0.9, axis=1), 0)
+    assert [r["CI_Upper"] for r in one.collect()] == pytest.approx(list(want))
