@@ -56,6 +56,21 @@ def test_master_lines_meet_parts_in_one_shuffle(spark):
     assert p.count("Exchange hashpartitioning(Date") == 0
 
 
+def test_salted_parts_are_not_broadcast(spark, tmp_path):
+    """Parts repeated for each salt never go through the driver, however few bytes their file has."""
+    from packflow.sources import binding as B
+    rows = {"lineitem": "SELECT 1L l_orderkey, 11L l_partkey, 1L l_suppkey, 2.0D l_quantity, 9.0D l_extendedprice, 0.1D l_discount, "
+                        "0.1D l_tax, 'F' l_linestatus, TIMESTAMP'2020-01-05 00:00:00' l_shipdate",
+            "orders": "SELECT 1L o_orderkey, 5L o_custkey", "customer": "SELECT 5L c_custkey, 3 c_nationkey",
+            "part": "SELECT 11L p_partkey, 'T' p_type, 'B' p_brand, 4 p_size, 2.5D p_retailprice"}
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    for df in (B.master(spark, str(tmp_path)).select("Date").distinct(), B.sku_day_signals(spark, str(tmp_path)).select("Date", "SkuId")):
+        p = plan(df)
+        assert "SortMergeJoin [l_partkey" in p and not any("p_salt" in x for x in p.splitlines() if "BroadcastHashJoin" in x)
+        assert [str(r["Date"]) for r in df.collect()] == ["2020-01-05"]
+
+
 def test_history_days_meet_once(spark):
     """No shuffle carries a column for each day of the year."""
     from packflow.plans.q_sources import _history_wide
