@@ -162,18 +162,19 @@ def join_calendar(df: DataFrame, cal: DataFrame, cols: Sequence[str] | None = No
 def build_master(sales: DataFrame, production: DataFrame | None, delivery: DataFrame | None,
                  issue: DataFrame | None, bridge: DataFrame | None,
                  groups: DataFrame | None) -> DataFrame:
-    """Signals -> joined panel -> locations (fan-out) -> groups ->
-    defaults -> 15 columns. The sales signal is required."""
+    """Signals -> joined panel -> groups -> defaults -> locations (fan-out)
+    -> 15 columns. What a SKU alone decides is made before its rows are repeated
+    for each location. The sales signal is required."""
     if sales is None:
         raise ValueError("build_master needs the sales signal")
     base = join_signals(sales, {"ProductionQty": production, "DeliveryQty": delivery,
                                 "FactoryIssueQty": issue})
-    if bridge is not None:
-        base = join_locations_fanout(base, bridge)
     if groups is not None:
         base = join_groups(base, groups)
     base = add_defaults(base)
     base = add_reference_cost_price(base)
+    if bridge is not None:
+        base = join_locations_fanout(base, bridge)
     base = fill_unknown_dims(base)
     base = fill_zero(base, ["OnHandQty", "UnitCost", "LeadTimeDays", "Promotional_Flag",
                             "Price"] + SIGNALS)

@@ -221,7 +221,7 @@ _BCOST, _BMULT = _gen_cost_sql('s."SkuId"')
                      FROM part GROUP BY 1) g ON s."SkuId" = g."SkuId\"""", SIG_CTES)
 def q_build_master(spark, d):
     """E01 build_master (reference grain: signals fanned out to locations)."""
-    sg = B.signals(spark, d)
+    sg = B.signals(spark, d, kept=True)
     return M.build_master(sg["SalesOrderQty"], sg["ProductionQty"], sg["DeliveryQty"],
                           sg["FactoryIssueQty"], B.sku_locations(spark, d), B.sku_groups(spark, d))
 

@@ -71,6 +71,31 @@ def test_salted_parts_are_not_broadcast(spark, tmp_path):
         assert [str(r["Date"]) for r in df.collect()] == ["2020-01-05"]
 
 
+def test_build_master_repeats_no_work(spark):
+    """The lines are read once for all signals and once for the locations, and what a SKU alone
+    decides is made below the join that repeats its rows for each location."""
+    from packflow.plans.catalog import REGISTRY
+    p = plan(REGISTRY["build_master"].fn(spark, SF0001))
+    assert p.count("lineitem.parquet") == 1  # of the locations; the signals are read from their own table
+    above = p[:p.index("Join")]
+    assert "md5" in p and "md5" not in above
+
+
+def test_build_master_joins_as_before(spark):
+    """Rows without a location, a group or a key stay, and each location repeats the measures."""
+    from packflow.operators.master import build_master
+    sales = spark.sql("SELECT * FROM VALUES (DATE'2020-01-01', 'P1', 5.0D), (DATE'2020-01-01', 'P2', 2.0D), "
+                      "(DATE'2020-01-02', NULL, 1.0D) t(Date, SkuId, SalesOrderQty)")
+    bridge = spark.sql("SELECT * FROM VALUES ('P1', 'PL0', 'SL1'), ('P1', 'PL0', 'SL2'), (NULL, 'PL9', 'SL9') t(SkuId, PlantId, StorageLocationId)")
+    groups = spark.sql("SELECT * FROM VALUES ('P1', 'G', 'S'), ('P1', 'G', 'R') t(SkuId, ProductGroup, SubGroup)")
+    got = build_master(sales, None, None, None, bridge, groups).collect()
+    assert sorted((r["SkuId"] or "", r["ProductGroup"], r["SubGroup"], r["PlantId"], r["StorageLocationId"], r["SalesOrderQty"], r["LeadTimeDays"])
+                  for r in got) == [("", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN", 1.0, 7), ("P1", "G", "R", "PL0", "SL1", 5.0, 7),
+                                    ("P1", "G", "R", "PL0", "SL2", 5.0, 7), ("P2", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN", 2.0, 7)]
+    cost = {r["SkuId"]: (r["UnitCost"], r["Price"]) for r in got}
+    assert cost["P1"][0] >= 5 and cost["P1"][1] >= cost["P1"][0] and cost[None] == (0.0, 0.0)
+
+
 def test_history_days_meet_once(spark):
     """No shuffle carries a column for each day of the year."""
     from packflow.plans.q_sources import _history_wide
